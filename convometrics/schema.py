@@ -216,3 +216,18 @@ MESSAGE_SCHEMA = T.StructType(
     [T.StructField("role", T.StringType(), True), T.StructField("content", T.StringType(), True)]
 )
 CHATML_SCHEMA = T.StructType([T.StructField("messages", T.ArrayType(MESSAGE_SCHEMA), True)])
+
+# Generation prompt of the synthetic pipeline (fixed text; {channel}, {persona},
+# {scenario} are filled per sample).
+GENERATION_PROMPT_TEMPLATE = """Generate a single, realistic logistics customer-support transcript with 6–10 turns.
+
+Constraints:
+- Channel: {channel}
+- Customer persona: {persona}
+- Scenario (intent vs operational reality): {scenario}
+
+Rules:
+- The CUSTOMER must speak only in layman's terms (no internal codes like DEX08, STAT50, etc.). They describe the situation in plain language.
+- The AGENT diagnoses the issue professionally and with empathy, and may use internal codes in their own reasoning/notes only if appropriate for the channel (e.g., not read aloud on a call in a robotic way).
+- Format each turn clearly as "Agent:" or "Customer:" followed by the message.
+- Make the conversation coherent and specific to the scenario and persona."""
