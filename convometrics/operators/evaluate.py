@@ -74,7 +74,7 @@ def parse_gold(df: DataFrame, gold: str = "gold_json") -> DataFrame:
     """Gold text -> ``gold`` VARIANT (NULL when not strict JSON) + ``_g_*`` leaves."""
     g = F.col(gold)
     df = df.withColumn("gold", F.when(json_valid(g), F.try_parse_json(g)))
-    return explode_payload(df, "gold", "_g")
+    return explode_payload(df, "gold", "_g", typed=False)
 
 
 # ---------------------------------------------------------------------------

@@ -55,7 +55,8 @@ _FENCE = r"(?U)```(?:json)?[\s\x1c-\x1f]*([\s\S]*?)```"
 def unfence(reply: Column) -> Column:
     """Body of the first ```json fenced block, stripped; the whole stripped text if none."""
     raw = ustrip(reply)
-    return F.when(raw.rlike(_FENCE), ustrip(F.regexp_extract(raw, _FENCE, 1))).otherwise(raw)
+    fenced = (F.instr(raw, "```") > 0) & raw.rlike(_FENCE)
+    return F.when(fenced, ustrip(F.regexp_extract(raw, _FENCE, 1))).otherwise(raw)
 
 
 # ---------------------------------------------------------------------------
@@ -146,8 +147,8 @@ def leaf_columns(prefix: str) -> list[str]:
     return cols
 
 
-def explode_payload(df: DataFrame, payload: str = "payload", prefix: str = "_p") -> DataFrame:
-    """Add per-leaf VARIANT, type and coerced-value columns for ``payload``."""
+def explode_payload(df: DataFrame, payload: str = "payload", prefix: str = "_p", typed: bool = True) -> DataFrame:
+    """Add per-leaf VARIANT, type and (when ``typed``) coerced-value columns for ``payload``."""
     p = F.col(payload)
     df = df.withColumns(
         {leaf_col(prefix, "t", "root"): vtype(p)}
@@ -157,7 +158,9 @@ def explode_payload(df: DataFrame, payload: str = "payload", prefix: str = "_p")
     df = df.withColumns(
         {leaf_col(prefix, "t", r.name): vtype(F.col(leaf_col(prefix, "x", r.name))) for r in FIELD_RULES}
     )
-    typed = {}
+    if not typed:
+        return df
+    typed_cols = {}
     for r in FIELD_RULES:
         x, t = F.col(leaf_col(prefix, "x", r.name)), F.col(leaf_col(prefix, "t", r.name))
         if r.kind in ("str", "enum"):
@@ -168,8 +171,8 @@ def explode_payload(df: DataFrame, payload: str = "payload", prefix: str = "_p")
             v = lax_bool(x, t)
         else:
             v = _string_list(x, t)
-        typed[leaf_col(prefix, "v", r.name)] = v
-    return df.withColumns(typed)
+        typed_cols[leaf_col(prefix, "v", r.name)] = v
+    return df.withColumns(typed_cols)
 
 
 def _field_violation(prefix: str, rule: FieldRule) -> Column:

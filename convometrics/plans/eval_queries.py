@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.jsontext import vstring
 from ..functions.stage import stage
 from ..operators import evaluate as ev
 from ..operators import payload as pl
@@ -118,7 +119,8 @@ def q_report_lines(spark, sf):
 
 def q_sliced_accuracy(spark, sf):
     s = scored(spark, sf, keep_leaves=True).select(
-        "k", "scored", "strict", *ev.MATCH_COLS, pl.typed_value("_g", RULES_BY_NAME["customer_intent"]).alias("gold_intent")
+        "k", "scored", "strict", *ev.MATCH_COLS,
+        F.when(F.col("_g_t_customer_intent") == "string", vstring(F.col("_g_x_customer_intent"))).alias("gold_intent"),
     )
     crm = fx.crm(spark, sf).select("k", F.col("c_mktsegment").alias("segment"))
     return ev.sliced_accuracy(s.join(crm, "k", "left"), "segment", "gold_intent")
