@@ -138,13 +138,13 @@ def summary_counts(scored: DataFrame, latency_ms: str = "latency_ms") -> DataFra
     """One row: total/valid/errors, correct per field, strict, latency sums -- one pass."""
     aggs = [
         F.count(F.lit(1)).alias("total"),
-        F.sum(_i(F.col("scored"))).alias("valid"),
-        F.sum(_i(F.col("strict"))).alias("strict_correct"),
+        F.coalesce(F.sum(_i(F.col("scored"))), F.lit(0)).alias("valid"),
+        F.coalesce(F.sum(_i(F.col("strict"))), F.lit(0)).alias("strict_correct"),
         F.sum(F.col(latency_ms)).alias("latency_ms_total"),
         F.min(F.col(latency_ms)).alias("latency_ms_min"),
         F.max(F.col(latency_ms)).alias("latency_ms_max"),
     ]
-    aggs += [F.sum(_i(F.col(match_col(f)))).alias(f) for f in SCORED_FIELDS]
+    aggs += [F.coalesce(F.sum(_i(F.col(match_col(f)))), F.lit(0)).alias(f) for f in SCORED_FIELDS]
     return scored.agg(*aggs)
 
 
