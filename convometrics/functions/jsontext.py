@@ -70,6 +70,17 @@ def vtype(x: Column) -> Column:
     )
 
 
+def is_object(x: Column) -> Column:
+    """True for a JSON object.  Casting to an empty struct reads no fields, so this is
+    far cheaper than ``schema_of_variant`` on a large object."""
+    return F.try_variant_get(x, "$", "struct<>").isNotNull()
+
+
+def vshape(x: Column) -> Column:
+    """``object`` / ``other`` / NULL (absent) -- the shallow test used for containers."""
+    return F.when(x.isNull(), F.lit(None).cast("string")).when(is_object(x), F.lit("object")).otherwise(F.lit("other"))
+
+
 def vstring(x: Column) -> Column:
     return F.try_variant_get(x, "$", "string")
 

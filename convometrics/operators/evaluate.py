@@ -66,8 +66,8 @@ def pair(gold: DataFrame, pred: DataFrame, key: str = "k") -> DataFrame:
 def prepare_predictions(df: DataFrame, reply: str = "reply") -> DataFrame:
     """Reply text -> ``body, payload, error, violations, status, metrics`` (+ ``_p_*`` leaves)."""
     model_error = "model_error" if "model_error" in df.columns else None
-    parsed = stage(parse_replies(df, reply, model_error))
-    return stage(with_metrics(validate(stage(explode_payload(parsed, "payload", "_p")))))
+    parsed = parse_replies(df, reply, model_error)
+    return stage(with_metrics(validate(explode_payload(parsed, "payload", "_p"))))
 
 
 def parse_gold(df: DataFrame, gold: str = "gold_json") -> DataFrame:
@@ -120,7 +120,7 @@ def score(df: DataFrame) -> DataFrame:
 
 def evaluate(gold: DataFrame, pred: DataFrame, key: str = "k", keep_leaves: bool = False) -> DataFrame:
     """E0 + P2-P5 + E1-E3: one row per gold key with status, matches and latency."""
-    paired = pair(stage(parse_gold(gold)), pred, key)
+    paired = pair(parse_gold(gold), pred, key)
     out = stage(score(prepare_predictions(paired)))
     return out if keep_leaves else drop_leaves(drop_leaves(out, "_p"), "_g")
 

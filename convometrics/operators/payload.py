@@ -29,6 +29,7 @@ from ..functions.jsontext import (
     vdouble,
     vget,
     vstring,
+    vshape,
     vtype,
 )
 from ..schema import FIELD_RULES, GROUPS, VOCABULARIES, FieldRule
@@ -151,8 +152,8 @@ def explode_payload(df: DataFrame, payload: str = "payload", prefix: str = "_p",
     """Add per-leaf VARIANT, type and (when ``typed``) coerced-value columns for ``payload``."""
     p = F.col(payload)
     df = df.withColumns(
-        {leaf_col(prefix, "t", "root"): vtype(p)}
-        | {leaf_col(prefix, "t", g): vtype(vget(p, g)) for g in GROUPS}
+        {leaf_col(prefix, "t", "root"): vshape(p)}
+        | {leaf_col(prefix, "t", g): vshape(vget(p, g)) for g in GROUPS}
         | {leaf_col(prefix, "x", r.name): vget(p, r.path) for r in FIELD_RULES}
     )
     df = df.withColumns(

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.jsontext import find0, json_escape, json_valid, rfind0, slice0, ustrip, vget, vtype
+from ..functions.jsontext import find0, is_object, json_escape, json_valid, rfind0, slice0, ustrip, vget, vtype
 from ..functions.stage import stage
 from ..schema import GROUPS
 
@@ -103,14 +103,14 @@ def normalize_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     )
     inner_text = F.when(F.col("_ok1"), F.col("_c")).when(F.col("_ok2"), F.col("_c2"))
     df = stage(df.withColumn("_inner", F.try_parse_json(inner_text)))
-    inner_obj = vtype(F.col("_inner")) == "object"
+    inner_obj = is_object(F.col("_inner"))
     has_groups = inner_obj
     for g in GROUPS:
         has_groups = has_groups & vget(F.col("_inner"), g).isNotNull()
     reason = (
         F.when(F.col("_s") == "", F.lit("blank"))
         .when(F.col("_v").isNull(), F.lit("invalid_json"))
-        .when(vtype(F.col("_v")) != "object", F.lit("not_object"))
+        .when(~is_object(F.col("_v")), F.lit("not_object"))
         .when(F.col("_n") < 3, F.lit("too_few_messages"))
         .when(F.col("_ct") != "string", F.lit("content_not_string"))
         .when(F.col("_inner").isNull(), F.lit("inner_invalid"))

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.jsontext import json_valid, ustrip, vget, vstring, vtype
+from ..functions.jsontext import is_object, json_valid, ustrip, vget, vstring, vtype
 from ..functions.stage import stage
 from ..schema import CHATML_SCHEMA
 
@@ -75,7 +75,7 @@ def classify_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     reason = (
         F.when(F.col("_s") == "", F.lit("blank"))
         .when(F.col("record").isNull(), F.lit("invalid_json"))
-        .when(vtype(F.col("record")) != "object", F.lit("not_object"))
+        .when(~is_object(F.col("record")), F.lit("not_object"))
         .when(F.col("n_messages") < 3, F.lit("too_few_messages"))
     )
     return stage(df.withColumn("reason", reason).drop("_s"))

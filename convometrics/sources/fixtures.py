@@ -163,35 +163,42 @@ def reply_text(k: Column, pred: Column) -> Column:
     )
 
 
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("st")))
+
+
+def latency_ms(k: Column) -> Column:
+    return F.lit(15000) + (k * 37) % 30000
+
+
+def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold side of FX1: ``k, gold_json`` -- one row per order."""
+    o = _orders(spark, sf_dir)
+    return o.select("k", gold_json(F.col("k"), F.col("st")).alias("gold_json"))
+
+
+def prediction_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prediction side of FX1: ``k, reply, latency_ms`` -- one model reply per order."""
+    o = _orders(spark, sf_dir)
+    base = stage(o.select("k", predicted_json(F.col("k"), F.col("st")).alias("pred_json")))
+    return base.select("k", reply_text(F.col("k"), F.col("pred_json")).alias("reply"), latency_ms(F.col("k")).alias("latency_ms"))
+
+
 def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """FX1: ``k, gold_json, reply, latency_ms`` -- one row per order."""
-    o = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"))
-    k = F.col("o_orderkey")
+    """FX1: ``k, gold_json, reply, latency_ms`` -- gold and reply of each order side by side."""
+    o = _orders(spark, sf_dir)
     base = stage(
         o.select(
-            k.alias("k"),
-            gold_json(k, F.col("o_orderstatus")).alias("gold_json"),
-            predicted_json(k, F.col("o_orderstatus")).alias("pred_json"),
+            "k",
+            gold_json(F.col("k"), F.col("st")).alias("gold_json"),
+            predicted_json(F.col("k"), F.col("st")).alias("pred_json"),
         )
     )
     return base.select(
-        "k",
-        "gold_json",
-        reply_text(F.col("k"), F.col("pred_json")).alias("reply"),
-        (F.lit(15000) + (F.col("k") * 37) % 30000).alias("latency_ms"),
+        "k", "gold_json", reply_text(F.col("k"), F.col("pred_json")).alias("reply"), latency_ms(F.col("k")).alias("latency_ms")
     )
 
 
-def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gold side of FX1 on its own (``k, gold_json``)."""
-    return replies(spark, sf_dir).select("k", "gold_json")
-
-
-def prediction_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prediction side of FX1 on its own (``k, reply, latency_ms``)."""
-    return replies(spark, sf_dir).select("k", "reply", "latency_ms")
-
-
 # ---------------------------------------------------------------------------
 # FX2 transcripts
 # ---------------------------------------------------------------------------
