@@ -36,3 +36,14 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
+
+
+def materialize(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` once (parquet, in the shared checkpoint area) and read it back.
+
+    Used after expensive or non-deterministic steps (model calls) so later
+    fan-out never recomputes them, and to cut lineage: a lost executor then
+    re-reads files instead of re-running the model.
+    """
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

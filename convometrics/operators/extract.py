@@ -64,12 +64,15 @@ def with_retries(call: Callable[[], str], backoff: Backoff, attempts: int = MAX_
 
 
 def run_model(df: DataFrame, factory: ModelFactory, key: str, prompt: str,
-              retries: int = 1, sleep: Callable[[float], None] | None = None) -> DataFrame:
-    """``key, reply, latency_ms, attempts, model_error`` for every row.
+              retries: int = 1, sleep: Callable[[float], None] | None = None,
+              carry: list[str] | None = None) -> DataFrame:
+    """``key, reply, latency_ms, attempts, model_error`` (+ ``carry`` columns) for every row.
 
     ``retries > 1`` wraps each call in the X4 policy.  Concurrency is the
     number of partitions of ``df`` (repartition before calling to set it).
+    ``carry`` columns pass through unchanged, so callers need no join back.
     """
+    carry = carry or []
 
     def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = _model(factory)
@@ -83,11 +86,15 @@ def run_model(df: DataFrame, factory: ModelFactory, key: str, prompt: str,
                 replies.append(r)
                 tries.append(n)
                 errs.append(err)
-            yield pd.DataFrame({key: b[key], "reply": replies, "latency_ms": lat, "attempts": tries, "model_error": errs})
+            out = pd.DataFrame({key: b[key], "reply": replies, "latency_ms": lat, "attempts": tries, "model_error": errs})
+            for c in carry:
+                out[c] = b[c].values
+            yield out
 
     key_type = df.schema[key].dataType.simpleString()
     schema = f"{key} {key_type}, reply string, latency_ms bigint, attempts int, model_error string"
-    return df.select(key, prompt).mapInPandas(fn, schema)
+    schema += "".join(f", {c} {df.schema[c].dataType.simpleString()}" for c in carry)
+    return df.select(key, prompt, *carry).mapInPandas(fn, schema)
 
 
 def run_stages(df: DataFrame, key: str, prompt: str, stages: list[tuple[str, ModelFactory]],

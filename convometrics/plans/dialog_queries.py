@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.jsontext import json_valid, ustrip
-from ..functions.stage import spread, stage
+from ..functions.stage import materialize, spread, stage
 from ..operators import evaluate as ev
 from ..operators import extract as ex
 from ..operators import messages as msg
@@ -191,7 +191,8 @@ def q_generate_transcripts(spark, sf):
 
 def q_synth_pipeline_status(spark, sf):
     """Draw -> prompt -> generate (retries) -> extract (retries) -> training row; real counts by outcome."""
-    g = stage(generated(spark, sf))
+    # generation output is used twice below: write it once (never call the model again)
+    g = materialize(generated(spark, sf), scratch_path(spark, "generated"))
     ok = g.filter(F.col("model_error").isNull())
     m = msg.extraction_messages(F.col("transcript"))
     ok = ok.withColumn("eprompt", msg.chat_template(m, add_generation_prompt=True))

@@ -129,3 +129,21 @@ def generator_factory():
         return f"Agent: Hello, case {n}.\nCustomer: Thanks."
 
     return model
+
+
+def case_key_factory():
+    """Replies (fenced) with the gold record of the key written as ``case <k>`` in the transcript.
+
+    ``k == 3`` raises; ``k == 2`` answers with a wrong intent.  For end-to-end tests.
+    """
+
+    def model(prompt: str) -> str:
+        k = int(user_content(prompt).rsplit("case ", 1)[1].split()[0])
+        if k == 3:
+            raise RuntimeError("model crashed")
+        rec = record_for_key(k, [], "r")
+        if k == 2:
+            rec["behavioral_analytics"]["customer_intent"] = "WISMO_Standard"
+        return "```json\n" + json.dumps(rec) + "\n```"
+
+    return model

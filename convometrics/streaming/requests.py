@@ -98,8 +98,7 @@ def extraction_prompt(df: DataFrame) -> DataFrame:
 def respond(df: DataFrame, factory: ex.ModelFactory, key: str = "request_id") -> DataFrame:
     """K2: accepted requests -> model -> ``status`` 200 with ``response`` JSON, or 500 with ``error``."""
     acc = extraction_prompt(df.filter(F.col("accepted")))
-    called = ex.run_model(acc, factory, key, "prompt")
-    called = called.join(acc.select(key, "prompt_error"), key)
+    called = ex.run_model(acc, factory, key, "prompt", carry=["prompt_error"])
     called = called.withColumn("model_error", F.coalesce("prompt_error", "model_error")).drop("prompt_error")
     p = ev.prepare_predictions(called)
     body = F.when(F.col("status") == "valid", serialize(F.col("metrics"))).otherwise(F.to_json(F.col("payload")))
