@@ -30,6 +30,19 @@ def ustrip(c: Column) -> Column:
     return F.when(edge, F.regexp_replace(c, _STRIP_RE, "")).otherwise(c)
 
 
+def _wrapped(c: Column) -> tuple[Column, Column]:
+    """(array-wrap parse as ARRAY<VARIANT>, object-wrap validity)."""
+    as_array = F.from_json(F.concat(F.lit("["), c, F.lit("]")), "array<variant>", _STRICT)
+    # The object wrap only has to be *checked*: its schema names no field, so the
+    # wrapped value is tokenized and validated but never copied.
+    as_object = F.from_json(
+        F.concat(F.lit('{"x":'), c, F.lit("}")),
+        "_c string",
+        {**_STRICT, "columnNameOfCorruptRecord": "_c"},
+    )
+    return as_array, as_object.getField("_c").isNull()
+
+
 def json_valid(c: Column) -> Column:
     """True when ``c`` is one complete, strict JSON text (what ``json.loads`` accepts).
 
@@ -37,18 +50,14 @@ def json_valid(c: Column) -> Column:
     text is parsed inside two wrappers: leftover text after the first value
     breaks either the one-element array or the one-field object.
     """
-    as_array = F.from_json(F.concat(F.lit("["), c, F.lit("]")), "array<string>", _STRICT)
-    as_object = F.from_json(
-        F.concat(F.lit('{"x":'), c, F.lit("}")),
-        "x string, _c string",
-        {**_STRICT, "columnNameOfCorruptRecord": "_c"},
-    )
-    return F.coalesce((F.size(as_array) == 1) & as_object.getField("_c").isNull(), F.lit(False))
+    as_array, object_ok = _wrapped(c)
+    return F.coalesce((F.size(as_array) == 1) & object_ok, F.lit(False))
 
 
 def parse_strict(c: Column) -> Column:
-    """VARIANT of ``c`` if it is strict JSON, else NULL.  ``NaN`` also gives NULL."""
-    return F.when(json_valid(c), F.try_parse_json(c))
+    """VARIANT of ``c`` if it is strict JSON, else NULL -- one parse plus one validation pass."""
+    as_array, object_ok = _wrapped(c)
+    return F.when(F.coalesce((F.size(as_array) == 1) & object_ok, F.lit(False)), F.get(as_array, 0))
 
 
 def vget(v: Column, path: str) -> Column:

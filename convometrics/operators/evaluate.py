@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.jsontext import json_valid
+from ..functions.jsontext import parse_strict, json_valid
 from ..functions.stage import stage
 from ..schema import ALL_KEY_FIELDS, RESOLVED_FIELD, RULES_BY_NAME, SCORED_FIELDS
 from .payload import (
@@ -73,7 +73,7 @@ def prepare_predictions(df: DataFrame, reply: str = "reply") -> DataFrame:
 def parse_gold(df: DataFrame, gold: str = "gold_json") -> DataFrame:
     """Gold text -> ``gold`` VARIANT (NULL when not strict JSON) + ``_g_*`` leaves."""
     g = F.col(gold)
-    df = df.withColumn("gold", F.when(json_valid(g), F.try_parse_json(g)))
+    df = df.withColumn("gold", parse_strict(g))
     return explode_payload(df, "gold", "_g", typed=False)
 
 

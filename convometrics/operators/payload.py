@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.jsontext import (
+    parse_strict,
     canon,
     canon_bool,
     canon_int,
@@ -76,7 +77,7 @@ def parse_replies(df: DataFrame, reply: str = "reply", model_error: str | None =
     r = F.col(reply)
     body = unfence(r)
     out = df.withColumn("body", body).withColumn(
-        "payload", F.when(json_valid(F.col("body")), F.try_parse_json(F.col("body")))
+        "payload", parse_strict(F.col("body"))
     )
     parse_err = F.when(
         F.col("payload").isNull(),

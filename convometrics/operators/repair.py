@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.jsontext import find0, is_object, json_escape, json_valid, rfind0, slice0, ustrip, vget, vtype
+from ..functions.jsontext import parse_strict, find0, is_object, json_escape, json_valid, rfind0, slice0, ustrip, vget, vtype
 from ..functions.stage import stage
 from ..schema import GROUPS
 
@@ -88,7 +88,7 @@ def normalize_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     with ``role``/``content`` per message.
     """
     s = ustrip(F.col(value))
-    df = stage(lines.withColumn("_s", s).withColumn("_v", F.when(json_valid(F.col("_s")), F.try_parse_json(F.col("_s")))))
+    df = stage(lines.withColumn("_s", s).withColumn("_v", parse_strict(F.col("_s"))))
     content = vget(F.col("_v"), "messages[2].content")
     df = stage(
         df.withColumn("_n", F.coalesce(F.size(F.try_variant_get(F.col("_v"), "$.messages", "array<variant>")), F.lit(0)))
@@ -102,7 +102,7 @@ def normalize_lines(lines: DataFrame, value: str = "value") -> DataFrame:
         .withColumn("_ok2", F.coalesce(json_valid(F.col("_c2")), F.lit(False)))
     )
     inner_text = F.when(F.col("_ok1"), F.col("_c")).when(F.col("_ok2"), F.col("_c2"))
-    df = stage(df.withColumn("_inner", F.try_parse_json(inner_text)))
+    df = stage(df.withColumn("_inner", parse_strict(inner_text)))
     inner_obj = is_object(F.col("_inner"))
     has_groups = inner_obj
     for g in GROUPS:

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.jsontext import is_object, json_valid, ustrip, vget, vstring, vtype
+from ..functions.jsontext import parse_strict, is_object, json_valid, ustrip, vget, vstring, vtype
 from ..functions.stage import stage
 from ..schema import CHATML_SCHEMA
 
@@ -69,7 +69,7 @@ def classify_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     """
     s = ustrip(F.col(value))
     df = lines.withColumn("_s", s)
-    df = stage(df.withColumn("record", F.when(json_valid(F.col("_s")), F.try_parse_json(F.col("_s")))))
+    df = stage(df.withColumn("record", parse_strict(F.col("_s"))))
     msgs = F.try_variant_get(F.col("record"), "$.messages", "array<variant>")
     df = df.withColumn("n_messages", F.coalesce(F.size(msgs), F.lit(0)))
     reason = (

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.jsontext import json_valid, ustrip, vbool, vdouble, vget, vstring, vtype
+from ..functions.jsontext import parse_strict, json_valid, ustrip, vbool, vdouble, vget, vstring, vtype
 from ..functions.stage import stage
 from ..operators import evaluate as ev
 from ..operators import extract as ex
@@ -57,7 +57,7 @@ def classify_requests(df: DataFrame, body: str = "body") -> DataFrame:
     """K1: ``accepted``, ``status`` (NULL when accepted, 400 when rejected), ``error``,
     ``transcript``, ``system_prompt`` (NULL -> default) and ``prompt_error``."""
     b = F.col(body)
-    df = stage(df.withColumn("_v", F.when(json_valid(b), F.try_parse_json(b))))
+    df = stage(df.withColumn("_v", parse_strict(b)))
     v = F.col("_v")
     df = stage(
         df.withColumn("_bt", truthy(v))
