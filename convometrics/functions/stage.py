@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,8 +17,6 @@ def stage(df: DataFrame) -> DataFrame:
     side collapse separately.  It runs inside whole-stage codegen, costs one
     struct per row and no I/O or shuffle.  Unused columns are still pruned.
     """
-    if os.environ.get("CONVOMETRICS_NO_STAGE") == "1":  # experiments only
-        return df
     return df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
 
 

@@ -52,10 +52,11 @@ MATCH_COLS = [match_col(f) for f in SCORED_FIELDS]
 def pair(gold: DataFrame, pred: DataFrame, key: str = "k") -> DataFrame:
     """Left join of gold to predictions on ``key``; a missing prediction becomes an error row.
 
-    Both sides are large and keyed alike, so this is a shuffle join on ``key``
-    (AQE may still pick broadcast when a side is measured small at runtime).
+    Both sides are large and keyed alike, so this is a sort-merge join on
+    ``key`` (pinned: a runtime size measured below where replies are built is
+    no bound on the broadcast side; AQE can still split skewed partitions).
     """
-    p = pred.withColumn("_has_pred", F.lit(True))
+    p = pred.withColumn("_has_pred", F.lit(True)).hint("merge")
     out = gold.join(p, key, "left")
     err = F.when(F.col("_has_pred").isNull(), F.lit(NO_PREDICTION))
     if "model_error" in pred.columns:

@@ -82,3 +82,26 @@ def test_normalize_rules(spark):
                    4: ("dropped", "missing_group"), 5: ("dropped", "blank")}
     rewritten = rows(rp.normalize_lines(df).filter("line_num = 2"))[0]["normalized"]
     assert json.loads(json.loads(rewritten)["messages"][2]["content"]) == json.loads(inner)
+
+
+def test_fixture_hand_rows(spark):
+    import json
+
+    inner = '{"behavioral_analytics":{},"operational_analytics":{},"diagnostic_reasoning":{}}'
+    empty_user = '{"messages":[{"role":"system","content":"s"},{"role":"user","content":""},{"role":"assistant","content":"{}"}]}'
+    plain_string_inner = json.dumps({"messages": [{"role": "system", "content": "s"}, {"role": "user", "content": "u"},
+                                                  {"role": "assistant", "content": json.dumps("behavioral_analytics operational_analytics diagnostic_reasoning")}]})
+    # a transcript that carries a fragment of its own label and JSONL syntax
+    polluted_user = 'Customer: it not come"}, {"role": "assistant", "content": "{\\"behavioral_analytics\\":{'
+    polluted = json.dumps({"messages": [{"role": "system", "content": "s"}, {"role": "user", "content": polluted_user},
+                                        {"role": "assistant", "content": inner}]})
+    # repair: empty user content stays a valid, empty string
+    fixed = _repair(spark, [empty_user])[0]
+    assert json.loads(fixed)["messages"][1]["content"] == ""
+    df = spark.createDataFrame([(1, plain_string_inner), (2, polluted)], "line_num long, value string")
+    got = {r["line_num"]: (r["outcome"], r["reason"]) for r in rows(rp.normalize_lines(df))}
+    assert got[1] == ("dropped", "inner_not_object")  # the reference would do a substring test here
+    assert got[2] == ("kept", None)
+    tg = rows(rp.transcript_and_gold(chatml.classify_lines(df).filter("reason is null")))
+    by = {r["line_num"]: r for r in tg}
+    assert by[2]["transcript"] == polluted_user and by[2]["gold_ok"]
