@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.jsontext import parse_strict, json_valid
+from ..functions.jsontext import parse_strict, vstring
 from ..functions.stage import stage
 from ..schema import ALL_KEY_FIELDS, RESOLVED_FIELD, RULES_BY_NAME, SCORED_FIELDS
 from .payload import (
@@ -80,9 +80,21 @@ def parse_gold(df: DataFrame, gold: str = "gold_json") -> DataFrame:
 
 # ---------------------------------------------------------------------------
 # E1-E3 field matches
+#
+# Each side is reduced to canonical comparison keys *before* the join: the
+# parsing runs at the input's own parallelism and the shuffle carries short
+# strings instead of parsed documents.
 # ---------------------------------------------------------------------------
 
 
+def _gkey(field: str) -> str:
+    return f"_gc_{field}"
+
+
+def _pkey(field: str) -> str:
+    return f"_pc_{field}"
+
+
 def _pred_canon(field: str) -> Column:
     rule = RULES_BY_NAME[field]
     return F.when(F.col("status") == "valid", canon_typed(F.col("metrics"), rule)).otherwise(
@@ -98,32 +110,53 @@ def resolved_pred() -> Column:
     ).otherwise(normalize_resolved_leaf("_p"))
 
 
+def gold_keys(gold: DataFrame, gold_col: str = "gold_json") -> DataFrame:
+    """Gold side: ``gold_ok``, ``gold_intent``, ``gold_resolved`` and one canonical key per field."""
+    g = parse_gold(gold, gold_col)
+    cols = {_gkey(f): canon_raw("_g", RULES_BY_NAME[f]) for f in ALL_KEY_FIELDS}
+    cols["gold_resolved"] = normalize_resolved_leaf("_g")
+    cols["gold_intent"] = F.when(F.col("_g_t_customer_intent") == "string", vstring(F.col("_g_x_customer_intent")))
+    cols["gold_ok"] = F.col("gold").isNotNull()
+    return drop_leaves(g.withColumns(cols), "_g").drop("gold")
+
+
+def prediction_keys(pred: DataFrame, reply: str = "reply") -> DataFrame:
+    """Prediction side: parse, validate, then one canonical key per field and ``pred_resolved``."""
+    p = prepare_predictions(pred, reply)
+    cols = {_pkey(f): _pred_canon(f) for f in ALL_KEY_FIELDS}
+    cols["pred_resolved"] = F.when(F.col("status") != "error", resolved_pred())
+    return drop_leaves(p.withColumns(cols), "_p")
+
+
 def score(df: DataFrame) -> DataFrame:
-    """Add ``scored`` and one ``match_<field>`` per scored field plus ``strict``.
+    """Add ``scored``, one ``match_<field>`` per scored field and ``strict``.
 
-    Expects the output of ``parse_gold`` paired with ``prepare_predictions``.
-    Rows that are not scored get NULL matches.
+    Expects ``gold_keys`` paired with ``prediction_keys``.  Rows that are not
+    scored get NULL matches.
     """
-    bad_gold = F.col("gold").isNull()
-    out = df.withColumn(
+    status = F.coalesce(F.col("status"), F.lit("error"))
+    out = df.withColumn("status", status).withColumn(
         "error",
-        F.when(bad_gold, F.lit(BAD_GOLD)).otherwise(F.col("error")),
-    ).withColumn("scored", (F.col("status") != "error") & ~bad_gold)
-    cols = {}
-    for f in ALL_KEY_FIELDS:
-        g = canon_raw("_g", RULES_BY_NAME[f])
-        cols[match_col(f)] = F.when(F.col("scored"), g.eqNullSafe(_pred_canon(f)))
-    cols[match_col(RESOLVED_FIELD)] = F.when(F.col("scored"), normalize_resolved_leaf("_g") == resolved_pred())
+        F.when(~F.col("gold_ok"), F.lit(BAD_GOLD)).otherwise(F.col("error")),
+    ).withColumn("scored", (F.col("status") != "error") & F.col("gold_ok"))
+    cols = {match_col(f): F.when(F.col("scored"), F.col(_gkey(f)).eqNullSafe(F.col(_pkey(f)))) for f in ALL_KEY_FIELDS}
+    cols[match_col(RESOLVED_FIELD)] = F.when(F.col("scored"), F.col("gold_resolved") == F.col("pred_resolved"))
     out = out.withColumns(cols)
     strict = reduce(lambda a, b: a & b, [F.col(c) for c in MATCH_COLS])
-    return out.withColumn("strict", F.when(F.col("scored"), strict))
+    keys = [_gkey(f) for f in ALL_KEY_FIELDS] + [_pkey(f) for f in ALL_KEY_FIELDS]
+    return out.withColumn("strict", F.when(F.col("scored"), strict)).drop(*keys)
+
 
+def evaluate(gold: DataFrame, pred: DataFrame, key: str = "k") -> DataFrame:
+    """E0 + P2-P5 + E1-E3: one row per gold key with status, matches and latency.
 
-def evaluate(gold: DataFrame, pred: DataFrame, key: str = "k", keep_leaves: bool = False) -> DataFrame:
-    """E0 + P2-P5 + E1-E3: one row per gold key with status, matches and latency."""
-    paired = pair(parse_gold(gold), pred, key)
-    out = stage(score(prepare_predictions(paired)))
-    return out if keep_leaves else drop_leaves(drop_leaves(out, "_p"), "_g")
+    A gold key without a prediction is an error row ("no prediction").
+    """
+    paired = pair(gold_keys(gold), prediction_keys(pred), key)
+    paired = paired.withColumn(
+        "error", F.when(F.col("model_error") == NO_PREDICTION, F.lit(NO_PREDICTION)).otherwise(F.col("error"))
+    )
+    return stage(score(paired))
 
 
 # ---------------------------------------------------------------------------

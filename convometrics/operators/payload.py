@@ -289,8 +289,13 @@ def inspect_view(df: DataFrame, record: str = "metrics", keep: list[str] | None
 
 
 def normalize_resolved_text(s: Column) -> Column:
-    """``N/A`` for null/empty/(N/A|NA after strip+upper); ``PENDING`` for any other text."""
-    u = F.upper(ustrip(s))
+    """``N/A`` for null/empty/(N/A|NA after strip+upper); ``PENDING`` for any other text.
+
+    Only a stripped text of at most 3 characters can equal ``N/A`` or ``NA``, so
+    the (ICU, slow) ``upper`` runs on those alone.
+    """
+    st = ustrip(s)
+    u = F.when(F.length(st) <= 3, F.upper(st))
     return (
         F.when(s.isNull() | (s == ""), F.lit("N/A"))
         .when(u.isin("N/A", "NA"), F.lit("N/A"))

@@ -32,8 +32,8 @@ from . import oracle_fx as O
 # ---------------------------------------------------------------------------
 
 
-def scored(spark: SparkSession, sf_dir: str, keep_leaves: bool = False) -> DataFrame:
-    return ev.evaluate(fx.gold_table(spark, sf_dir), fx.prediction_table(spark, sf_dir), "k", keep_leaves)
+def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ev.evaluate(fx.gold_table(spark, sf_dir), fx.prediction_table(spark, sf_dir), "k")
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,12 +67,8 @@ def q_pair_gold_pred(spark, sf):
 
 
 def q_normalize_resolved(spark, sf):
-    s = scored(spark, sf, keep_leaves=True)
-    return s.select(
-        "k",
-        pl.normalize_resolved_leaf("_g").alias("gold_resolved"),
-        F.when(F.col("scored"), ev.resolved_pred()).alias("pred_resolved"),
-    )
+    s = scored(spark, sf)
+    return s.select("k", "gold_resolved", F.when(F.col("scored"), F.col("pred_resolved")).alias("pred_resolved"))
 
 
 def q_field_matches(spark, sf):
@@ -118,10 +114,7 @@ def q_report_lines(spark, sf):
 
 
 def q_sliced_accuracy(spark, sf):
-    s = scored(spark, sf, keep_leaves=True).select(
-        "k", "scored", "strict", *ev.MATCH_COLS,
-        F.when(F.col("_g_t_customer_intent") == "string", vstring(F.col("_g_x_customer_intent"))).alias("gold_intent"),
-    )
+    s = scored(spark, sf).select("k", "scored", "strict", "gold_intent", *ev.MATCH_COLS)
     crm = fx.crm(spark, sf).select("k", F.col("c_mktsegment").alias("segment"))
     return ev.sliced_accuracy(s.join(crm, "k", "left"), "segment", "gold_intent")
 

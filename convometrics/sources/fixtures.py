@@ -84,7 +84,7 @@ def payload_struct(
     gold_steps = _next_steps(ki, status)
     steps = F.when(
         sh(10),
-        F.when(F.upper(F.trim(gold_steps)) == "N/A", F.lit(TICKET)).otherwise(F.lit("N/A")),
+        F.when(F.trim(gold_steps).isin("N/A", "n/a"), F.lit(TICKET)).otherwise(F.lit("N/A")),
     ).otherwise(gold_steps)
 
     def flag(cond: Column, f: int) -> Column:
