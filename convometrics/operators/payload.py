@@ -288,17 +288,19 @@ def inspect_view(df: DataFrame, record: str = "metrics", keep: list[str] | None
 # ---------------------------------------------------------------------------
 
 
+# Every text whose upper-case form is "N/A" or "NA" (only n/N and a/A map there).
+_NA_FORMS = [a + "/" + b for a in "nN" for b in "aA"] + [a + b for a in "nN" for b in "aA"]
+
+
 def normalize_resolved_text(s: Column) -> Column:
     """``N/A`` for null/empty/(N/A|NA after strip+upper); ``PENDING`` for any other text.
 
-    Only a stripped text of at most 3 characters can equal ``N/A`` or ``NA``, so
-    the (ICU, slow) ``upper`` runs on those alone.
+    ``strip().upper() in ("N/A", "NA")`` is tested as membership in the eight
+    case forms, which avoids Spark's ICU case mapping on every row.
     """
-    st = ustrip(s)
-    u = F.when(F.length(st) <= 3, F.upper(st))
     return (
         F.when(s.isNull() | (s == ""), F.lit("N/A"))
-        .when(u.isin("N/A", "NA"), F.lit("N/A"))
+        .when(ustrip(s).isin(*_NA_FORMS), F.lit("N/A"))
         .otherwise(F.lit("PENDING"))
     )
 

@@ -108,3 +108,22 @@ def test_defaults_only_on_valid_predictions(spark):
     assert r["status"] == "valid"
     assert r["match_escalation_requested"] is False
     assert r["match_customer_intent"] is True
+
+
+def test_resolved_class_matches_python(spark):
+    import random
+
+    rng = random.Random(3)
+    alphabet = list("nNaA/ \t xßŉǆ")
+    cases = ["", "N/A", " n/a ", "na", "NA ", "n /a", "N/A.", "  ", "Ticket"] + [
+        "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 5))) for _ in range(400)
+    ]
+
+    def py(s):
+        if not s:
+            return "N/A"
+        return "N/A" if s.strip().upper() in ("N/A", "NA") else "PENDING"
+
+    df = spark.createDataFrame([(s,) for s in cases], "s string")
+    got = df.select("s", pl.normalize_resolved_text(F.col("s")).alias("c")).collect()
+    assert [r.c for r in got] == [py(s) for s in cases]
