@@ -28,18 +28,10 @@ LOCAL_DEFAULTS = {
 }
 
 
-# Raised only when the session still has Spark's default: the per-leaf columns
-# of a parsed payload make rows wider than the default whole-stage-codegen limit.
-CODEGEN_MAX_FIELDS = ("spark.sql.codegen.maxFields", "100", "2000")
-
-
 def configure(spark: SparkSession) -> SparkSession:
     for k, v in REQUIRED_CONF.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
-    k, default, wanted = CODEGEN_MAX_FIELDS
-    if spark.conf.get(k, default) == default:
-        spark.conf.set(k, wanted)
     return spark
 
 
