@@ -11,23 +11,22 @@ from pyspark.sql import functions as F
 
 _STRICT = {"allowSingleQuotes": "false", "allowUnquotedControlChars": "false"}
 
-# Python's str.strip() removes Unicode whitespace plus the \x1c-\x1f separators;
-# Spark's trim() only removes U+0020.
-_WS = r"[\s\x1c-\x1f]"
-_STRIP_RE = rf"(?U)^{_WS}+|{_WS}+\z"
+# Characters Python's str.strip() removes: everything str.isspace() accepts
+# (Unicode White_Space plus the \x1c-\x1f separators), derived from that rule.
+PY_WHITESPACE = [chr(i) for i in range(0x3001) if chr(i).isspace()]
 
 
-_WS_CHAR = rf"(?U)^{_WS}$"
+PY_WHITESPACE_CHARS = "".join(PY_WHITESPACE)
 
 
 def ustrip(c: Column) -> Column:
-    """Python ``str.strip()`` (Unicode-aware).
+    """Python ``str.strip()``: trim the exact ``str.isspace()`` character set (no regex)."""
+    return F.btrim(c, F.lit(PY_WHITESPACE_CHARS))
 
-    The regex only runs when the first or last character is whitespace; most
-    texts take the cheap branch (two one-character tests).
-    """
-    edge = F.substring(c, 1, 1).rlike(_WS_CHAR) | F.substring(c, -1, 1).rlike(_WS_CHAR)
-    return F.when(edge, F.regexp_replace(c, _STRIP_RE, "")).otherwise(c)
+
+def ulstrip(c: Column) -> Column:
+    """Python ``str.lstrip()``."""
+    return F.ltrim(c, F.lit(PY_WHITESPACE_CHARS))
 
 
 def _wrapped(c: Column) -> tuple[Column, Column]:

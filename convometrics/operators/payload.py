@@ -25,6 +25,7 @@ from ..functions.jsontext import (
     canon_int,
     canon_str,
     json_valid,
+    ulstrip,
     ustrip,
     vbool,
     vdouble,
@@ -50,15 +51,24 @@ def vocabulary_df(spark: SparkSession) -> DataFrame:
 # P2 fence stripping
 # ---------------------------------------------------------------------------
 
-# Lower-case optional "json" tag; lazy body up to the next fence.
-_FENCE = r"(?U)```(?:json)?[\s\x1c-\x1f]*([\s\S]*?)```"
+FENCE = "```"
 
 
 def unfence(reply: Column) -> Column:
-    """Body of the first ```json fenced block, stripped; the whole stripped text if none."""
+    r"""Body of the first ```json fenced block, stripped; the whole stripped text if none.
+
+    Same result as searching ``` ```(?:json)?\s*([\s\S]*?)``` ``` (lower-case ``json``
+    only; body up to the next fence), done with ``locate``/``substring``.
+    """
     raw = ustrip(reply)
-    fenced = (F.instr(raw, "```") > 0) & raw.rlike(_FENCE)
-    return F.when(fenced, ustrip(F.regexp_extract(raw, _FENCE, 1))).otherwise(raw)
+    open_at = F.instr(raw, FENCE)  # 1-based, 0 when absent
+    after = F.substring(raw, open_at + 3, F.length(raw))
+    after = F.when(after.startswith("json"), F.substring(after, 5, F.length(after))).otherwise(after)
+    body_start = F.length(after) - F.length(ulstrip(after)) + 1
+    close_at = F.call_function("locate", F.lit(FENCE), after, body_start)
+    body = ustrip(F.substring(after, body_start, close_at - body_start))
+    # nested: the fence search only runs on replies that contain a fence
+    return F.when(open_at > 0, F.when(close_at > 0, body).otherwise(raw)).otherwise(raw)
 
 
 # ---------------------------------------------------------------------------

@@ -127,3 +127,21 @@ def test_resolved_class_matches_python(spark):
     df = spark.createDataFrame([(s,) for s in cases], "s string")
     got = df.select("s", pl.normalize_resolved_text(F.col("s")).alias("c")).collect()
     assert [r.c for r in got] == [py(s) for s in cases]
+
+
+def test_unfence_matches_python_regex(spark):
+    import random
+    import re
+
+    def py(raw):
+        raw = raw.strip()
+        m = re.search(r"```(?:json)?\s*([\s\S]*?)```", raw)
+        return m.group(1).strip() if m else raw
+
+    rng = random.Random(11)
+    pieces = ["`", "```", "json", "JSON", " ", "\n", "x", "{}", "js", " ", "````"]
+    cases = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 9))) for _ in range(1500)]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(cases)], "i int, reply string")
+    got = {r.i: r.b for r in df.select("i", pl.unfence(F.col("reply")).alias("b")).collect()}
+    bad = [(c, got[i], py(c)) for i, c in enumerate(cases) if got[i] != py(c)]
+    assert not bad, bad[:5]
