@@ -24,7 +24,6 @@ from ..functions.jsontext import (
     canon_bool,
     canon_int,
     canon_str,
-    json_valid,
     ulstrip,
     ustrip,
     vbool,

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.jsontext import vstring
 from ..functions.stage import stage
 from ..operators import evaluate as ev
 from ..operators import payload as pl
@@ -19,7 +18,6 @@ from ..schema import (
     FIELD_RULES,
     REWORK_FREQUENCIES,
     ROOT_CAUSE_CATEGORIES,
-    RULES_BY_NAME,
     SCORED_FIELDS,
     SENTIMENT_TRAJECTORIES,
     VOCABULARIES,

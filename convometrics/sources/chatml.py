@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.jsontext import parse_strict, is_object, json_valid, ustrip, vget, vstring, vtype
+from ..functions.jsontext import parse_strict, is_object, ustrip, vget, vstring, vtype
 from ..functions.stage import stage
 from ..schema import CHATML_SCHEMA
 

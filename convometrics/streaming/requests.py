@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.jsontext import parse_strict, json_valid, ustrip, vbool, vdouble, vget, vstring, vtype
+from ..functions.jsontext import parse_strict, ustrip, vbool, vdouble, vget, vstring, vtype
 from ..functions.stage import stage
 from ..operators import evaluate as ev
 from ..operators import extract as ex

@@ -1,6 +1,6 @@
 import json
 
-from pydantic import BaseModel, Field, create_model
+from pydantic import Field, create_model
 from pyspark.sql import functions as F
 
 from convometrics.operators import evaluate as ev
