@@ -28,10 +28,25 @@ LOCAL_DEFAULTS = {
 }
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package's functions usable on executors without installing it there.
+
+    Python tasks (``mapInPandas`` model calls) carry functions and model
+    factories defined in this package; cloudpickle sends them by value instead
+    of by module name, so workers need no import path to the package.
+    """
+    from pyspark import cloudpickle
+
+    import convometrics
+
+    cloudpickle.register_pickle_by_value(convometrics)
+
+
 def configure(spark: SparkSession) -> SparkSession:
     for k, v in REQUIRED_CONF.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
+    ship_package(spark)
     return spark
 
 
