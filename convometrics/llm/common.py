@@ -5,10 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from convometrics.session import scratch_path
 
@@ -173,3 +175,13 @@ def runs_inside(words: Words, k: int) -> np.ndarray:
 def normalised(text="text"):
     """Column: each run of white space as one space; null as empty."""
     return F.regexp_replace(F.coalesce(F.col(text), F.lit("")), SPACE_CLASS, " ")
+
+
+def word_count(text="text"):
+    """Column: the number of words; 0 for a null."""
+
+    def count(texts: pd.Series) -> pd.Series:
+        # bytes.split() knows just the six separators of the contracts
+        return texts.map(lambda b: 0 if b is None else len(b.split())).astype("int64")
+
+    return F.pandas_udf(count, LongType())(F.col(text).cast("binary"))

@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
-from convometrics.llm import exact_index
+from convometrics.llm import best_fit, exact_index, mix_schedule
 from convometrics.llm.common import small_batches, table
 
 
+def op3_mix_sources(spark, sf_dir):
+    return mix_schedule.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op5_best_fit_packing(spark, sf_dir):
+    return best_fit.pack(table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark, sf_dir):
     return exact_index.exact_dedup(table(spark, sf_dir, "documents"))
 
