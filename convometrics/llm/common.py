@@ -185,3 +185,26 @@ def word_count(text="text"):
         return texts.map(lambda b: 0 if b is None else len(b.split())).astype("int64")
 
     return F.pandas_udf(count, LongType())(F.col(text).cast("binary"))
+
+
+def count_in(mask: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Sum of ``mask`` over each stretch between neighbouring ``bounds``."""
+    total = np.concatenate(([0], np.cumsum(mask, dtype=np.int64)))
+    return total[bounds[1:]] - total[bounds[:-1]]
+
+
+def map_texts(df: DataFrame, make, schema: str, passed: list[str], text: str = "text") -> DataFrame:
+    """Run ``make(column)`` on the texts, a slice at a time, beside the columns ``passed``.
+
+    ``make`` gets a binary Arrow column and returns a dict of arrays, one value
+    for each text; ``schema`` names those after the passed columns.
+    """
+
+    def run(batches):
+        for batch in batches:
+            for part in text_slices(batch):
+                made = make(part.column("text"))
+                columns = {c: part.column(c) for c in passed}
+                yield pa.RecordBatch.from_pydict(columns | {k: pa.array(v) for k, v in made.items()})
+
+    return df.select(*passed, F.col(text).cast("binary").alias("text")).mapInArrow(run, schema)

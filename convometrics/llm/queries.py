@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from convometrics.llm import best_fit, exact_index, mix_schedule
+from convometrics.llm import best_fit, exact_index, mix_schedule, outlier_rules
 from convometrics.llm.common import small_batches, table
 
 
@@ -18,6 +18,10 @@ def op8_exact_dedup(spark, sf_dir):
     return exact_index.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op9_quality_rules(spark, sf_dir):
+    return outlier_rules.quality_rules(table(spark, sf_dir, "documents"))
+
+
 def _prepared(fn):
     def run(spark, sf_dir):
         small_batches(spark)
