@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from convometrics.llm import best_fit, exact_index, mix_schedule, outlier_rules
+from convometrics.llm import best_fit, exact_index, lang_mixture, mix_schedule, outlier_rules, quality_mil
 from convometrics.llm.common import small_batches, table
 
 
+def op1_language_mixture(spark, sf_dir):
+    return lang_mixture.languages(table(spark, sf_dir, "documents"))
+
+
 def op3_mix_sources(spark, sf_dir):
     return mix_schedule.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -14,6 +18,10 @@ def op5_best_fit_packing(spark, sf_dir):
     return best_fit.pack(table(spark, sf_dir, "documents"))
 
 
+def op7_quality_mil(spark, sf_dir):
+    return quality_mil.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_exact_dedup(spark, sf_dir):
     return exact_index.exact_dedup(table(spark, sf_dir, "documents"))
 
