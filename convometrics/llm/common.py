@@ -208,3 +208,23 @@ def map_texts(df: DataFrame, make, schema: str, passed: list[str], text: str = "
                 yield pa.RecordBatch.from_pydict(columns | {k: pa.array(v) for k, v in made.items()})
 
     return df.select(*passed, F.col(text).cast("binary").alias("text")).mapInArrow(run, schema)
+
+
+# A key with more than one in this many of all rows is looked up by broadcast:
+# there are fewer than HOT_SHARE such keys whatever the size of the input.
+HOT_SHARE = 1000
+
+
+def look_up(rows: DataFrame, known: DataFrame, key: list[str], size: str, total: int) -> DataFrame:
+    """``rows`` joined with ``known`` (one row for each key; ``size`` is the number of rows of the key).
+
+    Hot keys go by broadcast, the rest by a join in which no key has more than
+    a thousandth of the ``total`` rows.
+    """
+    is_hot = F.col(size) * HOT_SHARE > F.lit(total)
+    values = [c for c in known.columns if c not in key]
+    held = F.struct(*values).alias("__hot")
+    marked = rows.join(F.broadcast(known.filter(is_hot).select(*key, held)), key, "left")
+    from_hot = marked.filter(F.col("__hot").isNotNull()).select(*rows.columns, *[F.col("__hot")[c].alias(c) for c in values])
+    rest = marked.filter(F.col("__hot").isNull()).drop("__hot").join(known.filter(~is_hot).hint("merge"), key)
+    return from_hot.unionByName(rest.select(*rows.columns, *values))

@@ -17,17 +17,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convometrics.llm.common import normalised, stored
+from convometrics.llm.common import look_up, normalised, stored
 from convometrics.session import scratch_path
 
 INDEX_SCHEMA = "digest string, keep_id bigint, n bigint"
 BUCKETS = 32
 
-# A digest with more than one in this many of all rows is joined by broadcast:
-# there are fewer than HOT_SHARE such digests whatever the size of the input.
-HOT_SHARE = 1000
-
-
 def digests(docs: DataFrame) -> DataFrame:
     """(doc_id, digest): SHA-256 of the whole normalised text."""
     return docs.select(
@@ -82,26 +77,9 @@ def decide(keyed: DataFrame, index: DataFrame) -> DataFrame:
     out.  A hot digest is looked up by broadcast, the rest by a join on the
     digest, in which no digest has more than a thousandth of the rows.
     """
-    total = keyed.count()
     groups = keyed.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"))
     known = stored(groups.join(index.select("digest", "keep_id").hint("merge"), "digest"), "groups")
-    is_hot = F.col("group_size") * HOT_SHARE > F.lit(total)
-    hot = known.filter(is_hot)
-    marked = keyed.join(
-        F.broadcast(hot.select("digest", F.col("keep_id").alias("hot_id"), F.col("group_size").alias("hot_size"))),
-        "digest",
-        "left",
-    )
-    from_hot = marked.filter(F.col("hot_size").isNotNull()).select(
-        "doc_id", "digest", F.col("hot_id").alias("keep_id"), F.col("hot_size").alias("group_size")
-    )
-    from_rest = (
-        marked.filter(F.col("hot_size").isNull())
-        .select("doc_id", "digest")
-        .join(known.filter(~is_hot).hint("merge"), "digest")
-        .select("doc_id", "digest", "keep_id", "group_size")
-    )
-    return from_hot.unionByName(from_rest)
+    return look_up(keyed, known, ["digest"], "group_size", keyed.count())
 
 
 def ingest(docs: DataFrame, path: str | None, batches: int, buckets: int) -> tuple[DataFrame, DigestIndex]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from convometrics.llm import best_fit, exact_index, lang_mixture, mix_schedule, outlier_rules, quality_mil
+from convometrics.llm import best_fit, exact_index, lang_mixture, minhash_bayes, mix_schedule, outlier_rules, quality_mil
 from convometrics.llm.common import small_batches, table
 
 
@@ -30,6 +30,10 @@ def op9_quality_rules(spark, sf_dir):
     return outlier_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op10_minhash_bayes(spark, sf_dir):
+    return minhash_bayes.near_duplicates(table(spark, sf_dir, "documents"), k=2)
+
+
 def _prepared(fn):
     def run(spark, sf_dir):
         small_batches(spark)
