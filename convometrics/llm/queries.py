@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from convometrics.llm import best_fit, exact_index, lang_mixture, minhash_bayes, mix_schedule, outlier_rules, quality_mil
+from convometrics.llm import best_fit, exact_index, lang_mixture, minhash_bayes, mix_schedule, outlier_rules, phrase_automata, quality_mil
 from convometrics.llm.common import small_batches, table
 
 
@@ -10,6 +10,11 @@ def op1_language_mixture(spark, sf_dir):
     return lang_mixture.languages(table(spark, sf_dir, "documents"))
 
 
+def op2_phrase_automata(spark, sf_dir):
+    found = phrase_automata.repeated_passages(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op3_mix_sources(spark, sf_dir):
     return mix_schedule.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -48,4 +53,4 @@ def llm_queries():
 
 
 def llm_oracles():
-    return {"op8_exact_dedup": exact_index.ORACLE}
+    return {"op2_phrase_automata": phrase_automata.ORACLE, "op8_exact_dedup": exact_index.ORACLE}
