@@ -155,21 +155,16 @@ def _distance() -> F.Column:
 
 
 def _start(fit: DataFrame) -> DataFrame:
-    """First estimate: medians, and median absolute deviations as a diagonal covariance."""
+    """First estimate: medians, and quartile distances as a diagonal covariance; one aggregation."""
     p = len(NAMES)
-    medians = fit.groupBy("fit_key").agg(*[F.percentile_approx(c, 0.5, 1000).alias(f"m{i}") for i, c in enumerate(NAMES)])
-    off = fit.join(medians, "fit_key").select(
-        "fit_key", *[f"m{i}" for i in range(p)], *[F.abs(F.col(c) - F.col(f"m{i}")).alias(f"d{i}") for i, c in enumerate(NAMES)]
-    )
-    spread = off.groupBy("fit_key").agg(
-        *[F.first(f"m{i}").alias(f"m{i}") for i in range(p)],
-        *[(F.percentile_approx(f"d{i}", 0.5, 1000) * 1.4826).alias(f"d{i}") for i in range(p)],
-    )
+    quartiles = fit.groupBy("fit_key").agg(*[F.percentile_approx(c, [0.25, 0.5, 0.75], 1000).alias(f"t{i}") for i, c in enumerate(NAMES)])
+    centre = [F.col(f"t{i}")[1].cast("double").alias(f"m{i}") for i in range(p)]
+    spread = [(F.col(f"t{i}")[2] - F.col(f"t{i}")[0]) / 1.349 for i in range(p)]
     inverse = [
-        (F.lit(1.0) / (F.col(f"d{i}") * F.col(f"d{i}") + VECTOR[NAMES[i]] ** 2) if i == j else F.lit(0.0)).alias(f"v{i}_{j}")
+        (F.lit(1.0) / (spread[i] * spread[i] + VECTOR[NAMES[i]] ** 2) if i == j else F.lit(0.0)).alias(f"v{i}_{j}")
         for i, j in PAIRS
     ]
-    return spread.select("fit_key", *[F.col(f"m{i}").cast("double").alias(f"m{i}") for i in range(p)], *inverse)
+    return quartiles.select("fit_key", *centre, *inverse)
 
 
 def _concentrate(fit: DataFrame, params: DataFrame) -> DataFrame:
