@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from convometrics.llm import best_fit, exact_index, lang_mixture, minhash_bayes, mix_schedule, outlier_rules, phrase_automata, quality_mil
+from convometrics.llm import best_fit, exact_index, lang_mixture, minhash_bayes, mix_schedule, outlier_rules, phrase_automata, pii_bootstrap, quality_mil
 from convometrics.llm.common import small_batches, table
 
 
@@ -19,6 +19,10 @@ def op3_mix_sources(spark, sf_dir):
     return mix_schedule.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_pii_bootstrap(spark, sf_dir):
+    return pii_bootstrap.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op5_best_fit_packing(spark, sf_dir):
     return best_fit.pack(table(spark, sf_dir, "documents"))
 
