@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from convometrics.llm import best_fit, exact_index, lang_mixture, minhash_bayes, mix_schedule, outlier_rules, phrase_automata, pii_bootstrap, quality_mil
+from convometrics.llm import best_fit, exact_index, html_blocks, lang_mixture, minhash_bayes, mix_schedule, outlier_rules, phrase_automata, pii_bootstrap, quality_mil
 from convometrics.llm.common import small_batches, table
 
 
@@ -27,6 +27,10 @@ def op5_best_fit_packing(spark, sf_dir):
     return best_fit.pack(table(spark, sf_dir, "documents"))
 
 
+def op6_html_blocks(spark, sf_dir):
+    return html_blocks.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_quality_mil(spark, sf_dir):
     return quality_mil.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
