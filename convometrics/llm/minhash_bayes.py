@@ -241,8 +241,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: int = THRESHOLD, sha
     # members of the buckets that hold several classes
     banded = classes.select("id", F.explode("bands").alias("bucket"))
     buckets = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    buckets = stored(buckets, "buckets")  # written, so that the join shuffles both sides and a hot bucket can be split
     members = stored(banded.join(buckets, "bucket"), "members")
-    meets = members.groupBy("id").agg(F.sum("size").alias("meets"))
+    meets = stored(members.groupBy("id").agg(F.sum("size").alias("meets")), "meets")
     ranked = members.join(meets, "id")
     best = F.max_by("id", F.struct(F.col("meets"), -F.col("id"))).alias("medoid")
     medoids = stored(ranked.groupBy("bucket").agg(best), "medoids")
@@ -261,7 +262,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: int = THRESHOLD, sha
     links = stored(_confirmed(_with_signatures(pairs, classes, threshold), sets, threshold), "links")
 
     # buckets whose members are not yet one component
-    found = stored(components(links), "components")
+    found = components(links)
     placed = members.join(found, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
     placed = stored(placed, "placed")
     per = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("c"))
