@@ -184,7 +184,8 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, phrase: int = PHRAS
     marks = classes.select(F.col("first_id").alias("doc_id"), F.explode("anchors").alias("gram"))
     twice = marks.groupBy("gram").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high")
     shard = F.pmod(F.xxhash64("doc_id"), F.lit(shards)).alias("shard")
-    known = marks.join(twice.select("gram"), "gram").select(shard, "doc_id", "gram")
+    twice = stored(twice.select("gram"), "recurring")
+    known = marks.join(twice, "gram").select(shard, "doc_id", "gram")
 
     texts = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     texts = texts.select(shard, "doc_id", "text")
@@ -200,7 +201,8 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, phrase: int = PHRAS
     windows = held.select("doc_id", F.explode(F.arrays_zip("starts", "hashes")).alias("w"))
     windows = windows.select("doc_id", F.col("w.starts").alias("start"), F.col("w.hashes").alias("hash"))
     confirmed = windows.groupBy("hash").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    confirmed = confirmed.filter("low < high").select("hash", "low")
+    # written, so that the join shuffles both sides and a passage common to many documents can be split
+    confirmed = stored(confirmed.filter("low < high").select("hash", "low"), "confirmed")
     later = windows.join(confirmed, "hash").filter("low < doc_id").groupBy("doc_id").agg(F.collect_list("start").alias("starts"))
     partly = _cut(held.select("doc_id", "text").join(later, "doc_id"), window)
     partly = stored(partly.withColumnRenamed("doc_id", "__doc"), "cut")
