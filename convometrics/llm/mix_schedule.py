@@ -217,7 +217,7 @@ def mixed_documents(docs: DataFrame, decisions: DataFrame) -> DataFrame:
     """The mixed corpus, with the columns of ``docs``: a document stands once for each time it is taken.
 
     Its last copy is cut to the words that are still taken of it (joined by one
-    space); a document that is not taken goes.  doc_id identifies a document.
+    space, with n_chars to match); a document that is not taken goes.  doc_id identifies a document.
     """
     pick = decisions.filter("taken > 0").select(F.col("doc_id").alias("__doc"), "size", "taken")
     pick = pick.select("__doc", F.col("size").alias("__size"), F.col("taken").alias("__taken"))
@@ -226,10 +226,13 @@ def mixed_documents(docs: DataFrame, decisions: DataFrame) -> DataFrame:
     words = F.regexp_extract_all("text", F.lit(WORD_CLASS), F.lit(0))
     cut = F.array_join(F.slice(words, 1, F.col("__here").cast("int")), " ")
     text = F.when(F.col("__here") < F.col("__size"), cut).otherwise(F.col("text"))
-    return (
+    mixed = (
         docs.join(pick, F.col("doc_id").eqNullSafe(F.col("__doc")))
         .withColumn("__copy", F.explode(copy))
         .withColumn("__here", here)
         .withColumn("text", text)
-        .select(*docs.columns)
     )
+    if "n_chars" in docs.columns:
+        n_chars = F.when(F.col("__here") < F.col("__size"), F.length("text")).otherwise(F.col("n_chars"))
+        mixed = mixed.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType))
+    return mixed.select(*docs.columns)
