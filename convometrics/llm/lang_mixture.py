@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from convometrics.llm.common import IS_SPACE, map_texts, small_batches, text_slices, words_of
+from convometrics.llm.common import IS_SPACE, map_texts, small_batches, stored, text_slices, words_of
 
 TRAIN_DOCS = 3000
 BUCKET_BITS = 16
@@ -89,7 +89,9 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> tuple[list[str], np.
     per_lang = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     # every document draws a number by its id; a language's share is such that about train_docs stay
     draw = F.shiftrightunsigned(F.xxhash64(F.lit("lang"), "doc_id"), 11) / F.lit(float(1 << 53))
-    sample = usable.join(per_lang, "lang").filter(draw * F.col("n") < train_docs).select("lang", "text")
+    few = usable.select("doc_id", "lang").join(stored(per_lang, "lang-sizes"), "lang").filter(draw * F.col("n") < train_docs)
+    few = stored(few.select(F.col("doc_id").alias("__doc"), "lang"), "lang-sample")
+    sample = docs.select("doc_id", "text").join(few, F.col("doc_id") == F.col("__doc")).select("lang", "text")
     counts = _counts(sample)
     langs = sorted(counts)
     table = np.stack([counts[x] for x in langs], 1) if langs else np.zeros((1 << BUCKET_BITS, 0))
