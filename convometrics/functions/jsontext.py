@@ -105,14 +105,23 @@ def canon(x: Column, t: Column | None = None) -> Column:
     """Typed canonical text of a JSON value, so that equality follows Python's ``==``.
 
     ``"4"`` differs from ``4``; ``4 == 4.0``; ``true == 1``; absent and JSON null
-    both compare as ``None`` (SQL NULL here).  Objects and arrays compare by text.
+    both compare as ``None`` (SQL NULL here).  Whole numbers are compared exactly
+    (up to 38 digits), others as doubles.  Objects and arrays compare by text.
     ``t`` is the precomputed ``vtype(x)`` when available.
     """
     t = vtype(x) if t is None else t
+    d = vdouble(x)
+    whole = F.when(
+        d == F.floor(d),
+        F.when(F.abs(d) < 9007199254740992, d.try_cast("bigint").cast("string")).otherwise(
+            F.try_variant_get(x, "$", "decimal(38,0)").cast("string")
+        ),
+    )
+    number = F.concat(F.lit("n:"), F.coalesce(whole, d.cast("string")))
     return (
         F.when(t == "string", F.concat(F.lit("s:"), vstring(x)))
-        .when(t == "number", F.concat(F.lit("n:"), vdouble(x).cast("string")))
-        .when(t == "boolean", F.when(vbool(x), "n:1.0").otherwise("n:0.0"))
+        .when(t == "number", number)
+        .when(t == "boolean", F.when(vbool(x), "n:1").otherwise("n:0"))
         .when(t.isin("object", "array"), F.concat(F.lit("j:"), F.to_json(x)))
     )
 
@@ -122,11 +131,11 @@ def canon_str(c: Column) -> Column:
 
 
 def canon_int(c: Column) -> Column:
-    return F.concat(F.lit("n:"), c.cast("double").cast("string"))
+    return F.concat(F.lit("n:"), c.cast("bigint").cast("string"))
 
 
 def canon_bool(c: Column) -> Column:
-    return F.when(c, "n:1.0").when(~c, "n:0.0")
+    return F.when(c, "n:1").when(~c, "n:0")
 
 
 def json_escape(c: Column) -> Column:

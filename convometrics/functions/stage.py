@@ -15,23 +15,18 @@ def stage(df: DataFrame) -> DataFrame:
     times).  A one-element ``inline`` (a Generate node) is a boundary neither
     rule crosses: filters on its output stay above it, and projections on each
     side collapse separately.  It runs inside whole-stage codegen, costs one
-    struct per row and no I/O or shuffle.  Unused columns are still pruned.
+    struct per row and no I/O or shuffle.  It also stops column pruning: every
+    column of ``df`` is computed, so select what is needed before it.
     """
     return df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin the rows over the cluster when the input has too few partitions.
+def spread(df: DataFrame, num_partitions: int) -> DataFrame:
+    """Deal the rows evenly to ``num_partitions``, for CPU-bound work on rows of a few bytes.
 
-    Per-row JSON work is CPU-bound; a small input file arrives as one split and
-    would run in one task.  Large inputs already have thousands of splits and
-    pass through untouched (no extra shuffle).
+    The number is the caller's: nothing of ``df`` is run to decide.
     """
-    sc = df.sparkSession.sparkContext
-    target = min_partitions or sc.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    return df.repartition(num_partitions)
 
 
 def materialize(df: DataFrame, path: str) -> DataFrame:

@@ -29,6 +29,7 @@ from .payload import (
     normalize_resolved_leaf,
     normalize_resolved_text,
     parse_replies,
+    serialize,
     validate,
     with_metrics,
 )
@@ -75,15 +76,15 @@ def parse_gold(df: DataFrame, gold: str = "gold_json") -> DataFrame:
     """Gold text -> ``gold`` VARIANT (NULL when not strict JSON) + ``_g_*`` leaves."""
     g = F.col(gold)
     df = df.withColumn("gold", parse_strict(g))
-    return explode_payload(df, "gold", "_g", typed=False)
+    return explode_payload(df, "gold", "_g", typed=False, fields=SCORED_FIELDS)
 
 
 # ---------------------------------------------------------------------------
 # E1-E3 field matches
 #
-# Each side is reduced to canonical comparison keys *before* the join: the
-# parsing runs at the input's own parallelism and the shuffle carries short
-# strings instead of parsed documents.
+# Each side is reduced to canonical comparison keys, and to the columns named
+# here, *before* the join: the shuffle carries short strings, and no document
+# unless the caller asks for them.
 # ---------------------------------------------------------------------------
 
 
@@ -120,10 +121,17 @@ def gold_keys(gold: DataFrame, gold_col: str = "gold_json") -> DataFrame:
     return drop_leaves(g.withColumns(cols), "_g").drop("gold")
 
 
-def prediction_keys(pred: DataFrame, reply: str = "reply") -> DataFrame:
-    """Prediction side: parse, validate, then one canonical key per field and ``pred_resolved``."""
+def prediction_keys(pred: DataFrame, reply: str = "reply", documents: bool = False) -> DataFrame:
+    """Prediction side: parse, validate, then one canonical key per field and ``pred_resolved``.
+
+    ``documents`` adds ``pred_json``: the validated record, or the raw object, as text.
+    """
     p = prepare_predictions(pred, reply)
     cols = {_pkey(f): _pred_canon(f) for f in ALL_KEY_FIELDS}
+    if documents:
+        cols["pred_json"] = F.when(F.col("status") == "valid", serialize(F.col("metrics"))).when(
+            F.col("status") == "raw", F.to_json(F.col("payload"))
+        )
     cols["pred_resolved"] = F.when(F.col("status") != "error", resolved_pred())
     return drop_leaves(p.withColumns(cols), "_p")
 
@@ -147,16 +155,43 @@ def score(df: DataFrame) -> DataFrame:
     return out.withColumn("strict", F.when(F.col("scored"), strict)).drop(*keys)
 
 
-def evaluate(gold: DataFrame, pred: DataFrame, key: str = "k") -> DataFrame:
+_GOLD_SIDE = ["gold_ok", "gold_resolved", "gold_intent", *[_gkey(f) for f in ALL_KEY_FIELDS]]
+_PRED_SIDE = ["status", "error", "pred_resolved", *[_pkey(f) for f in ALL_KEY_FIELDS]]
+
+
+def evaluate(gold: DataFrame, pred: DataFrame, key: str = "k", documents: bool = False) -> DataFrame:
     """E0 + P2-P5 + E1-E3: one row per gold key with status, matches and latency.
 
-    A gold key without a prediction is an error row ("no prediction").
+    A gold key without a prediction is an error row ("no prediction").  Keys are
+    expected to be unique on the prediction side (``duplicate_keys`` finds
+    those that are not).  ``documents`` keeps ``gold_json`` and ``pred_json``.
     """
-    paired = pair(gold_keys(gold), prediction_keys(pred), key)
+    passed = [c for c in ("latency_ms", "model_error") if c in pred.columns]
+    left = gold_keys(gold).select(key, *_GOLD_SIDE, *(["gold_json"] if documents else []))
+    right = prediction_keys(pred, documents=documents).select(
+        key, *_PRED_SIDE, *passed, *(["pred_json"] if documents else [])
+    )
+    paired = pair(left, right, key)
     paired = paired.withColumn(
         "error", F.when(F.col("model_error") == NO_PREDICTION, F.lit(NO_PREDICTION)).otherwise(F.col("error"))
     )
-    return stage(score(paired))
+    return score(paired)
+
+
+def evaluate_rows(df: DataFrame, keep: list[str], gold: str = "gold_json") -> DataFrame:
+    """P2-P5 + E1-E3 where gold and reply stand in one row: no join.
+
+    ``df``: ``keep`` columns, the gold text, ``reply``, ``latency_ms``,
+    ``model_error``.  Returns them with status, matches, ``gold_json`` and ``pred_json``.
+    """
+    keyed = prediction_keys(gold_keys(df, gold), documents=True)
+    both = [*_GOLD_SIDE, *_PRED_SIDE, "latency_ms", "model_error", "pred_json"]
+    return score(keyed.select(*keep, F.col(gold).alias("gold_json"), *both))
+
+
+def duplicate_keys(df: DataFrame, key: str = "k") -> DataFrame:
+    """Keys that stand in several rows, with their number: a prediction table should give none."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
 
 
 # ---------------------------------------------------------------------------
@@ -229,19 +264,19 @@ def missed_fields(df: DataFrame) -> Column:
     return F.array_compact(F.array(*[F.when(~F.col(match_col(f)), F.lit(f)) for f in SCORED_FIELDS]))
 
 
-def strict_failures(scored: DataFrame, key: str = "k") -> DataFrame:
+def strict_failures(scored: DataFrame, *key: str) -> DataFrame:
     """Scored rows that are not strict matches, with the missed fields listed."""
     return scored.filter(F.col("scored") & ~F.col("strict")).select(
-        F.col(key),
+        *(key or ("k",)),
         F.concat_ws(", ", missed_fields(scored)).alias("missed"),
         F.size(missed_fields(scored)).alias("n_missed"),
     )
 
 
-def runtime_errors(scored: DataFrame, key: str = "k") -> DataFrame:
+def runtime_errors(scored: DataFrame, *key: str) -> DataFrame:
     """Rows with an error, message cut at 200 characters."""
     return scored.filter(F.col("error").isNotNull()).select(
-        F.col(key), F.substring(F.col("error"), 1, 200).alias("error")
+        *(key or ("k",)), F.substring(F.col("error"), 1, 200).alias("error")
     )
 
 

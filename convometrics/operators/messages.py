@@ -104,7 +104,7 @@ def sequence_budget(df: DataFrame, text: str, counter: Callable[[Column], Column
 
 
 def system_prompt_audit(df: DataFrame, system: str = "system_prompt") -> DataFrame:
-    """How many rows use exactly the training system prompt."""
-    return df.groupBy((F.col(system) == F.lit(SYSTEM_PROMPT)).alias("matches_training")).agg(
+    """How many rows use exactly the training system prompt (a missing one does not)."""
+    return df.groupBy(F.col(system).eqNullSafe(F.lit(SYSTEM_PROMPT)).alias("matches_training")).agg(
         F.count(F.lit(1)).alias("n")
     )

@@ -33,7 +33,7 @@ from ..functions.jsontext import (
     vshape,
     vtype,
 )
-from ..schema import FIELD_RULES, GROUPS, VOCABULARIES, FieldRule
+from ..schema import FIELD_RULES, GROUPS, VOCABULARIES, VOCABULARY_NAMES, FieldRule
 
 # ---------------------------------------------------------------------------
 # P1 vocabulary dimension
@@ -41,9 +41,9 @@ from ..schema import FIELD_RULES, GROUPS, VOCABULARIES, FieldRule
 
 
 def vocabulary_df(spark: SparkSession) -> DataFrame:
-    """(field, ordinal, value) for the five controlled vocabularies (44 rows, fixed size)."""
-    rows = [(f, i, v) for f, vals in VOCABULARIES.items() for i, v in enumerate(vals)]
-    return spark.createDataFrame(rows, "field string, ordinal int, value string")
+    """(field, ordinal, name, value) for the five controlled vocabularies (25 rows, fixed size)."""
+    rows = [(f, i, VOCABULARY_NAMES[f][i], v) for f, vals in VOCABULARIES.items() for i, v in enumerate(vals)]
+    return spark.createDataFrame(rows, "field string, ordinal int, name string, value string")
 
 
 # ---------------------------------------------------------------------------
@@ -74,6 +74,7 @@ def unfence(reply: Column) -> Column:
 # P3 parse
 # ---------------------------------------------------------------------------
 
+# Fixed value: the wording of the error text.
 PARSE_ERROR_PREFIX = "Model output could not be parsed as JSON. Raw reply:\n"
 
 
@@ -158,21 +159,25 @@ def leaf_columns(prefix: str) -> list[str]:
     return cols
 
 
-def explode_payload(df: DataFrame, payload: str = "payload", prefix: str = "_p", typed: bool = True) -> DataFrame:
-    """Add per-leaf VARIANT, type and (when ``typed``) coerced-value columns for ``payload``."""
+def explode_payload(
+    df: DataFrame, payload: str = "payload", prefix: str = "_p", typed: bool = True, fields: list[str] | None = None
+) -> DataFrame:
+    """Add per-leaf VARIANT, type and (when ``typed``) coerced-value columns for ``payload``.
+
+    ``fields`` limits the leaves to those a job uses; without it the shapes of
+    the root and of the groups, which validation needs, are added too.
+    """
     p = F.col(payload)
-    df = df.withColumns(
-        {leaf_col(prefix, "t", "root"): vshape(p)}
-        | {leaf_col(prefix, "t", g): vshape(vget(p, g)) for g in GROUPS}
-        | {leaf_col(prefix, "x", r.name): vget(p, r.path) for r in FIELD_RULES}
-    )
-    df = df.withColumns(
-        {leaf_col(prefix, "t", r.name): vtype(F.col(leaf_col(prefix, "x", r.name))) for r in FIELD_RULES}
+    rules = [r for r in FIELD_RULES if fields is None or r.name in fields]
+    shapes = {} if fields is not None else (
+        {leaf_col(prefix, "t", "root"): vshape(p)} | {leaf_col(prefix, "t", g): vshape(vget(p, g)) for g in GROUPS}
     )
+    df = df.withColumns(shapes | {leaf_col(prefix, "x", r.name): vget(p, r.path) for r in rules})
+    df = df.withColumns({leaf_col(prefix, "t", r.name): vtype(F.col(leaf_col(prefix, "x", r.name))) for r in rules})
     if not typed:
         return df
     typed_cols = {}
-    for r in FIELD_RULES:
+    for r in rules:
         x, t = F.col(leaf_col(prefix, "x", r.name)), F.col(leaf_col(prefix, "t", r.name))
         if r.kind in ("str", "enum"):
             v = F.when(t == "string", vstring(x))
@@ -243,12 +248,13 @@ def typed_value(prefix: str, rule: FieldRule, fill_defaults: bool = True) -> Col
     return v
 
 
-def metrics_struct(prefix: str = "_p", fill_defaults: bool = True) -> Column:
-    """The nested metrics record (METRICS_SCHEMA shape) built from exploded leaves."""
+def metrics_struct(prefix: str = "_p", fill_defaults: bool = True, fields: list[str] | None = None) -> Column:
+    """The nested metrics record (METRICS_SCHEMA shape, or its ``fields``) built from exploded leaves."""
     groups = []
     for g in GROUPS:
-        leaves = [typed_value(prefix, r, fill_defaults).alias(r.name) for r in FIELD_RULES if r.group == g]
-        groups.append(F.struct(*leaves).alias(g))
+        rules = [r for r in FIELD_RULES if r.group == g and (fields is None or r.name in fields)]
+        if rules:
+            groups.append(F.struct(*[typed_value(prefix, r, fill_defaults).alias(r.name) for r in rules]).alias(g))
     return F.struct(*groups)
 
 
@@ -257,10 +263,12 @@ def with_metrics(df: DataFrame, prefix: str = "_p", status: str = "status") -> D
     return df.withColumn("metrics", F.when(F.col(status) == "valid", metrics_struct(prefix)))
 
 
-def records(df: DataFrame, payload: str = "payload", fill_defaults: bool = False, name: str = "record") -> DataFrame:
-    """Typed record of any payload (gold included): lax coercion, no validation gate."""
-    df = explode_payload(df, payload, "_r")
-    return drop_leaves(df.withColumn(name, metrics_struct("_r", fill_defaults)), "_r")
+def records(
+    df: DataFrame, payload: str = "payload", fill_defaults: bool = False, name: str = "record", fields: list[str] | None = None
+) -> DataFrame:
+    """Typed record of any payload (gold included): lax coercion, no validation gate; ``fields``: only these leaves."""
+    df = explode_payload(df, payload, "_r", fields=fields)
+    return drop_leaves(df.withColumn(name, metrics_struct("_r", fill_defaults, fields)), "_r")
 
 
 def flatten(df: DataFrame, record: str = "metrics", keep: list[str] | None = None) -> DataFrame:

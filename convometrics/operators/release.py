@@ -24,14 +24,17 @@ def required_artifacts(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "repo string, artifact string")
 
 
-def present_artifacts(staged: DataFrame, card_present: bool = False) -> DataFrame:
-    """Artifacts a staged dataset provides: ``<split>.jsonl`` per non-empty split, plus the card."""
-    spark = staged.sparkSession
-    files = staged.select(F.concat(F.col("split"), F.lit(".jsonl")).alias("artifact")).distinct()
-    files = files.withColumn("repo", F.lit("dataset"))
-    if card_present:
-        files = files.unionByName(spark.createDataFrame([("dataset", "README.md")], "repo string, artifact string"))
-    return files
+def present_artifacts(spark: SparkSession, path: str, repo: str = "dataset") -> DataFrame:
+    """Artifacts found by listing a staged repository.
+
+    A split written as a directory (``split=<name>/part-*``) counts as
+    ``<name>.jsonl``, any other file by its own name.  Only names are read.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
+    split = F.regexp_extract("path", r"/split=([^/]+)/part-[^/]*$", 1)
+    own = F.element_at(F.split("path", "/"), -1)
+    name = F.when(split != "", F.concat(split, F.lit(".jsonl"))).otherwise(own)
+    return files.filter("length > 0").select(F.lit(repo).alias("repo"), name.alias("artifact")).distinct()
 
 
 def missing_artifacts(required: DataFrame, present: DataFrame) -> DataFrame:

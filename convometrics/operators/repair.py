@@ -1,9 +1,9 @@
 """JSONL repair and validation as corpus jobs (V1-V7).
 
 Per-line rules are column expressions (``instr``/``substring``/``replace``);
-the corpus jobs are projections plus one ``groupBy`` for the summary.  Output
-always goes to a new directory (Spark does not overwrite what it reads); the
-input stays as the backup.
+the corpus jobs are projections plus one ``groupBy`` for the summary.
+``write_repaired`` and ``write_normalized`` write to a new versioned directory
+(Spark does not overwrite what it reads); the input stays as the backup.
 """
 
 from __future__ import annotations
@@ -11,11 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.jsontext import parse_strict, find0, is_object, json_escape, json_valid, rfind0, slice0, ustrip, vget, vtype
+from ..functions.jsontext import parse_strict, find0, is_object, json_escape, json_quote, json_valid, rfind0, slice0, ustrip, vget, vtype
 from ..functions.stage import stage
 from ..schema import GROUPS
+from ..session import scratch_path
 
-# Literal markers of the hand-written eval lines (compact and spaced variants).
+# Literal markers of the hand-written eval lines (compact and spaced variants).
 USER_MARKERS = [
     ('"role":"user","content":"', '"},{"role":"assistant"'),
     ('"role": "user", "content": "', '"}, {"role": "assistant"'),
@@ -85,7 +86,8 @@ def normalize_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     turning ``\\"`` into ``"`` (then the line is rewritten) -- and the inner
     object has the three groups.  Object-valued content is dropped here (the
     evaluation loader accepts it).  Rewritten lines are re-serialized compactly
-    with ``role``/``content`` per message.
+    with every field of the record and of its messages, in their order; only
+    the third content changes, to the text that parsed.
     """
     s = ustrip(F.col(value))
     df = stage(lines.withColumn("_s", s).withColumn("_v", parse_strict(F.col("_s"))))
@@ -118,17 +120,23 @@ def normalize_lines(lines: DataFrame, value: str = "value") -> DataFrame:
         .when(~has_groups, F.lit("missing_group"))
     )
     outcome = F.when(reason.isNotNull(), F.lit("dropped")).when(F.col("_ok1"), F.lit("kept")).otherwise(F.lit("rewritten"))
-    msgs = F.from_json(F.col("_s"), "messages array<struct<role:string,content:string>>").getField("messages")
-    rewritten = F.to_json(
-        F.struct(
-            F.transform(
-                msgs,
-                lambda m, i: F.when(
-                    i == 2, F.struct(m.getField("role").alias("role"), F.to_json(F.col("_inner")).alias("content"))
-                ).otherwise(m),
-            ).alias("messages")
-        )
-    )
+    # the record as text, field by field: maps keep the order of the fields, whatever they are
+    fields = F.from_json(F.col("_s"), "map<string,variant>")
+    msgs = F.from_json(F.col("_s"), "struct<messages: array<map<string,variant>>>").getField("messages")
+
+    def object_text(entries: Column, value) -> Column:
+        pairs = F.transform(F.map_entries(entries), lambda e: F.concat(json_quote(e["key"]), F.lit(":"), value(e)))
+        return F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}"))
+
+    def plain(e: Column) -> Column:
+        return F.coalesce(F.to_json(e["value"]), F.lit("null"))
+
+    def message(m: Column, i: Column) -> Column:
+        changed = object_text(m, lambda e: F.when(e["key"] == "content", json_quote(F.col("_c2"))).otherwise(plain(e)))
+        return F.when(i == 2, changed).otherwise(object_text(m, plain))
+
+    all_messages = F.concat(F.lit("["), F.array_join(F.transform(msgs, message), ","), F.lit("]"))
+    rewritten = object_text(fields, lambda e: F.when(e["key"] == "messages", all_messages).otherwise(plain(e)))
     df = df.withColumn("reason", reason).withColumn("outcome", outcome)
     df = df.withColumn(
         "normalized",
@@ -144,6 +152,40 @@ def filter_valid(normalized: DataFrame) -> tuple[DataFrame, DataFrame]:
     return kept, dropped
 
 
+# ---------------------------------------------------------------------------
+# S7 written corpora
+# ---------------------------------------------------------------------------
+
+
+def _write_lines(df: DataFrame, text: str, layout: list[str], path: str) -> None:
+    """One text line a row, in the layout's directories, in line order within a file."""
+    writer = df.select(*layout, F.col(text).alias("value")).write.mode("errorifexists")
+    (writer.partitionBy(*layout) if layout else writer).text(path)
+
+
+def write_repaired(repaired: DataFrame, path: str | None = None, layout: list[str] | None = None) -> str:
+    """S7 of V4: repaired lines and the numbers of the others, in a new directory; returns it.
+
+    ``layout``: partition columns of the corpus, kept as directories.  Lines stay
+    in the order in which a task reads them.
+    """
+    layout = layout or []
+    path = path or scratch_path(repaired.sparkSession, "repaired")
+    _write_lines(repaired.filter(F.col("status") == "fixed"), "repaired", layout, f"{path}/lines")
+    repaired.filter(F.col("status") != "fixed").select(*layout, "line_num", "status").write.json(f"{path}/dropped")
+    return path
+
+
+def write_normalized(normalized: DataFrame, path: str | None = None, layout: list[str] | None = None) -> str:
+    """S7 of V6: kept and rewritten lines, and dropped line numbers with their reason, in a new directory."""
+    layout = layout or []
+    path = path or scratch_path(normalized.sparkSession, "normalized")
+    kept, dropped = filter_valid(normalized)
+    _write_lines(kept, "normalized", layout, f"{path}/lines")
+    dropped.select(*layout, "line_num", "reason").write.json(f"{path}/dropped")
+    return path
+
+
 # ---------------------------------------------------------------------------
 # V7 transcript and gold from a record
 # ---------------------------------------------------------------------------

@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import CHANNELS, GENERATION_PROMPT_TEMPLATE, PERSONAS, SCENARIOS
+from ..functions.jsontext import ustrip
+from ..functions.stage import materialize, stage
+from ..schema import CHANNELS, GENERATION_PROMPT_TEMPLATE, PERSONAS, SCENARIOS, SYSTEM_PROMPT
+from ..sources.chatml import append_jsonl
+from . import extract as ex
+from .messages import training_messages
+from .payload import explode_payload, parse_replies, serialize, validate, with_metrics
 
 AXES = {"channel": CHANNELS, "persona": PERSONAS, "scenario": SCENARIOS}
 
@@ -53,3 +61,50 @@ def render_prompt(channel: Column, persona: Column, scenario: Column) -> Column:
         pieces += [F.lit(before), col]
     pieces.append(F.lit(rest))
     return F.concat(*pieces)
+
+
+# ---------------------------------------------------------------------------
+# G4 the whole pipeline
+# ---------------------------------------------------------------------------
+
+
+@dataclass
+class SyntheticRun:
+    outcomes: DataFrame  # one row per sample: key, status (ok / generation_failed / extraction_failed), error, attempts
+    rows_path: str  # appended training rows
+
+
+def _stripped_prompt(transcript: str) -> str:
+    """The extraction prompt of a generated transcript, as T5/T6 render it."""
+    return f"<|im_start|>system\n{SYSTEM_PROMPT}<|im_end|>\n<|im_start|>user\nTranscript:\n{transcript.strip()}<|im_end|>\n<|im_start|>assistant\n"
+
+
+def run_pipeline(samples: DataFrame, key: str, prompt: str, generator, labeller, out_dir: str, sleep=None) -> SyntheticRun:
+    """Generate, label, validate and append (S4); failed samples keep their reason.
+
+    One pass per sample over both models, with one retry delay carried from
+    generation to labelling.  A label that is not valid after parsing (P3-P5)
+    fails the sample.  Model outputs are written once; rows are appended from there.
+    """
+    stages = [("generation", generator, ex.not_blank), ("extraction", labeller, None, _stripped_prompt)]
+    made = ex.run_stages(samples, key, prompt, stages, sleep=sleep, outputs=True)
+    made = materialize(made, f"{out_dir}/model_outputs")
+    replies = made.withColumnsRenamed({"status": "stage_status", "error": "stage_error"})
+    parsed = explode_payload(stage(parse_replies(replies, "output", "stage_error")))
+    checked = stage(with_metrics(validate(parsed)))
+    bad_label = (F.col("stage_status") == "ok") & (F.col("status") != "valid")
+    joined = checked.select(
+        key,
+        F.when(bad_label, F.lit("extraction_failed")).otherwise(F.col("stage_status")).alias("status"),
+        F.when(bad_label, F.coalesce("error", F.concat_ws("; ", "violations"))).otherwise(F.col("stage_error")).alias("error"),
+        "generation_attempts",
+        "extraction_attempts",
+        "generation_output",
+        serialize(F.col("metrics")).alias("label"),
+    )
+    joined = materialize(joined, f"{out_dir}/labelled")
+    rows_path = f"{out_dir}/rows"
+    ok = joined.filter(F.col("status") == "ok")
+    append_jsonl(ok.select(training_messages(ustrip(F.col("generation_output")), F.col("label")).alias("messages")), rows_path)
+    attempts = ["generation_attempts", "extraction_attempts"]
+    return SyntheticRun(joined.select(key, "status", "error", *attempts), rows_path)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.jsontext import json_valid, ustrip
-from ..functions.stage import materialize, spread, stage
+from ..functions.stage import stage
 from ..operators import evaluate as ev
 from ..operators import extract as ex
 from ..operators import messages as msg
@@ -45,8 +45,7 @@ def extraction_prompts(spark: SparkSession, sf: str) -> DataFrame:
 
 def extracted(spark: SparkSession, sf: str) -> DataFrame:
     """X1 on FX2: model once per task, then P2-P5 as native columns."""
-    p = spread(extraction_prompts(spark, sf))
-    called = ex.run_model(p, fm.extractor_factory, "conv_id", "prompt")
+    called = ex.run_model(extraction_prompts(spark, sf), fm.extractor_factory, "conv_id", "prompt", carry=["transcript"])
     return ev.prepare_predictions(called)
 
 
@@ -86,8 +85,8 @@ def q_build_training_rows(spark, sf):
         "conv_id",
         F.size(m).cast("long").alias("n_messages"),
         F.array_join(F.transform(m, lambda x: x.getField("role")), ",").alias("roles"),
-        F.length(m[1].getField("content")).cast("long").alias("user_chars"),
-        F.get_json_object(m[2].getField("content"), "$.behavioral_analytics.customer_intent").alias("assistant_intent"),
+        F.md5(m[1].getField("content")).alias("user_md5"),
+        F.md5(m[2].getField("content")).alias("assistant_md5"),
         json_valid(F.col("line")).alias("line_valid"),
     )
 
@@ -115,7 +114,7 @@ def q_sequence_budget(spark, sf):
 
 
 def request_table(spark, sf):
-    return rq.classify_requests(spread(fx.request_bodies(spark, sf)))
+    return rq.classify_requests(fx.request_bodies(spark, sf))
 
 
 def q_system_prompt_audit(spark, sf):
@@ -135,7 +134,7 @@ def q_batch_extract(spark, sf):
 
 
 def q_retry_outcomes(spark, sf):
-    p = spread(extraction_prompts(spark, sf))
+    p = extraction_prompts(spark, sf)
     stages = [("generation", fm.flaky_factory("generation")), ("extraction", fm.flaky_factory("extraction"))]
     r = ex.run_stages(p, "conv_id", "prompt", stages, sleep=ex.no_sleep)
     return r.select("conv_id", "status", "generation_attempts", "extraction_attempts", "waited_sec")
@@ -143,13 +142,12 @@ def q_retry_outcomes(spark, sf):
 
 def q_grounding_audit(spark, sf):
     """Q2: extracted quotes and intent reasoning must occur in the transcript (whitespace folded)."""
-    e = extracted(spark, sf).filter(F.col("status") == "valid").select("conv_id", "metrics")
-    t = transcripts(spark, sf).select("conv_id", "transcript")
+    e = extracted(spark, sf).filter(F.col("status") == "valid").select("conv_id", "metrics", "transcript")
 
     def fold(c):
         return F.regexp_replace(ustrip(c), r"(?U)\s+", " ")
 
-    j = e.join(t, "conv_id").withColumn("_t", fold(F.col("transcript")))
+    j = e.withColumn("_t", fold(F.col("transcript")))
     quotes = F.col("metrics.behavioral_analytics.effort_and_friction_quotes")
     grounded = F.filter(quotes, lambda q: F.instr(F.col("_t"), fold(q)) > 0)
     reasoning = F.col("metrics.diagnostic_reasoning.intent_reasoning")
@@ -164,7 +162,7 @@ def q_grounding_audit(spark, sf):
 def q_scenario_grid(spark, sf):
     counts = samples(spark, sf).groupBy("channel_idx", "persona_idx", "scenario_idx").agg(F.count(F.lit(1)).alias("n"))
     grid = sy.with_labels(sy.scenario_grid(spark))  # 192 rows, fixed size
-    return F.broadcast(grid).join(counts, ["channel_idx", "persona_idx", "scenario_idx"], "left").select(
+    return grid.join(counts, ["channel_idx", "persona_idx", "scenario_idx"], "left").select(
         "channel_idx", "persona_idx", "scenario_idx", "channel", "persona", "scenario",
         F.coalesce("n", F.lit(0)).cast("long").alias("n_samples"),
     )
@@ -179,8 +177,8 @@ def q_render_prompts(spark, sf):
 
 
 def generated(spark, sf):
-    p = spread(prompts(spark, sf))
-    g = ex.run_model(p, fm.generator_factory, "sample_id", "prompt", retries=5, sleep=ex.no_sleep)
+    p = prompts(spark, sf)
+    g = ex.run_model(p, fm.generator_factory, "sample_id", "prompt", retries=5, sleep=ex.no_sleep, accept=ex.not_blank)
     return g.withColumn("transcript", ustrip(F.col("reply")))
 
 
@@ -190,23 +188,21 @@ def q_generate_transcripts(spark, sf):
 
 
 def q_synth_pipeline_status(spark, sf):
-    """Draw -> prompt -> generate (retries) -> extract (retries) -> training row; real counts by outcome."""
-    # generation output is used twice below: write it once (never call the model again)
-    g = materialize(generated(spark, sf), scratch_path(spark, "generated"))
-    ok = g.filter(F.col("model_error").isNull())
-    m = msg.extraction_messages(F.col("transcript"))
-    ok = ok.withColumn("eprompt", msg.chat_template(m, add_generation_prompt=True))
-    e = ex.run_model(ok.select("sample_id", "eprompt"), fm.extractor_factory, "sample_id", "eprompt", retries=5, sleep=ex.no_sleep)
-    status = (
-        g.join(e.select("sample_id", F.col("model_error").alias("ext_error")), "sample_id", "left")
-        .select(
-            F.when(F.col("model_error").isNotNull(), "generation_failed")
-            .when(F.col("ext_error").isNotNull(), "extraction_failed")
-            .otherwise("ok")
-            .alias("status")
-        )
+    """Draw -> prompt -> generate -> label (validated) -> training row -> append, read back and counted.
+
+    Both model stages run in one pass with one retry delay per sample.
+    """
+    made = sy.run_pipeline(
+        prompts(spark, sf), "sample_id", "prompt", fm.generator_factory, fm.extractor_factory, scratch_path(spark, "synthetic"),
+        sleep=ex.no_sleep,
+    )
+    outcomes = made.outcomes.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+    rows = chatml.read_training_jsonl(spark, made.rows_path)
+    appended = rows.agg(
+        F.lit("appended").alias("status"),
+        F.count_if((F.size("messages") == 3) & json_valid(F.col("messages")[2].getField("content"))).alias("n"),
     )
-    return status.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+    return outcomes.unionByName(appended)
 
 
 def q_roundtrip_append(spark, sf):
@@ -310,7 +306,7 @@ ORACLES = {
     "turn_count_audit": _with_tr("SELECT conv_id, n_turns, n_turns BETWEEN 6 AND 10 AS in_range FROM tr"),
     "build_training_rows": _with_tr_fx1(
         f"""SELECT tr.conv_id, CAST(3 AS BIGINT) AS n_messages, 'system,user,assistant' AS roles,
-        CAST(length(transcript) AS BIGINT) AS user_chars, {O.pick(CUSTOMER_INTENTS, 'g_intent')} AS assistant_intent,
+        md5(transcript) AS user_md5, md5(gold_json) AS assistant_md5,
         true AS line_valid FROM tr JOIN fx1s ON fx1s.k = tr.conv_id"""
     ),
     "build_prompt": _with_tr(f"SELECT conv_id, {_SYS} AS system, 'Transcript:' || {NL} || transcript AS user FROM tr"),
@@ -357,10 +353,11 @@ ORACLES = {
         CASE WHEN length(prompt) % 7 <> 0 THEN {_GEN_TEXT} END AS transcript,
         CAST(CASE WHEN length(prompt) % 7 = 0 THEN 5 ELSE 1 END AS INTEGER) AS attempts,
         CASE WHEN length(prompt) % 7 = 0 THEN 'Empty transcript returned' END AS error FROM prm""",
-    "synth_pipeline_status": f"""WITH {_SAMPLES}, {_PROMPTS}
-      SELECT status, count(*) AS n FROM (
+    "synth_pipeline_status": f"""WITH {_SAMPLES}, {_PROMPTS},
+      st AS (
         SELECT CASE WHEN length(prompt) % 7 = 0 THEN 'generation_failed'
-                    WHEN (12 + length({_GEN_TEXT})) % 13 = 0 THEN 'extraction_failed' ELSE 'ok' END AS status FROM prm) t
-      GROUP BY 1""",
+                    WHEN (12 + length({_GEN_TEXT})) % 13 = 0 THEN 'extraction_failed' ELSE 'ok' END AS status FROM prm)
+      SELECT status, count(*) AS n FROM st GROUP BY 1
+      UNION ALL SELECT 'appended', count(*) FILTER (WHERE status = 'ok') FROM st""",
     "roundtrip_append": _with_tr("SELECT conv_id, CAST(3 AS BIGINT) AS n_messages, CAST(2 AS BIGINT) AS n_copies FROM tr"),
 }

@@ -9,9 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.stage import stage
+from ..functions.jsontext import parse_strict
+from ..functions.stage import materialize, stage
 from ..operators import evaluate as ev
 from ..operators import payload as pl
+from ..operators import report as rep
 from ..schema import (
     CUSTOMER_INTENTS,
     DELIVERY_EXCEPTION_TYPES,
@@ -21,7 +23,9 @@ from ..schema import (
     SCORED_FIELDS,
     SENTIMENT_TRAJECTORIES,
     VOCABULARIES,
+    VOCABULARY_NAMES,
 )
+from ..session import scratch_path
 from ..sources import fixtures as fx
 from . import oracle_fx as O
 
@@ -44,9 +48,10 @@ def valid_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.filter(F.col("status") == "valid").select("k", "metrics")
 
 
-def gold_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = fx.gold_table(spark, sf_dir).withColumn("payload", F.try_parse_json("gold_json"))
-    return stage(pl.records(g, "payload", fill_defaults=False, name="record")).select("k", "record")
+def gold_records(spark: SparkSession, sf_dir: str, *fields: str) -> DataFrame:
+    """Typed gold records, limited to the leaves a query uses."""
+    g = stage(fx.gold_table(spark, sf_dir).select("k", parse_strict(F.col("gold_json")).alias("payload")))
+    return pl.records(g, "payload", fill_defaults=False, name="record", fields=list(fields) or None).select("k", "record")
 
 
 def _leaf(record: str, name: str):
@@ -98,17 +103,14 @@ def q_runtime_errors(spark, sf):
 
 
 def q_report_lines(spark, sf):
-    """Numeric rows of the markdown report: per field and strict, percent half-even to 0.1."""
-    s = ev.summary_counts(scored(spark, sf))
-    long = s.unpivot(["valid"], SCORED_FIELDS + ["strict_correct"], "label", "correct")
-    return long.select(
-        F.when(F.col("label") == "strict_correct", F.lit("strict")).otherwise(F.col("label")).alias("label"),
-        F.col("correct").cast("long").alias("correct"),
-        F.col("valid").cast("long").alias("valid"),
-        F.when(F.col("valid") > 0, F.bround(F.lit(100.0) * F.col("correct") / F.col("valid"), 1))
-        .otherwise(F.lit(0.0))
-        .alias("pct"),
-    )
+    """The lines of the report, without its headings: tables, failures and errors."""
+    s = materialize(scored(spark, sf).withColumn("file_path", F.lit("orders")).withColumnRenamed("k", "line_num"), scratch_path(spark, "scored"))
+    summary = rep.summary_of(ev.summary_counts(s).first().asDict())
+    key = ("file_path", "line_num")
+    lines = rep.report_lines("orders", summary, ev.strict_failures(s, *key), ev.runtime_errors(s, *key))
+    return lines.filter(F.col("line").startswith("| ") | F.col("line").startswith("- ")).filter(
+        ~F.col("line").startswith("| Metric") & ~F.col("line").startswith("| Field")
+    ).select("section", "line_num", "line")
 
 
 def q_sliced_accuracy(spark, sf):
@@ -172,16 +174,16 @@ def q_inspect_view(spark, sf):
 
 
 def q_vocabulary(spark, sf):
-    g = gold_records(spark, sf)
+    g = gold_records(spark, sf, *VOCABULARIES)
     counts = (
         g.select(*[_leaf("record", f).alias(f) for f in VOCABULARIES])
         .unpivot([], list(VOCABULARIES), "field", "value")
         .groupBy("field", "value")
         .agg(F.count(F.lit(1)).alias("n_gold"))
     )
-    dim = pl.vocabulary_df(spark)  # 44 rows: fixed size, safe to broadcast
-    return F.broadcast(dim).join(counts, ["field", "value"], "left").select(
-        "field", "ordinal", "value", F.coalesce("n_gold", F.lit(0)).cast("long").alias("n_gold")
+    dim = pl.vocabulary_df(spark)  # 25 rows
+    return dim.join(counts, ["field", "value"], "left").select(
+        "field", "ordinal", "name", "value", F.coalesce("n_gold", F.lit(0)).cast("long").alias("n_gold")
     )
 
 
@@ -206,7 +208,7 @@ def q_vocab_distribution(spark, sf):
         .agg(F.count(F.lit(1)).alias("n"))
     )
     dim = pl.vocabulary_df(spark)
-    return F.broadcast(dim).join(counts, ["field", "value"], "left").select(
+    return dim.join(counts, ["field", "value"], "left").select(
         "field", "value", F.coalesce("n", F.lit(0)).cast("long").alias("n")
     )
 
@@ -268,7 +270,7 @@ def q_queue_load(spark, sf):
 
 
 def q_resolution_consistency(spark, sf):
-    g = gold_records(spark, sf)
+    g = gold_records(spark, sf, "agent_explicitly_confirmed_resolution", "unresolved_next_steps")
     confirmed = _leaf("record", "agent_explicitly_confirmed_resolution")
     cls = pl.normalize_resolved_text(_leaf("record", "unresolved_next_steps"))
     return (
@@ -280,7 +282,7 @@ def q_resolution_consistency(spark, sf):
 
 
 def q_quote_count_audit(spark, sf):
-    g = gold_records(spark, sf)
+    g = gold_records(spark, sf, "effort_and_friction_quotes")
     n = F.size(_leaf("record", "effort_and_friction_quotes")).cast("long")
     return (
         g.select(n.alias("n_quotes"))
@@ -393,8 +395,10 @@ def _per_field_counts() -> str:
 
 
 def _vocab_values() -> str:
-    rows = [f"({O.lit(f)}, {i}, {O.lit(v)})" for f, vals in VOCABULARIES.items() for i, v in enumerate(vals)]
-    return "(VALUES " + ", ".join(rows) + ") AS v(field, ordinal, value)"
+    rows = [
+        f"({O.lit(f)}, {i}, {O.lit(VOCABULARY_NAMES[f][i])}, {O.lit(v)})" for f, vals in VOCABULARIES.items() for i, v in enumerate(vals)
+    ]
+    return "(VALUES " + ", ".join(rows) + ") AS v(field, ordinal, name, value)"
 
 
 def _vocab_counts(pre: str, where: str = "true", cause: str | None = None, effort: str | None = None) -> str:
@@ -457,9 +461,16 @@ ORACLES = {
         f"SELECT k, left({_PREFIX} || left(reply, 500) || '...', 200) AS error FROM fx1s WHERE r = 19"
     ),
     "report_lines": O.with_fx1(
-        f"""SELECT label, correct, valid,
-        CASE WHEN valid > 0 THEN round_even(CAST(100.0 AS DOUBLE) * correct / valid, 1) ELSE 0.0 END AS pct
-        FROM ({_per_field_counts()}) t"""
+        f"""SELECT 0 AS section, CAST(0 AS BIGINT) AS line_num, '| ' || label || ' | ' || correct || '/' || valid || ' | '
+              || printf('%.1f', 100.0 * correct / valid) || '% |' AS line FROM ({_per_field_counts()}) t WHERE label <> 'strict'
+        UNION ALL SELECT 0, 0, '| Strict accuracy (all key fields match) | ' || printf('%.1f', 100.0 * correct / valid) || '% ('
+              || correct || '/' || valid || ') |' FROM ({_per_field_counts()}) t WHERE label = 'strict'
+        UNION ALL SELECT 0, 0, unnest(['| Latency (mean) | ' || printf('%.2f', sum(latency_ms) / count(*) / 1000.0) || 's |',
+              '| Latency (min / max) | ' || printf('%.2f', min(latency_ms) / 1000.0) || 's / ' || printf('%.2f', max(latency_ms) / 1000.0) || 's |',
+              '| Latency (total) | ' || printf('%.2f', sum(latency_ms) / 1000.0) || 's |']) FROM fx1s
+        UNION ALL SELECT 1, k, '- **Line ' || k || '**: missed ' || concat_ws(', ', {", ".join(f"CASE WHEN NOT match_{f} THEN '{f}' END" for f in SCORED_FIELDS)})
+              FROM fx1s WHERE r <> 19 AND NOT strict
+        UNION ALL SELECT 3, k, '- Line ' || k || ': ' || left({_PREFIX} || left(reply, 500) || '...', 200) FROM fx1s WHERE r = 19"""
     ),
     "sliced_accuracy": O.with_fx1(
         f"""SELECT c.c_mktsegment AS segment, {O.pick(CUSTOMER_INTENTS, 'g_intent')} AS gold_intent,
@@ -516,7 +527,7 @@ ORACLES = {
         FROM fx1s WHERE {_VALIDW}"""
     ),
     "vocabulary": O.with_fx1(
-        f"""SELECT v.field, CAST(v.ordinal AS INTEGER) AS ordinal, v.value, CAST(coalesce(c.n, 0) AS BIGINT) AS n_gold
+        f"""SELECT v.field, CAST(v.ordinal AS INTEGER) AS ordinal, v.name, v.value, CAST(coalesce(c.n, 0) AS BIGINT) AS n_gold
         FROM {_vocab_values()} LEFT JOIN ({_vocab_counts('g')}) c ON c.field = v.field AND c.value = v.value"""
     ),
     "json_valid": O.with_fx1("SELECT k, json_valid(reply) AS reply_valid, json_valid(gold_json) AS gold_valid FROM fx1s"),

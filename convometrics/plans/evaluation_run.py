@@ -2,11 +2,13 @@
 
 ChatML JSONL (S1) -> transcript and gold (V7) -> extraction prompt (T5/T6) ->
 caller's model (X1; outputs written once) -> parse/validate/defaults (P2-P5)
--> pairing and field matches (E0-E3) -> results and outputs datasets (S5/S6)
--> one-pass aggregates (E4-E6) -> markdown report (E9).
+-> field matches (E1-E3) -> results and outputs datasets (S5/S6) -> one-pass
+aggregates (E4-E6) -> report (E9).
 
-Only fixed-size aggregates and the first ``max_report_lines`` failure/error
-lines reach the driver; the complete lists stay in the results dataset.
+Lines are classified and written once; gold text, file and line number travel
+with the prompt through the model call, so nothing is joined and a line number
+that occurs in several files stays apart.  Failures, errors, results and the
+report's lines are complete datasets; only one row of counts reaches the driver.
 """
 
 from __future__ import annotations
@@ -17,118 +19,92 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.stage import materialize, spread
+from ..functions.stage import materialize
 from ..operators import evaluate as ev
 from ..operators import extract as ex
 from ..operators import messages as msg
 from ..operators import repair as rp
-from ..schema import SCORED_FIELDS
+from ..operators import report as rep
 from ..session import configure, scratch_path
 from ..sources import chatml
-from .ops_queries import write_eval_outputs
+from .ops_queries import write_eval_outputs, write_eval_results
 
 
 @dataclass
 class EvalRun:
     summary: dict
-    per_field: list[tuple[str, int, float]]
-    report: str
+    report: str  # the fixed-size part; the complete text is at report_path
     results_path: str
+    summary_path: str
     outputs_path: str
+    failures_path: str
+    errors_path: str
+    report_path: str
     quarantine: DataFrame
 
 
-def _pct(x: float) -> str:
-    return f"{x:.1%}"  # Python formatting on the driver: half-even, as the published report
+def run_evaluation(
+    spark: SparkSession,
+    eval_path: str | list[str],
+    factory: ex.ModelFactory,
+    out_dir: str | None = None,
+    mode: str = "failfast",
+    system_prompt: str | None = None,
+    num_partitions: int | None = None,
+    batch_size: int = 1,
+    title: str = "Evaluation Report",
+) -> EvalRun:
+    """Run a model over an evaluation set and write everything under ``out_dir``.
 
-
-def render_report(eval_name: str, summary: dict, per_field: list, failures: list, errors: list,
-                  n_failures: int, n_errors: int, title: str = "Evaluation Report") -> str:
-    s, lat = summary, summary["latency"]
-    lines = [
-        f"# {title}",
-        "",
-        f"**Eval file:** `{eval_name}`  ",
-        f"**Total examples:** {s['total']}  ",
-        f"**Valid (no runtime error):** {s['valid']}  ",
-        f"**Errors:** {s['errors']}  ",
-        "",
-        "## Summary",
-        "",
-        "| Metric | Value |",
-        "|--------|--------|",
-        f"| Strict accuracy (all key fields match) | {_pct(s['strict_accuracy'])} ({s['strict_correct']}/{s['valid']}) |",
-        f"| Latency (mean) | {lat['mean']:.2f}s |",
-        f"| Latency (min / max) | {lat['min']:.2f}s / {lat['max']:.2f}s |",
-        f"| Latency (total) | {lat['total']:.2f}s |",
-        "",
-        "## Per-field accuracy",
-        "",
-        "| Field | Correct | Accuracy |",
-        "|-------|---------|----------|",
-    ]
-    for f, c, a in per_field:
-        lines.append(f"| {f} | {c}/{s['valid']} | {_pct(a)} |")
-    lines += ["", "## Failures (strict)"]
-    if not failures:
-        lines += ["", "None."]
-    for ln, missed in failures:
-        lines.append(f"- **Line {ln}**: missed {missed}")
-    if n_failures > len(failures):
-        lines.append(f"- ... {n_failures - len(failures)} more in the results dataset")
-    if errors:
-        lines += ["", "## Runtime errors"]
-        for ln, e in errors:
-            lines.append(f"- Line {ln}: {e}")
-        if n_errors > len(errors):
-            lines.append(f"- ... {n_errors - len(errors)} more in the results dataset")
-    lines.append("")
-    return "\n".join(lines)
-
-
-def run_evaluation(spark: SparkSession, eval_path: str, factory: ex.ModelFactory, out_dir: str | None = None,
-                   mode: str = "failfast", system_prompt: str | None = None, max_report_lines: int = 1000,
-                   report_path: str | None = None) -> EvalRun:
+    ``mode="failfast"`` raises, before any model call, on the first bad line and
+    on gold that is not JSON; ``"quarantine"`` sets bad lines aside and counts
+    bad gold as an error row.  ``num_partitions`` deals the prompts anew for the
+    model calls.
+    """
     configure(spark)
     out_dir = (out_dir or scratch_path(spark, "eval-run")).rstrip("/")
-    good, bad = chatml.read_chatml(spark, eval_path, mode)
-    tg = rp.transcript_and_gold(good).withColumn("k", F.col("line_num"))
+    good, bad = chatml.read_chatml(spark, eval_path, mode, store=f"{out_dir}/lines")
+    layout = [c for c in good.columns if c not in ("record", "messages", "n_messages", "line_num", "file_path")]
+    prepared = rp.transcript_and_gold(good).drop("record", "messages")
+    if mode == "failfast":
+        wrong = prepared.filter(~F.col("gold_ok")).agg(
+            F.min(F.struct("file_path", "line_num")).alias("first")
+        ).first()["first"]
+        if wrong is not None:
+            raise ValueError(f"{wrong['file_path']} line {wrong['line_num']}: {ev.BAD_GOLD}")
     sp = F.lit(system_prompt) if system_prompt is not None else None
-    prompts = tg.withColumn(
-        "prompt", msg.chat_template(msg.extraction_messages(F.col("transcript"), sp), add_generation_prompt=True)
+    prompts = prepared.select(
+        "file_path",
+        *layout,
+        "line_num",
+        F.when(F.col("gold_ok"), F.col("gold_json")).alias("gold_json"),
+        msg.chat_template(msg.extraction_messages(F.col("transcript"), sp), add_generation_prompt=True).alias("prompt"),
     )
+    if num_partitions:
+        prompts = prompts.repartition(num_partitions)
     # model outputs are written once: retries, recomputation and fan-out never call the model again
-    calls = materialize(ex.run_model(spread(prompts), factory, "k", "prompt"), f"{out_dir}/model_outputs")
-    gold = tg.select("k", F.when(F.col("gold_ok"), F.col("gold_json")).alias("gold_json"))
-    scored = materialize(ev.evaluate(gold, calls.select("k", "reply", "latency_ms", "model_error")), f"{out_dir}/results")
+    keep = ["file_path", *layout, "line_num"]
+    called = ex.run_model(prompts, factory, "line_num", "prompt", carry=["file_path", *layout, "gold_json"], batch_size=batch_size)
+    called = materialize(called, f"{out_dir}/model_outputs")
+    scored = materialize(ev.evaluate_rows(called, keep), f"{out_dir}/scored")
 
-    outputs_path = f"{out_dir}/outputs"
-    write_eval_outputs(scored, outputs_path)
-    c = ev.summary_counts(scored).first().asDict()
-    total, valid = c["total"], c["valid"]
-    summary = {
-        "total": total,
-        "valid": valid,
-        "errors": total - valid,
-        "strict_correct": c["strict_correct"],
-        "strict_accuracy": c["strict_correct"] / valid if valid else 0,
-        "per_field_accuracy": {f: (c[f] / valid if valid else 0) for f in SCORED_FIELDS},
-        "latency": {
-            "mean": c["latency_ms_total"] / total / 1000 if total else 0,
-            "min": (c["latency_ms_min"] or 0) / 1000,
-            "max": (c["latency_ms_max"] or 0) / 1000,
-            "total": (c["latency_ms_total"] or 0) / 1000,
-        },
-    }
-    per_field = [(f, c[f], summary["per_field_accuracy"][f]) for f in SCORED_FIELDS]
-    fails_df = ev.strict_failures(scored).orderBy("k")
-    errs_df = ev.runtime_errors(scored).orderBy("k")
-    failures = [(r["k"], r["missed"]) for r in fails_df.limit(max_report_lines).collect()]
-    errors = [(r["k"], r["error"]) for r in errs_df.limit(max_report_lines).collect()]
-    n_f = fails_df.count() if len(failures) == max_report_lines else len(failures)
-    n_e = errs_df.count() if len(errors) == max_report_lines else len(errors)
-    report = render_report(os.path.basename(eval_path.rstrip("/")), summary, per_field, failures, errors, n_f, n_e)
-    if report_path:
-        with open(report_path, "w", encoding="utf-8") as fh:
-            fh.write(report)
-    return EvalRun(summary, per_field, report, f"{out_dir}/results", outputs_path, bad)
+    write_eval_outputs(scored, f"{out_dir}/outputs", keep)
+    counts = ev.summary_counts(scored)
+    write_eval_results(scored, counts, f"{out_dir}/results", f"{out_dir}/summary", keep)
+    failures = materialize(ev.strict_failures(scored, *keep), f"{out_dir}/failures")
+    errors = materialize(ev.runtime_errors(scored, *keep), f"{out_dir}/errors")
+    summary = rep.summary_of(counts.first().asDict())
+    name = ", ".join(os.path.basename(p.rstrip("/")) for p in ([eval_path] if isinstance(eval_path, str) else eval_path))
+    rep.write_report(rep.report_lines(name, summary, failures, errors, title), f"{out_dir}/report")
+    text = "\n".join([
+        *rep.head_lines(name, summary, title),
+        "",
+        f"{summary['valid'] - summary['strict_correct']} lines, in {out_dir}/failures",
+        "",
+        rep.ERRORS_HEADING,
+        "",
+        f"{summary['errors']} lines, in {out_dir}/errors",
+        "",
+    ])
+    paths = [f"{out_dir}/{d}" for d in ("results", "summary", "outputs", "failures", "errors", "report")]
+    return EvalRun(summary, text, *paths, bad)

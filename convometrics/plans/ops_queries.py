@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from ..operators import audit, release, runlog
 from ..operators import evaluate as ev
-from ..operators.payload import serialize
-from ..schema import CUSTOMER_INTENTS
+from ..functions.stage import materialize
+from ..schema import CUSTOMER_INTENTS, SCORED_FIELDS
 from ..session import scratch_path
 from ..sources import chatml
 from ..sources import fixture_models as fm
@@ -54,25 +54,20 @@ def q_run_throughput(spark, sf):
 
 
 def q_publish_gate(spark, sf):
+    """Findings by kind, and whether the text may be published (no finding of the kind)."""
     return audit.publish_gate(fx.table(spark, sf, "documents"), "text")
 
 
-_STAGED: dict[tuple[int, str], str] = {}
-
-
 def staged_path(spark: SparkSession, sf: str) -> str:
-    key = (id(spark), sf)
-    if key not in _STAGED:
-        t = dq.gold_for_conversations(dq.transcripts(spark, sf))
-        rows = t.select(
-            "conv_id",
-            release.split_of(F.col("conv_id")).alias("split"),
-            dq.msg.training_messages(F.col("transcript"), F.col("gold_json")).alias("messages"),
-        )
-        path = scratch_path(spark, "release")
-        release.stage_splits(rows, path)
-        _STAGED[key] = path
-    return _STAGED[key]
+    t = dq.gold_for_conversations(dq.transcripts(spark, sf))
+    rows = t.select(
+        "conv_id",
+        release.split_of(F.col("conv_id")).alias("split"),
+        dq.msg.training_messages(F.col("transcript"), F.col("gold_json")).alias("messages"),
+    )
+    path = scratch_path(spark, "release")
+    release.stage_splits(rows, path)
+    return path
 
 
 def staged(spark, sf) -> DataFrame:
@@ -86,8 +81,8 @@ def q_staged_splits(spark, sf):
 
 
 def q_missing_artifacts(spark, sf):
-    s = staged(spark, sf)
-    return release.missing_artifacts(release.required_artifacts(spark), release.present_artifacts(s))
+    """Required files minus those that a listing of the staged directory finds."""
+    return release.missing_artifacts(release.required_artifacts(spark), release.present_artifacts(spark, staged_path(spark, sf)))
 
 
 def q_missing_splits(spark, sf):
@@ -101,7 +96,7 @@ def q_missing_splits(spark, sf):
 
 def _request_source(spark, sf) -> str:
     path = scratch_path(spark, "requests")
-    fx.request_bodies(spark, sf).repartition(4).write.json(path)
+    fx.request_bodies(spark, sf).write.json(path)
     return path
 
 
@@ -129,47 +124,86 @@ def q_stream_extract(spark, sf):
 OUTPUT_SCHEMA = "line_num bigint, pred string, gold string, latency_sec double, strict_match boolean, error string"
 
 
-def write_eval_outputs(scored: DataFrame, path: str) -> None:
-    """One JSON line per example, nulls kept (pred/gold as JSON text)."""
-    pred = F.when(F.col("status") == "valid", serialize(F.col("metrics"))).when(
-        F.col("status") == "raw", F.to_json(F.col("payload"))
-    )
-    rows = scored.select(
-        F.col("k").alias("line_num"),
-        pred.alias("pred"),
+def _result_columns(keep: list[str]) -> list:
+    return [
+        *keep,
+        F.col("pred_json").alias("pred"),
         F.col("gold_json").alias("gold"),
         (F.col("latency_ms").cast("double") / 1000).alias("latency_sec"),
         F.col("strict").alias("strict_match"),
         "error",
+    ]
+
+
+def write_eval_outputs(scored: DataFrame, path: str, keep: list[str]) -> None:
+    """One JSON line per example, nulls kept (pred/gold as JSON text)."""
+    chatml.write_jsonl_keep_nulls(scored.select(*_result_columns(keep)), path)
+
+
+def write_eval_results(scored: DataFrame, counts: DataFrame, results: str, summary: str, keep: list[str]) -> None:
+    """The per-row results (with every match) and the summary, as two datasets."""
+    match = F.struct(*[F.col(ev.match_col(f)).alias(f) for f in SCORED_FIELDS], F.col("strict"))
+    scored.select(*_result_columns(keep), "status", F.when(F.col("scored"), match).alias("match")).write.mode("overwrite").parquet(results)
+    valid = F.col("valid")
+    one = counts.select(
+        F.col("total").cast("long").alias("total"),
+        valid.cast("long").alias("valid"),
+        (F.col("total") - valid).cast("long").alias("errors"),
+        F.col("strict_correct").cast("long").alias("strict_correct"),
+        F.when(valid > 0, F.col("strict_correct").cast("double") / valid).otherwise(0.0).alias("strict_accuracy"),
+        F.struct(*[F.when(valid > 0, F.col(f).cast("double") / valid).otherwise(0.0).alias(f) for f in SCORED_FIELDS]).alias("per_field_accuracy"),
+        F.struct(
+            F.when(F.col("total") > 0, F.col("latency_ms_total").cast("double") / F.col("total") / 1000).otherwise(0.0).alias("mean"),
+            *[F.coalesce(F.col(f"latency_ms_{k}").cast("double") / 1000, F.lit(0.0)).alias(k) for k in ("min", "max", "total")],
+        ).alias("latency_sec"),
     )
-    chatml.write_jsonl_keep_nulls(rows, path)
+    one.write.mode("overwrite").json(summary)
+
+
+SUMMARY_SCHEMA = (
+    "total bigint, valid bigint, errors bigint, strict_correct bigint, strict_accuracy double, per_field_accuracy struct<"
+    + ", ".join(f"{f}: double" for f in SCORED_FIELDS)
+    + ">, latency_sec struct<mean: double, min: double, max: double, total: double>"
+)
 
 
 def q_eval_outputs(spark, sf):
+    """Every written line read back: prediction and gold as digests of their text."""
     path = scratch_path(spark, "eval-outputs")
-    write_eval_outputs(eq.scored(spark, sf), path)
+    scored = ev.evaluate(fx.gold_table(spark, sf), fx.prediction_table(spark, sf), "k", documents=True)
+    write_eval_outputs(scored.withColumnRenamed("k", "line_num"), path, ["line_num"])
     back = spark.read.schema(OUTPUT_SCHEMA).json(path)
-    return back.select("line_num", "latency_sec", "strict_match", "error", F.col("pred").isNotNull().alias("has_pred"))
+    return back.select(
+        "line_num", "latency_sec", "strict_match", "error", F.md5("gold").alias("gold_md5"),
+        F.col("pred").isNotNull().alias("has_pred"),
+        F.get_json_object("pred", "$.behavioral_analytics.customer_effort_score").cast("int").alias("pred_effort"),
+        F.get_json_object("pred", "$.operational_analytics.unresolved_next_steps").alias("pred_steps"),
+    )
 
 
 def q_eval_results(spark, sf):
-    """Summary and per-row results as two datasets (never one driver-side document); the summary read back."""
-    s = eq.scored(spark, sf)
+    """Summary and per-row results as two datasets (never one driver-side document), read back."""
     path = scratch_path(spark, "eval-results")
-    c = ev.summary_counts(s)  # one row, one pass
-    summary = c.select(
-        F.col("total").cast("long").alias("total"),
-        F.col("valid").cast("long").alias("valid"),
-        (F.col("total") - F.col("valid")).cast("long").alias("errors"),
-        F.col("strict_correct").cast("long").alias("strict_correct"),
-        F.when(F.col("valid") > 0, F.col("strict_correct").cast("double") / F.col("valid")).otherwise(0.0).alias("strict_accuracy"),
-        F.when(F.col("total") > 0, F.col("latency_ms_total").cast("double") / F.col("total") / 1000).otherwise(0.0).alias("latency_mean_sec"),
+    scored = ev.evaluate(fx.gold_table(spark, sf), fx.prediction_table(spark, sf), "k", documents=True)
+    s = materialize(scored.withColumnRenamed("k", "line_num"), f"{path}/scored")
+    write_eval_results(s, ev.summary_counts(s), f"{path}/results", f"{path}/summary", ["line_num"])
+    summary = spark.read.schema(SUMMARY_SCHEMA).json(f"{path}/summary")
+    flat = summary.select(
+        "total", "valid", "errors", "strict_correct", "strict_accuracy",
+        *[F.col(f"latency_sec.{c}").alias(f"latency_{c}_sec") for c in ("mean", "min", "max", "total")],
+        *[F.col(f"per_field_accuracy.{f}").alias(f"acc_{f}") for f in SCORED_FIELDS],
+    )
+    checks = spark.read.parquet(f"{path}/results").agg(
+        F.count(F.lit(1)).alias("n_results"),
+        F.count("pred").alias("n_pred"),
+        F.count("error").alias("n_error"),
+        F.count_if(F.col("match.customer_intent")).alias("n_intent_matches"),
     )
-    summary.write.mode("overwrite").json(f"{path}/summary")
-    s.select("k", "status", "strict", *ev.MATCH_COLS).write.mode("overwrite").parquet(f"{path}/results")
-    return spark.read.schema(
-        "total bigint, valid bigint, errors bigint, strict_correct bigint, strict_accuracy double, latency_mean_sec double"
-    ).json(f"{path}/summary")
+
+    def long(df: DataFrame) -> DataFrame:
+        return df.select(*[F.col(c).cast("double").alias(c) for c in df.columns]).unpivot([], df.columns, "label", "value")
+
+    return long(flat).unionByName(long(checks))
 
 
 QUERIES = {
@@ -193,13 +227,26 @@ QUERIES = {
 _SPLIT = """CASE WHEN b < 20 THEN 'test' WHEN b < 30 THEN 'validation' ELSE 'train' END"""
 _B = "CAST(CAST(('0x' || substr(md5('split:' || CAST(conv_id AS VARCHAR)), 1, 8)) AS BIGINT) % 100 AS INTEGER)"
 _CONVS = "SELECT DISTINCT conv_id FROM conversations WHERE role <> 'system'"
+_DIGITS = "regexp_replace(t, '[^0-9]', '', 'g')"
 _LUHN = (
-    "list_sum(list_transform(range(16), lambda i: CASE WHEN i % 2 = 1 THEN "
-    "(CASE WHEN coalesce(TRY_CAST(substr(t, 16 - i, 1) AS INTEGER), 0) * 2 > 9 THEN coalesce(TRY_CAST(substr(t, 16 - i, 1) AS INTEGER), 0) * 2 - 9 "
-    "ELSE coalesce(TRY_CAST(substr(t, 16 - i, 1) AS INTEGER), 0) * 2 END) ELSE coalesce(TRY_CAST(substr(t, 16 - i, 1) AS INTEGER), 0) END)) % 10 = 0"
+    f"list_sum(list_transform(range(length({_DIGITS})), lambda i: (CAST(substr({_DIGITS}, length({_DIGITS}) - CAST(i AS INTEGER), 1) AS INTEGER)"
+    f" * (1 + i % 2)) // 10 + (CAST(substr({_DIGITS}, length({_DIGITS}) - CAST(i AS INTEGER), 1) AS INTEGER) * (1 + i % 2)) % 10)) % 10 = 0"
 )
 _KREQ = "(22 + length(CAST(event_id AS VARCHAR)))"
 
+_RESULT_LABELS = [
+    "total", "valid", "errors", "strict_correct", "strict_accuracy", "latency_mean_sec", "latency_min_sec", "latency_max_sec",
+    "latency_total_sec", *[f"acc_{f}" for f in SCORED_FIELDS], "n_results", "n_pred", "n_error", "n_intent_matches",
+]
+_VALID = "count(*) FILTER (WHERE r <> 19)"
+_RESULT_VALUES = [
+    "count(*)", _VALID, "count(*) FILTER (WHERE r = 19)", "count(*) FILTER (WHERE strict)",
+    f"CAST(count(*) FILTER (WHERE strict) AS DOUBLE) / {_VALID}", "CAST(sum(latency_ms) AS DOUBLE) / count(*) / 1000",
+    "CAST(min(latency_ms) AS DOUBLE) / 1000", "CAST(max(latency_ms) AS DOUBLE) / 1000", "CAST(sum(latency_ms) AS DOUBLE) / 1000",
+    *[f"CAST(count(*) FILTER (WHERE match_{f}) AS DOUBLE) / {_VALID}" for f in SCORED_FIELDS],
+    "count(*)", _VALID, "count(*) FILTER (WHERE r = 19)", "count(*) FILTER (WHERE match_customer_intent)",
+]
+
 ORACLES = {
     "loss_curve": "SELECT event_id + 1 AS step, value AS loss FROM events",
     "loss_summary": """SELECT count(*) AS n_steps, arg_min(value, event_id) AS initial_loss, arg_max(value, event_id) AS final_loss,
@@ -215,14 +262,18 @@ ORACLES = {
     "publish_gate": f"""WITH d AS (
           SELECT len(regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{{2,}}')) AS email,
                  len(list_filter(list_transform(string_split_regex(text, '[^0-9.]+'), lambda x: trim(x, '.')),
-                     lambda x: regexp_full_match(x, '[0-9]{{1,3}}(\\.[0-9]{{1,3}}){{3}}'))) AS ipv4,
-                 len(list_filter(string_split_regex(text, '[^0-9]+'), lambda t: regexp_full_match(t, '[0-9]{{16}}') AND {_LUHN})) AS card_number,
+                     lambda x: regexp_full_match(x, '[0-9]{{1,3}}(\\.[0-9]{{1,3}}){{3}}')
+                       AND len(list_filter(string_split(x, '.'), lambda o: TRY_CAST(o AS INTEGER) > 255)) = 0)) AS ipv4,
+                 len(list_filter(regexp_extract_all(text, '[0-9](?:[ -]?[0-9])+'),
+                     lambda t: length({_DIGITS}) BETWEEN 13 AND 19 AND {_LUHN})) AS card_number,
                  len(regexp_extract_all(text, 'token\\s*=\\s*"[^"]*"')) AS secret_token
-          FROM documents)
+          FROM documents),
+        s AS (
         SELECT 'email' AS kind, count(*) FILTER (WHERE email > 0) AS n_docs, CAST(coalesce(sum(email), 0) AS BIGINT) AS n_matches FROM d
         UNION ALL SELECT 'ipv4', count(*) FILTER (WHERE ipv4 > 0), CAST(coalesce(sum(ipv4), 0) AS BIGINT) FROM d
         UNION ALL SELECT 'card_number', count(*) FILTER (WHERE card_number > 0), CAST(coalesce(sum(card_number), 0) AS BIGINT) FROM d
-        UNION ALL SELECT 'secret_token', count(*) FILTER (WHERE secret_token > 0), CAST(coalesce(sum(secret_token), 0) AS BIGINT) FROM d""",
+        UNION ALL SELECT 'secret_token', count(*) FILTER (WHERE secret_token > 0), CAST(coalesce(sum(secret_token), 0) AS BIGINT) FROM d)
+        SELECT kind, n_docs, n_matches, n_matches = 0 AS passed FROM s""",
     "staged_splits": f"SELECT split, count(*) AS n FROM (SELECT {_SPLIT} AS split FROM (SELECT conv_id, {_B} AS b FROM ({_CONVS}) c) x) y GROUP BY 1",
     "missing_artifacts": f"""SELECT repo, artifact FROM (VALUES ('dataset', 'README.md'), ('dataset', 'train.jsonl'), ('dataset', 'test.jsonl'),
           ('model', 'README.md'), ('model', 'adapter_config.json'), ('model', 'adapter_model.safetensors'),
@@ -246,12 +297,16 @@ ORACLES = {
     "eval_outputs": O.with_fx1(
         """SELECT k AS line_num, CAST(latency_ms AS DOUBLE) / 1000 AS latency_sec, strict AS strict_match,
         CASE WHEN r = 19 THEN 'Model output could not be parsed as JSON. Raw reply:' || chr(10) || left(reply, 500) || '...' END AS error,
-        r <> 19 AS has_pred FROM fx1s"""
+        md5(gold_json) AS gold_md5, r <> 19 AS has_pred,
+        CASE WHEN r <> 19 THEN CAST(e_effort AS INTEGER) END AS pred_effort,
+        CASE WHEN r <> 19 THEN p_steps END AS pred_steps FROM fx1s"""
     ),
     "eval_results": O.with_fx1(
-        """SELECT count(*) AS total, count(*) FILTER (WHERE r <> 19) AS valid, count(*) FILTER (WHERE r = 19) AS errors,
-        count(*) FILTER (WHERE strict) AS strict_correct,
-        CAST(count(*) FILTER (WHERE strict) AS DOUBLE) / count(*) FILTER (WHERE r <> 19) AS strict_accuracy,
-        CAST(sum(latency_ms) AS DOUBLE) / count(*) / 1000 AS latency_mean_sec FROM fx1s"""
+        """SELECT unnest(l) AS label, unnest(v) AS value FROM (SELECT """
+        + "["
+        + ", ".join(O.lit(x) for x in _RESULT_LABELS)
+        + "] AS l, ["
+        + ", ".join(f"CAST({x} AS DOUBLE)" for x in _RESULT_VALUES)
+        + "] AS v FROM fx1s) t"
     ),
 }

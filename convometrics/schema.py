@@ -149,6 +149,33 @@ VOCABULARIES: dict[str, list[str]] = {
     "rework_frequency": REWORK_FREQUENCIES,
 }
 
+# The declared name of each value, in the same order.
+VOCABULARY_NAMES: dict[str, list[str]] = {
+    "delivery_exception_type": ["DEX08", "STAT84", "UNKNOWN"],
+    "customer_intent": [
+        "WISMO_STANDARD",
+        "WISMO_STALLED_LABEL",
+        "INTERCEPT_REQUEST",
+        "ADDRESS_MODIFICATION",
+        "DELIVERY_SCHEDULING",
+        "PROOF_OF_DELIVERY_DISPUTE",
+        "DAMAGE_CLAIM_INITIATION",
+        "LOST_IN_TRANSIT_INVESTIGATION",
+        "HAZMAT_DOCUMENTATION_HOLD",
+        "CUSTOMS_CLEARANCE_INQUIRY",
+    ],
+    "root_cause_category": [
+        "ADDRESS_LOCATION_RECIPIENT_FAILURES",
+        "ENVIRONMENTAL_FORCE_MAJEURE",
+        "OPERATIONAL_MECHANICAL_TECHNOLOGICAL",
+        "DOCUMENTATION_LABELING_DEFICIENCIES",
+        "HAZARDOUS_MATERIALS_VIOLATIONS",
+        "UNKNOWN_OR_NOT_APPLICABLE",
+    ],
+    "sentiment_trajectory": ["IMPROVED", "WORSENED", "UNCHANGED_FLAT"],
+    "rework_frequency": ["NONE", "SINGLE", "MULTIPLE"],
+}
+
 
 # ---------------------------------------------------------------------------
 # Field-rule table.  One row per leaf; the validator turns it into columns.

@@ -63,13 +63,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediates.
 
     Taken from ``spark.checkpoint.dir`` (the cluster names a shared path there).
-    Only when it is unset -- a local test session -- a fresh temporary folder is
-    created and registered.
+    Only when it is unset in a session on one machine -- a test -- a fresh
+    temporary folder is created and registered; a cluster without the setting
+    is refused, since its nodes would each see a different disk.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all nodes share")
         root = tempfile.mkdtemp(prefix="convometrics-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)

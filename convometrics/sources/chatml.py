@@ -8,8 +8,8 @@ reader tags every line with its split (``_metadata.file_block_start``) and a
 aggregate gives, per split, the line count and the first id; a window over
 that small table (one row per split) gives the lines before each split; a
 join back gives ``line_num = lines_before + (id - first_id) + 1``.  Blank lines
-are numbered before any filtering.  Nothing is shuffled except the per-split
-table, which is broadcast when its size bound (files + partitions) is small.
+are numbered before any filtering.  How the per-split table is joined is left
+to the optimizer, which knows its size when it has been counted.
 """
 
 from __future__ import annotations
@@ -18,17 +18,19 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.jsontext import parse_strict, is_object, ustrip, vget, vstring, vtype
-from ..functions.stage import stage
+from ..functions.stage import materialize, stage
 from ..schema import CHATML_SCHEMA
 
-# Broadcast the per-split table only below this many splits (~200 B per row).
-MAX_BROADCAST_SPLITS = 200_000
 
+def read_lines(spark: SparkSession, path: str | list[str], where: Column | str | None = None) -> DataFrame:
+    """``file_path, line_num, value`` (+ partition columns of the layout) for every physical line.
 
-def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``file_path, line_num, value`` (+ partition columns of the layout) for every physical line."""
+    ``where`` filters on the layout's columns; it prunes the files that are read.
+    """
     paths = [path] if isinstance(path, str) else path
     raw = spark.read.text(paths)
+    if where is not None:
+        raw = raw.filter(where)
     part_cols = [c for c in raw.columns if c != "value"]
     text = raw.select(
         "value",
@@ -44,9 +46,6 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     blocks = blocks.select(
         "file_path", "block_start", "_first", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before")
     )
-    bound = len(raw.inputFiles()) + raw.rdd.getNumPartitions()
-    if bound <= MAX_BROADCAST_SPLITS:
-        blocks = F.broadcast(blocks)
     joined = text.join(blocks, ["file_path", "block_start"])
     return joined.select(
         "file_path",
@@ -93,15 +92,27 @@ def messages_column(record: Column) -> Column:
     return F.transform(arr, one)
 
 
-def read_chatml(spark: SparkSession, path: str | list[str], mode: str = "quarantine") -> tuple[DataFrame, DataFrame]:
+def read_chatml(
+    spark: SparkSession,
+    path: str | list[str],
+    mode: str = "quarantine",
+    store: str | None = None,
+    where: Column | str | None = None,
+) -> tuple[DataFrame, DataFrame]:
     """Read ChatML JSONL -> (good, quarantine).
 
     ``good``: ``file_path, line_num, record, messages`` (+ layout columns).
     ``quarantine``: ``file_path, line_num, reason, value`` for every bad line
     except blanks.  ``mode="failfast"`` raises on the first bad line (one
     aggregate), like the reference loader, and on an empty dataset.
+
+    ``store`` names a directory for the classified lines: they are written once
+    and ``good``, ``quarantine`` and the fail-fast checks read them there,
+    instead of each reading and parsing the text again.
     """
-    c = classify_lines(read_lines(spark, path))
+    c = classify_lines(read_lines(spark, path, where))
+    if store:
+        c = materialize(c, store)
     good = c.filter(F.col("reason").isNull()).withColumn("messages", messages_column(F.col("record")))
     good = good.drop("reason", "value")
     bad = c.filter(F.col("reason").isNotNull() & (F.col("reason") != "blank")).select(
@@ -112,7 +123,7 @@ def read_chatml(spark: SparkSession, path: str | list[str], mode: str = "quarant
         if first and first["f"] is not None:
             f = first["f"]
             raise ValueError(f"{f['file_path']} line {f['line_num']}: {f['reason']}")
-        if good.limit(1).count() == 0:
+        if good.isEmpty():
             raise ValueError("No valid rows in eval file")
     return good, bad
 

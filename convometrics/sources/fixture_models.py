@@ -125,7 +125,7 @@ def generator_factory():
     def model(prompt: str) -> str:
         n = len(prompt)
         if n % 7 == 0:
-            raise ValueError("Empty transcript returned")
+            return "  \n"
         return f"Agent: Hello, case {n}.\nCustomer: Thanks."
 
     return model

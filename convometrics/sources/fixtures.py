@@ -164,7 +164,8 @@ def reply_text(k: Column, pred: Column) -> Column:
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("st")))
+    keys = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("st"))
+    return spread(keys, int(spark.conf.get("spark.sql.shuffle.partitions")))  # two short columns; texts are built after
 
 
 def latency_ms(k: Column) -> Column:

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.jsontext import parse_strict, ustrip, vbool, vdouble, vget, vstring, vtype
 from ..functions.stage import stage
@@ -95,11 +96,16 @@ def extraction_prompt(df: DataFrame) -> DataFrame:
     return df.withColumn("prompt", msg.chat_template(m, add_generation_prompt=True))
 
 
-def respond(df: DataFrame, factory: ex.ModelFactory, key: str = "request_id") -> DataFrame:
+def respond(df: DataFrame, factory: ex.ModelFactory, key: str = "request_id", batch_size: int = 1) -> DataFrame:
     """K2: accepted requests -> model -> ``status`` 200 with ``response`` JSON, or 500 with ``error``."""
-    acc = extraction_prompt(df.filter(F.col("accepted")))
-    called = ex.run_model(acc, factory, key, "prompt", carry=["prompt_error"])
-    called = called.withColumn("model_error", F.coalesce("prompt_error", "model_error")).drop("prompt_error")
+    acc = df.filter(F.col("accepted"))
+    asked = extraction_prompt(acc.filter(F.col("prompt_error").isNull()))
+    called = ex.run_model(asked, factory, key, "prompt", batch_size=batch_size).select(key, "reply", "model_error")
+    # a prompt that cannot be made never reaches the model
+    refused = acc.filter(F.col("prompt_error").isNotNull()).select(
+        key, F.lit(None).cast("string").alias("reply"), F.col("prompt_error").alias("model_error")
+    )
+    called = called.unionByName(refused)
     p = ev.prepare_predictions(called)
     body = F.when(F.col("status") == "valid", serialize(F.col("metrics"))).otherwise(F.to_json(F.col("payload")))
     return p.select(
@@ -112,18 +118,27 @@ def respond(df: DataFrame, factory: ex.ModelFactory, key: str = "request_id") ->
 
 
 def run_stream(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_dir: str,
-               factory: ex.ModelFactory | None = None, fmt: str = "json") -> None:
-    """Process everything currently in ``source_dir`` (``availableNow``) into ``sink_dir``.
+               factory: ex.ModelFactory | None = None, fmt: str = "json", batch_size: int = 1,
+               max_files_per_trigger: int | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """Process ``source_dir`` into ``sink_dir``.
+
+    ``trigger`` goes to the stream as it is; by default everything that is there
+    now is processed (``availableNow``) and awaited.  ``max_files_per_trigger``
+    cuts a backlog into micro-batches of so many files.
 
     Without a factory only K1 runs (accepted/rejected routing); with one, each
     micro-batch also calls the model (K2).  Parquet sink + checkpoint give
     one output directory per micro-batch, rewritten
     if a batch is replayed after a failure.
     """
-    stream = spark.readStream.schema(REQUEST_SCHEMA).format(fmt).load(source_dir)
+    reader = spark.readStream.schema(REQUEST_SCHEMA).format(fmt)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    stream = reader.load(source_dir)
     classified = classify_requests(stream)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()  # both branches read it: the source is read and parsed once
         rejected = batch.filter(~F.col("accepted")).select(
             "request_id", F.col("status").alias("http_status"), F.lit(None).cast("string").alias("response"),
             "error", F.lit(None).cast("string").alias("customer_intent"),
@@ -134,14 +149,17 @@ def run_stream(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_d
                 "system_prompt", "transcript",
             )
         else:
-            out = respond(batch, factory).unionByName(rejected)
+            out = respond(batch, factory, batch_size=batch_size).unionByName(rejected)
         # one directory per micro-batch, overwritten on replay: idempotent output
         out.write.mode("overwrite").parquet(f"{sink_dir}/batch={batch_id}")
+        batch.unpersist()
 
     q = (
         classified.writeStream.foreachBatch(sink)
         .option("checkpointLocation", checkpoint_dir)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
-    q.awaitTermination()
+    if trigger is None:
+        q.awaitTermination()
+    return q
