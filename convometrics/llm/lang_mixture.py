@@ -32,6 +32,7 @@ BUCKET_BITS = 16
 SMOOTHING = 0.5
 ROUNDS = 12
 MAX_SET = 4  # languages in a mixture that are still told apart
+TRACE = 0.01  # a second language below this share is none
 PENALTY = 3.0  # times the BIC penalty of half a log of the number of words
 LETTER = re.compile(r"[^\W\d_]")
 UNKNOWN = "und"
@@ -125,23 +126,33 @@ def mixtures(texts: pa.Array, table: np.ndarray) -> tuple[np.ndarray, np.ndarray
     like = np.exp(np.maximum(logs - best, -60))
     doc = np.repeat(np.arange(len(some)), count)
     langs = table.shape[1]
-    everything = np.ones((len(some), langs))
-    share, _ = _em(like, start, doc, everything, count)
-    order = np.argsort(-share, axis=1, kind="stable")
     # a single language needs no estimation, and is the one whose likelihood is best
     single = np.add.reduceat(logs, start, axis=0)
     chosen = np.zeros((len(some), langs))
     chosen[np.arange(len(some)), single.argmax(1)] = 1
-    base = np.add.reduceat(best[:, 0], start)
-    value = single.max(1)
-    fee = PENALTY * 0.5 * np.log(count + 1)
-    for k in range(2, min(MAX_SET, langs) + 1):
-        allowed = np.zeros((len(some), langs))
-        np.put_along_axis(allowed, order[:, :k], 1, axis=1)
-        mixed, gain = _em(like, start, doc, allowed, count)
-        better = base + gain - fee * (k - 1) > value
-        value = np.where(better, base + gain - fee * (k - 1), value)
-        chosen = np.where(better[:, None], mixed, chosen)
+    if langs > 1:
+        share, gain = _em(like, start, doc, np.ones((len(some), langs)), count)
+        base, value = np.add.reduceat(best[:, 0], start), single.max(1)
+        order = np.argsort(-share, axis=1, kind="stable")
+        # texts that hold next to nothing of a second language keep the single one
+        mixed = np.flatnonzero(np.take_along_axis(share, order[:, 1:2], axis=1)[:, 0] >= TRACE)
+        if len(mixed):
+            rows = np.concatenate([np.arange(start[i], start[i] + count[i]) for i in mixed])
+            part = (like[rows], np.concatenate(([0], np.cumsum(count[mixed])[:-1])), np.repeat(np.arange(len(mixed)), count[mixed]))
+            fee = PENALTY * 0.5 * np.log(count[mixed] + 1)
+            won, top = chosen[mixed], value[mixed]
+            for k in range(2, min(MAX_SET, langs) + 1):
+                if k == langs:
+                    estimate, more = share[mixed], gain[mixed]
+                else:
+                    allowed = np.zeros((len(mixed), langs))
+                    np.put_along_axis(allowed, order[mixed, :k], 1, axis=1)
+                    estimate, more = _em(*part, allowed, count[mixed])
+                penalised = base[mixed] + more - fee * (k - 1)
+                better = penalised > top
+                top = np.where(better, penalised, top)
+                won = np.where(better[:, None], estimate, won)
+            chosen[mixed] = won
     out[some] = chosen
     return out, n > 0
 
