@@ -17,7 +17,9 @@ lost partition, so a call can happen twice; no exactly-once claim is made).
 from __future__ import annotations
 
 import hashlib
+import sys
 import time
+import types
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -31,8 +33,6 @@ EMPTY_TRANSCRIPT = "Empty transcript returned"
 
 ModelFactory = Callable[[], Callable[[str], str]]
 
-_MODELS: dict[str, Callable[[str], str]] = {}
-
 
 def factory_key(factory: ModelFactory) -> str:
     """Digest of the pickled factory; made on the driver, it names the model in every worker."""
@@ -40,9 +40,15 @@ def factory_key(factory: ModelFactory) -> str:
 
 
 def _model(key: str, factory: ModelFactory) -> Callable[[str], str]:
-    if key not in _MODELS:
-        _MODELS[key] = factory()
-    return _MODELS[key]
+    """The worker process's model of this factory.
+
+    Functions of this package may reach a task by value, each time with globals
+    of their own, so the cache hangs on the interpreter and not on this module.
+    """
+    models = sys.modules.setdefault("_convometrics_models", types.ModuleType("_convometrics_models")).__dict__
+    if key not in models:
+        models[key] = factory()
+    return models[key]
 
 
 class Backoff:

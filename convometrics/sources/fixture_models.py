@@ -12,6 +12,7 @@ import json
 from ..schema import (
     CUSTOMER_INTENTS,
     DELIVERY_EXCEPTION_TYPES,
+    MAX_RETRIES,
     REWORK_FREQUENCIES,
     ROOT_CAUSE_CATEGORIES,
     SENTIMENT_TRAJECTORIES,
@@ -101,17 +102,19 @@ def extractor_factory():
 def flaky_factory(failures_of: str):
     """Fails the first ``n`` calls for a prompt, ``n`` from the prompt length:
     ``failures_of="generation"`` -> ``len % 6``, ``"extraction"`` -> ``(len // 6) % 6``.
-    Returns the prompt unchanged on success (state is per worker process)."""
+    Returns the prompt unchanged on success (state is per worker process, and
+    a prompt's ends with its success or last try)."""
 
     def factory():
         calls: dict[str, int] = {}
 
         def model(prompt: str) -> str:
             n = len(prompt) % 6 if failures_of == "generation" else (len(prompt) // 6) % 6
-            c = calls.get(prompt, 0)
-            calls[prompt] = c + 1
-            if c < n:
-                raise RuntimeError(f"{failures_of} unavailable (try {c + 1})")
+            c = calls.pop(prompt, 0) + 1
+            if c <= n:
+                if c < MAX_RETRIES:  # a sample that is given up starts anew when it comes again
+                    calls[prompt] = c
+                raise RuntimeError(f"{failures_of} unavailable (try {c})")
             return prompt
 
         return model

@@ -1,3 +1,4 @@
+from convometrics.session import scratch_path
 from convometrics.operators import runlog, release
 
 # The published 150-point training loss log (steps 1..150).
@@ -36,6 +37,8 @@ def test_published_throughput(spark):
 
 def test_missing_artifacts_and_splits(spark):
     staged = spark.createDataFrame([(1, "train"), (2, "train")], "conv_id long, split string")
-    miss = {(r.repo, r.artifact) for r in release.missing_artifacts(release.required_artifacts(spark), release.present_artifacts(staged)).collect()}
+    path = scratch_path(spark, "staged")
+    release.stage_splits(staged, path)
+    miss = {(r.repo, r.artifact) for r in release.missing_artifacts(release.required_artifacts(spark), release.present_artifacts(spark, path)).collect()}
     assert ("dataset", "test.jsonl") in miss and ("dataset", "README.md") in miss and ("dataset", "train.jsonl") not in miss
     assert [r.split for r in release.missing_splits(staged).collect()] == ["test"]
