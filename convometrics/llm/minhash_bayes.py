@@ -306,3 +306,34 @@ def keep_one(docs: DataFrame, k: int = 5, threshold: int = THRESHOLD) -> DataFra
     """One document of each group stays, with its columns unchanged."""
     keep = near_duplicates(docs, k, threshold).filter("kept").select(F.col("doc_id").alias("__keep"))
     return docs.join(keep, F.col("doc_id").eqNullSafe(F.col("__keep")), "left_semi")
+
+
+# All pairs, for two-word shingles: a check for small tables.
+ORACLE = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE len(w) WHEN 0 THEN [] WHEN 1 THEN [w[1]]
+    ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS shingle
+  FROM d
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+met AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2
+),
+link AS (
+  SELECT x, y FROM met JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 80 * (nx.n + ny.n - c)
+),
+edge AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
+reach AS (
+  SELECT doc_id, doc_id AS r FROM d
+  UNION
+  SELECT reach.doc_id, edge.y FROM reach JOIN edge ON edge.x = reach.r
+)
+SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(r) AS component_id, d.doc_id = min(r) AS kept
+FROM d JOIN reach USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY d.doc_id
+"""

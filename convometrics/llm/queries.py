@@ -61,4 +61,8 @@ def llm_queries():
 
 
 def llm_oracles():
-    return {"op2_phrase_automata": phrase_automata.ORACLE, "op8_exact_dedup": exact_index.ORACLE}
+    return {
+        "op2_phrase_automata": phrase_automata.ORACLE,
+        "op8_exact_dedup": exact_index.ORACLE,
+        "op10_minhash_bayes": minhash_bayes.ORACLE,
+    }
