@@ -24,8 +24,8 @@ def assemble_transcripts(turns: DataFrame, key: str = "conv_id", order: str = "t
     """``key, n_turns, transcript`` -- turns joined by newlines in ``order``.
 
     One row per conversation is the product; the aggregate is partial (map-side
-    collect, then merge), and a conversation is bounded by the model's context
-    budget (T7 flags the ones that are not).
+    collect, then merge).  A conversation must fit in a task: ``oversized_turns``
+    sets those beyond a bound of the caller's aside, with a reason.
     """
     line = F.struct(F.col(order).alias("o"), turn_line(F.col(speaker), F.col(text)).alias("l"))
     agg = turns.groupBy(key).agg(F.array_sort(F.collect_list(line)).alias("_t"))
@@ -36,6 +36,16 @@ def assemble_transcripts(turns: DataFrame, key: str = "conv_id", order: str = "t
     )
 
 
+def oversized_turns(turns: DataFrame, max_turns: int, key: str = "conv_id") -> tuple[DataFrame, DataFrame]:
+    """(turns of conversations up to ``max_turns``, quarantine rows ``key, n_turns, reason`` of the others).
+
+    Counts are summed where the turns lie, so a conversation of any size costs no task.
+    """
+    sizes = turns.groupBy(key).agg(F.count(F.lit(1)).alias("n_turns"))
+    over = sizes.filter(F.col("n_turns") > max_turns)
+    return turns.join(over.select(key), key, "left_anti"), over.withColumn("reason", F.lit("too_many_turns"))
+
+
 def split_turns(df: DataFrame, transcript: str = "transcript", keep: list[str] | None = None) -> DataFrame:
     """One row per turn (``turn_no`` from 0, ``speaker``, ``text``); text may span lines."""
     parts = F.split(F.col(transcript), _TURN_START)

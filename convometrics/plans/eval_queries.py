@@ -69,6 +69,14 @@ def q_pair_gold_pred(spark, sf):
     return s.select("k", "status", F.col("model_error").isNull().alias("has_prediction"))
 
 
+def q_pair_with_gaps(spark, sf):
+    """E0 with predictions missing (k % 29 = 0) and gold that is no JSON (k % 41 = 0)."""
+    k = F.col("k")
+    gold = fx.gold_table(spark, sf).withColumn("gold_json", F.when(k % 41 == 0, F.substring("gold_json", 1, 30)).otherwise(F.col("gold_json")))
+    s = ev.evaluate(gold, fx.prediction_table(spark, sf).filter(k % 29 != 0))
+    return s.select("k", "status", "scored", "strict", "error")
+
+
 def q_normalize_resolved(spark, sf):
     s = scored(spark, sf)
     return s.select("k", "gold_resolved", F.when(F.col("scored"), F.col("pred_resolved")).alias("pred_resolved"))
@@ -353,6 +361,7 @@ QUERIES = {
     "field_accuracy": q_field_accuracy,
     "eval_summary": q_eval_summary,
     "latency_summary": q_latency_summary,
+    "pair_with_gaps": q_pair_with_gaps,
     "strict_failures": q_strict_failures,
     "runtime_errors": q_runtime_errors,
     "report_lines": q_report_lines,
@@ -450,6 +459,13 @@ ORACLES = {
         coalesce(CAST(max(latency_ms) AS DOUBLE) / 1000, 0.0) AS latency_max_sec,
         coalesce(CAST(sum(latency_ms) AS DOUBLE) / 1000, 0.0) AS latency_total_sec FROM fx1s"""
     ),
+    "pair_with_gaps": O.with_fx1(
+        f"""SELECT k, CASE WHEN k % 29 = 0 THEN 'error' ELSE status END AS status,
+        k % 29 <> 0 AND k % 41 <> 0 AND r <> 19 AS scored,
+        CASE WHEN k % 29 <> 0 AND k % 41 <> 0 AND r <> 19 THEN strict END AS strict,
+        CASE WHEN k % 41 = 0 THEN {O.lit(ev.BAD_GOLD)} WHEN k % 29 = 0 THEN {O.lit(ev.NO_PREDICTION)}
+             WHEN r = 19 THEN {_PREFIX} || left(reply, 500) || '...' END AS error FROM fx1s"""
+    ),
     "strict_failures": O.with_fx1(
         "SELECT k, concat_ws(', ', "
         + ", ".join(f"CASE WHEN NOT match_{f} THEN '{f}' END" for f in SCORED_FIELDS)

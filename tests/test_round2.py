@@ -165,3 +165,10 @@ def test_checkpoint_folder_is_demanded_on_a_cluster():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.checkpoint_root(Session())
+
+
+def test_oversized_conversations_are_set_aside(spark):
+    turns = spark.createDataFrame([(c, i, "Agent", "t") for c, n in ((1, 3), (2, 9)) for i in range(n)], "conv_id long, turn int, speaker string, text string")
+    kept, aside = messages.oversized_turns(turns, 5)
+    assert [r["conv_id"] for r in messages.assemble_transcripts(kept).collect()] == [1]
+    assert [tuple(r) for r in aside.collect()] == [(2, 9, "too_many_turns")]
