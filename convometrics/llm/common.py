@@ -228,3 +228,14 @@ def look_up(rows: DataFrame, known: DataFrame, key: list[str], size: str, total:
     from_hot = marked.filter(F.col("__hot").isNotNull()).select(*rows.columns, *[F.col("__hot")[c].alias(c) for c in values])
     rest = marked.filter(F.col("__hot").isNull()).drop("__hot").join(known.filter(~is_hot).hint("merge"), key)
     return from_hot.unionByName(rest.select(*rows.columns, *values))
+
+
+def hash_sample(df: DataFrame, key: str, limit: int) -> DataFrame:
+    """At most ``limit`` rows of ``df``, those of smallest key hash.
+
+    Rows beyond about four times the limit are dropped where they lie, so what
+    the ordering gathers is bounded whatever the number of tasks.
+    """
+    draw = F.shiftrightunsigned(F.xxhash64(F.lit("sample"), F.col(key)), 11) / F.lit(float(1 << 53))
+    near = df.withColumn("__draw", draw).filter(F.col("__draw") * df.count() < 4 * limit + 100)
+    return near.orderBy("__draw", key).limit(limit).drop("__draw")

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from convometrics.llm.common import map_texts, small_batches, span_hashes, words_of
+from convometrics.llm.common import hash_sample, map_texts, small_batches, span_hashes, words_of
 
 TRAIN_PAGES = 200
 TRAIN_BYTES = 100_000
@@ -487,9 +487,11 @@ def extract(pages: DataFrame, model: BiLstm | None = None, train_pages: int = TR
     """page_id, url, text, n_chars of every page; the labeller is learned from ``pages`` if none is given."""
     small_batches(pages.sparkSession)
     if model is None:
-        usable = pages.filter(F.octet_length("html") <= TRAIN_BYTES)
-        sample = usable.select("page_id", "html").orderBy(F.xxhash64("page_id"), "page_id", "html").limit(train_pages)
-        model = train([r["html"] for r in sample.collect()])  # bounded: train_pages rows of TRAIN_BYTES at most
+        usable = pages.filter((F.octet_length("html") <= TRAIN_BYTES) & F.col("page_id").isNotNull()).select("page_id", "html")
+        ids = hash_sample(usable.select("page_id").distinct(), "page_id", train_pages).withColumnRenamed("page_id", "__page")
+        sample = usable.join(F.broadcast(ids), F.col("page_id") == F.col("__page")).groupBy("page_id").agg(F.min("html").alias("html"))
+        # bounded: train_pages rows of TRAIN_BYTES at most
+        model = train([r["html"] for r in sorted(sample.collect(), key=lambda r: r["page_id"])])
 
     def read(texts):
         found = _extract([(t or b"").decode("utf-8", "replace") for t in texts.to_pylist()], model)
