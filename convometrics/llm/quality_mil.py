@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from convometrics.llm.common import map_texts, mix64, run_hashes, small_batches, span_hashes, text_slices, words_of
+from convometrics.llm.common import hash_sample, map_texts, mix64, run_hashes, small_batches, span_hashes, text_slices, words_of
 
 PASSAGE_WORDS = 64
 TRAIN_DOCS = 4000
@@ -178,7 +178,7 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS):
     small_batches(docs.sparkSession)
     usable = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
     usable = usable.groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
-    chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_docs)  # bounds what is broadcast and collected
+    chosen = hash_sample(usable, "doc_id", train_docs)  # bounds what is broadcast and collected
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
 
     def encoded(texts):
