@@ -415,7 +415,7 @@ def variant(texts: list[str], headline: str, others: list[str], rnd: np.random.G
         spec = path(rnd.choice(FURNITURE[kind]))
         link = kind in ("top", "side", "bottom") and rnd.random() < 0.6
         for _ in range(rnd.integers(1, most + 1)):
-            text = str(rnd.choice(PHRASES)) if rnd.random() < 0.35 else str(rnd.choice(others))
+            text = str(rnd.choice(PHRASES)) if rnd.random() < 0.35 else others[rnd.integers(len(others))]
             if kind in ("top", "form") or rnd.random() < 0.3:
                 text = " ".join(text.split()[: rnd.integers(1, 5)]) or text
             page.append(((*inside, *spec), text, len(text) if link else 0))
@@ -459,7 +459,7 @@ def train(pages: list[str], variants: int = VARIANTS, seed: int = 9) -> BiLstm:
     made_pages, made_labels = [p for p, _ in marked], [y for _, y in marked]
     for page, y in marked:
         texts = [text for (_, text, _), label in zip(page, y) if label]
-        others = [" ".join(s.split()[: rnd.integers(3, 40)]) for s in rnd.choice(sentences, 12)]
+        others = [" ".join(s.split()[: rnd.integers(3, 40)]) for s in (sentences[i] for i in rnd.integers(len(sentences), size=12))]
         for _ in range(variants):
             few = texts[: rnd.integers(1, len(texts) + 1)]
             new, label = variant(few[:40], few[0][:70], others, rnd)
