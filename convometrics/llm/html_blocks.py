@@ -16,7 +16,9 @@ whole page.
 Text rules: character references are decoded; white space inside a block
 (``[\\x20\\x09-\\x0D]+``) becomes one space, the block is trimmed, empty blocks
 go, and blocks are joined by one line feed.  Scripts, styles, comments, titles
-and the like are no blocks; markup that a page breaks off in is dropped.
+and the like are no blocks; markup that a page breaks off in is dropped.  A tag of
+any length ends at the first ``>`` outside its attributes' quotes; a quote that
+is never closed does not count.
 
 Defined cases: a null or empty page has the text ''; a page of plain text is one
 block; unclosed and stray tags are allowed; rows that repeat are extracted
@@ -60,10 +62,17 @@ CLOSES_P = frozenset(
 # A tag that closes an open one of the same group, up to the nearest container.
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 CONTAINERS = frozenset("ul ol dl table body div section article".split())
-TAG = re.compile(r"</?([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*)>")
-ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
+# A quote opens a value only after "="; it ends at its mate, however far, or counts as a plain character where it has none
+# or where the mate opens a value of a later tag (so that its own was left out).  Possessive: a tag is read once.
+TAG = re.compile(
+    r"""</?([a-zA-Z][^\s/>]*+)((?:[^=>]++|=\s*+(?:"[^">]*+"|'[^'>]*+'"""
+    r"""|"(?![^"]*<[a-zA-Z][^"<>]*[\w-]\s*=\s*")[^"]*+"|'(?![^']*<[a-zA-Z][^'<>]*[\w-]\s*=\s*')[^']*+')?+)*+)(>?)"""
+)
+# class, id and role; the values of other attributes are passed over.
+ATTRIBUTE = re.compile(
+    r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|=\s*(?:\"[^\"]*\"|'[^']*')", re.IGNORECASE
+)
 WORD_PARTS = re.compile(r"[a-z]+")
-TAG_LIMIT = 20_000
 
 
 def _element(tag: str, attributes: str) -> str:
@@ -126,15 +135,10 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
             pieces.append("<")  # a less-than sign
             at = opening + 1
             continue
-        found = TAG.match(page, opening, min(end, opening + TAG_LIMIT))
-        if found:
-            tag, attributes, at = found[1].lower(), found[2], found.end()
-        else:
-            close = page.find(">", opening)
-            if close < 0:
-                break  # the page ends inside a tag
-            tag = re.match(r"/?([a-zA-Z][^\s/>]*)", page[opening + 1 : close])[1].lower()
-            attributes, at = "", close + 1
+        found = TAG.match(page, opening)
+        if not found[3]:
+            break  # the page ends inside a tag
+        tag, attributes, at = found[1].lower(), found[2], found.end()
         if following == "/":
             if tag not in INLINE:
                 flush()

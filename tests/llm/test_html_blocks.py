@@ -39,6 +39,21 @@ def test_blocks():
     assert hb.blocks("<p>a <a href=x>link</a></p>")[0][2] == 4
 
 
+def test_long_attributes():
+    """A tag's attributes count whatever their length, and stray quotes cost no text."""
+    state = "{'a': 'x > y', 'b': '<p class=menu>'}" * 1400
+    assert len(state) > 50_000
+    assert hb.blocks(f'<div class="comments" data-x="{state}" id=k><p>t</div><p>u') == [(("div comments k", "p"), "t", 0), (("p",), "u", 0)]
+    long = "x" * 50_000
+    assert hb.blocks(f"<p data-x='{long}' role=note>t</p>") == [(("p note",), "t", 0)]
+    assert hb.blocks("<p title='it is > 1>t</p>") == [(("p",), "1>t", 0)]  # never closed
+    assert hb.blocks('<p class="a>t</p><p class="b">u') == [(("p",), "t", 0), (("p b",), "u", 0)]
+    many = "<p>t</p>" * 5000
+    assert texts(f'<p class="a"">s</p>{many}<p class="b"">u') == ["s", *["t"] * 5000, "u"]
+    assert texts('<p title="a > b" id=') == []
+    assert len(texts('<p title=">" ' * 100_000 + "'>t")) == 1  # one scan
+
+
 def test_gradients_agree_with_differences():
     rnd = np.random.default_rng(1)
     net = hb.BiLstm(n=6, hidden=3)
