@@ -5,10 +5,11 @@ encoded as means of word statistics and of hashed word signs; a gated attention
 layer, learned from document labels alone, weighs the passages, and the weighted
 representation is scored.  So one junk passage can decide about a long document.
 
-Training: at most ``TRAIN_DOCS`` labelled documents (those of smallest id hash)
-with at most ``TRAIN_PASSAGES`` passages each, encoded on the executors; the
-network (a few thousand weights) is fitted by Adam with numpy.  Scoring reads
-every whole text.
+Training: at most ``TRAIN_DOCS`` labelled documents (those of smallest id hash),
+encoded whole on the executors; of these, in the order of the hash, as many as
+hold ``TRAIN_PASSAGES`` passages together (a document that holds more by itself
+is no part of the sample).  The network (a few thousand weights) is fitted by
+Adam with numpy.  Scoring reads every whole text.
 
 Defined cases: a text that is null or has no word scores 0; a document with
 several labels counts as good only if all say so; null labels teach nothing;
@@ -25,11 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from convometrics.llm.common import hash_sample, map_texts, mix64, run_hashes, small_batches, span_hashes, text_slices, words_of
+from convometrics.llm.common import hash_sample, map_texts, mix64, run_hashes, small_batches, span_hashes, stored, text_slices, words_of
 
 PASSAGE_WORDS = 64
 TRAIN_DOCS = 4000
-TRAIN_PASSAGES = 400
+TRAIN_PASSAGES = 200_000  # of all documents together: 20 MB
 SIGNS = 12
 HIDDEN, GATE = 24, 16
 THRESHOLD = 0.3
@@ -170,7 +171,7 @@ class AttentionMil:
         return self
 
 
-def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS):
+def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, train_passages: int = TRAIN_PASSAGES):
     """A fitted network, or the share of good documents where there is nothing to tell apart.
 
     ``labels``: (doc_id, quality), the ones to learn from.
@@ -183,11 +184,15 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS):
 
     def encoded(texts):
         x, bounds = encode(texts)
-        short = [x[a : min(b, a + TRAIN_PASSAGES)] for a, b in zip(bounds[:-1], bounds[1:])]
-        return {"x": [part.tobytes() for part in short]}
-
-    rows = map_texts(sample, encoded, "doc_id long, quality int, x binary", ["doc_id", "quality"]).toPandas()
-    rows = rows[rows["x"].map(len) > 0].sort_values("doc_id")
+        return {"n": np.diff(bounds), "x": [x[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]}
+
+    bags = map_texts(sample, encoded, "doc_id long, quality int, n long, x binary", ["doc_id", "quality"])
+    bags = stored(bags.withColumn("draw", F.xxhash64(F.lit("bag"), "doc_id")), "mil-bags").filter(F.col("n").between(1, train_passages))
+    sizes = bags.select("draw", "n").toPandas().sort_values("draw")  # train_docs rows at most
+    drawn = sizes["draw"][sizes["n"].cumsum() <= train_passages]
+    last = int(drawn.iloc[-1]) if len(drawn) else None
+    # bounded: train_passages in whole bags
+    rows = bags.filter(F.col("draw") <= F.lit(last)).select("doc_id", "quality", "x").toPandas().sort_values("doc_id")
     y = rows["quality"].to_numpy(float)
     if len(set(y)) < 2:
         return float(y.mean()) if len(y) else 1.0

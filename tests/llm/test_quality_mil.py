@@ -50,6 +50,30 @@ def test_one_passage_can_decide():
     assert (scores[::2] > 0.7).all() and (scores[1::2] < 0.3).all()
 
 
+def test_training_keeps_whole_bags(spark, monkeypatch):
+    """Long texts whose only junk is the last passage: learned as such; the sample is bounded by rows alone."""
+    rnd = np.random.default_rng(3)
+    words = ["".join(rnd.choice(list("abcdefgh"), 5)) for _ in range(2000)]
+
+    def text(bad):
+        w = [words[i] for i in rnd.integers(len(words), size=64 * 419)]
+        return " ".join(w + ["#JUNK!!" if bad else "plain"] * 64)
+
+    texts = {i: text(i % 2) for i in range(60)}
+    docs = spark.createDataFrame([(i, t, 9) for i, t in texts.items()], DOCS).repartition(8)
+    labels = spark.createDataFrame([(i, 1 - i % 2, 0) for i in texts], LABELS)
+    given, fit = [], qm.AttentionMil.fit
+    monkeypatch.setattr(qm.AttentionMil, "fit", lambda self, x, bounds, y: given.append((x, bounds, y)) or fit(self, x, bounds, y, epochs=30, batch=8))
+    model = qm.train(docs, labels)
+    x, bounds = qm.encode(pa.array([t.encode() for t in texts.values()], pa.binary()))
+    assert (given[0][0] == x).all() and (given[0][1] == bounds).all()
+    good, bad = (qm.scores_of(model, pa.array([text(b).encode() for _ in range(10)], pa.binary())) for b in (0, 1))
+    assert good.min() > 0.9 and bad.max() < 0.1
+    qm.train(docs, labels, train_passages=420 * 10 + 419)
+    assert np.diff(given[1][1]).tolist() == [420] * 10
+    assert qm.train(docs, labels, train_passages=419) == 1.0  # no bag fits
+
+
 def test_defined_cases(spark):
     texts = [None, "", " \n", "word", "long " * 50000] + [f"plain words here number {i} and more of them" for i in range(60)]
     docs = spark.createDataFrame([(i, t, 9) for i, t in enumerate(texts)] + [(None, "no id", 9)], DOCS)
