@@ -10,8 +10,9 @@ is rejected.
 All rows take part in every step.  A step is one aggregation by (group,
 distance bin): the bins of a group are at most a few thousand, so the quantile
 is read from counts and a group with a third of all rows is summed where its
-rows lie.  Groups too small to estimate join their language's pool, and that,
-when small, the pool of all.
+rows lie.  Groups too small to estimate are judged by the estimate from all rows
+of their language, and where those are few, by that from all rows of the table;
+these two are made only where a group needs them.
 
 Defined cases: a null or empty text has no words, fails the base rule and is no
 part of an estimate; null lang and source are values of their own; groups of
@@ -36,7 +37,7 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 SUBSET = 0.75  # share of a group that the estimate is made from
 STEPS = 4
-MIN_GROUP = 200  # rows; smaller groups are pooled
+MIN_GROUP = 200  # rows; smaller groups are judged by a pool
 REJECT = 1e-6  # chance that a row of a normal group is rejected
 IS_SYMBOL = np.zeros(256, bool)
 IS_SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
@@ -113,14 +114,27 @@ def chi2_quantile(q: float, p: int) -> float:
 
 
 def _groups(rows: DataFrame) -> DataFrame:
-    """(lang, source, fit_key): the group that a pair's estimate is made from."""
+    """(lang, source, fit_key, pool_key): the group whose estimate judges a pair, and the pool that the pair's language makes, if any."""
     fit = rows.filter(~F.col("base_failed"))
     pairs = fit.groupBy("lang_key", "source_key").agg(F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy("lang_key")  # one row for each source
-    pooled = F.sum(F.when(F.col("n") < MIN_GROUP, F.col("n")).otherwise(0)).over(w)
+    needed = (F.min("n").over(w) < MIN_GROUP) & (F.sum("n").over(w) >= MIN_GROUP)
+    pairs = pairs.withColumn("pool_key", F.when(needed, F.concat_ws("\x1f", F.lit("lang"), "lang_key")))
     own = F.concat_ws("\x1f", F.lit("pair"), "lang_key", "source_key")
-    key = F.when(F.col("n") >= MIN_GROUP, own).when(pooled >= MIN_GROUP, F.concat_ws("\x1f", F.lit("lang"), "lang_key"))
-    return pairs.select("lang_key", "source_key", F.coalesce(key, F.lit("all")).alias("fit_key"))
+    key = F.when(F.col("n") >= MIN_GROUP, own).otherwise(F.coalesce("pool_key", F.lit("all")))
+    return pairs.select("lang_key", "source_key", key.alias("fit_key"), "pool_key")
+
+
+def _members(keyed: DataFrame, groups: DataFrame) -> DataFrame:
+    """(fit_key, vector) of the rows that each estimate is made from; a row counts for its pair and for the pools above it."""
+    good = keyed.filter(~F.col("base_failed"))
+    members = good.filter(F.col("fit_key").startswith("pair\x1f")).select("fit_key", *NAMES)
+    pools = groups.agg(F.count("pool_key").alias("lang"), F.count_if(F.col("fit_key") == "all").alias("all")).first()
+    if pools["lang"]:
+        members = members.unionByName(good.filter(F.col("pool_key").isNotNull()).select(F.col("pool_key").alias("fit_key"), *NAMES))
+    if pools["all"]:
+        members = members.unionByName(good.select(F.lit("all").alias("fit_key"), *NAMES))
+    return members
 
 
 def _inverted(sums: DataFrame) -> DataFrame:
@@ -217,9 +231,10 @@ def quality_rules(docs: DataFrame, steps: int = STEPS, reject: float = REJECT) -
         .withColumn("source_key", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")))
     )
     rows = stored(rows.drop("lang", "source", "n_lines"), "rule-stats")
-    keyed = rows.join(stored(_groups(rows), "rule-groups"), ["lang_key", "source_key"], "left")
+    groups = stored(_groups(rows), "rule-groups")
+    keyed = rows.join(groups, ["lang_key", "source_key"], "left")
     keyed = stored(keyed.drop("lang_key", "source_key"), "rule-rows")
-    fit = keyed.filter(~F.col("base_failed")).select("fit_key", *NAMES)
+    fit = _members(keyed, groups)
     params = stored(_start(fit), "rule-start")
     for i in range(steps):
         params = stored(_concentrate(fit, params), f"rule-step{i}")

@@ -65,6 +65,26 @@ def test_outliers_of_a_group_are_rejected(spark):
     assert not any(kept[i] for i in range(400, 440))
 
 
+def test_small_groups_are_judged_by_all_rows(spark):
+    """Junk of a language or source that hardly occurs is held against the language or the whole table."""
+    import random
+
+    rnd = random.Random(4)
+
+    def good():
+        return " ".join("w" * rnd.randint(3, 8) + str(rnd.randint(0, 999)) for _ in range(rnd.randint(40, 200)))
+
+    def junk():
+        return " ".join(f"#{rnd.randint(0, 9999)}$%" for _ in range(80))
+
+    rows = [(i, good(), "en", "src0", 0) for i in range(400)]
+    rows += [(1000, junk(), "fi", "src0", 0), (1001, junk(), None, None, 0), (1002, junk(), "en", "rare", 0), (1003, junk(), "en", None, 0)]
+    rows += [(2000, good(), "sv", "src1", 0), (2001, good(), "en", "other", 0)]
+    kept = {r["doc_id"]: r["kept"] for r in outlier_rules.quality_rules(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert not any(kept[i] for i in range(1000, 1004))
+    assert kept[2000] and kept[2001] and sum(kept[i] for i in range(400)) >= 398
+
+
 def test_empty_table(spark):
     assert outlier_rules.quality_rules(spark.createDataFrame([], SCHEMA)).count() == 0
 
