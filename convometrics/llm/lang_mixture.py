@@ -3,8 +3,9 @@
 A profile gives each language the probabilities of hashed byte n-grams.  The
 words of a document are taken to come from a mixture of languages: expectation
 maximisation estimates the proportions from the words' n-gram likelihoods.  This
-is done for nested sets of languages, the likeliest first; the set of the best
-penalised likelihood (BIC) is kept, and its largest proportion is the answer.
+is done for nested sets of languages, the likeliest first, until the likelihood
+of all languages could not pay for another one; the set of the best penalised
+likelihood (BIC) is kept, and its largest proportion is the answer.
 
 Learning: at most about ``TRAIN_DOCS`` documents of each language, those of
 smallest id hash; the counts are summed on eight tasks.  Prediction reads every
@@ -31,7 +32,6 @@ TRAIN_DOCS = 3000
 BUCKET_BITS = 16
 SMOOTHING = 0.5
 ROUNDS = 12
-MAX_SET = 4  # languages in a mixture that are still told apart
 TRACE = 0.01  # a second language below this share is none
 PENALTY = 3.0  # times the BIC penalty of half a log of the number of words
 LETTER = re.compile(r"[^\W\d_]")
@@ -135,24 +135,25 @@ def mixtures(texts: pa.Array, table: np.ndarray) -> tuple[np.ndarray, np.ndarray
         base, value = np.add.reduceat(best[:, 0], start), single.max(1)
         order = np.argsort(-share, axis=1, kind="stable")
         # texts that hold next to nothing of a second language keep the single one
-        mixed = np.flatnonzero(np.take_along_axis(share, order[:, 1:2], axis=1)[:, 0] >= TRACE)
-        if len(mixed):
-            rows = np.concatenate([np.arange(start[i], start[i] + count[i]) for i in mixed])
-            part = (like[rows], np.concatenate(([0], np.cumsum(count[mixed])[:-1])), np.repeat(np.arange(len(mixed)), count[mixed]))
-            fee = PENALTY * 0.5 * np.log(count[mixed] + 1)
-            won, top = chosen[mixed], value[mixed]
-            for k in range(2, min(MAX_SET, langs) + 1):
-                if k == langs:
-                    estimate, more = share[mixed], gain[mixed]
-                else:
-                    allowed = np.zeros((len(mixed), langs))
-                    np.put_along_axis(allowed, order[mixed, :k], 1, axis=1)
-                    estimate, more = _em(*part, allowed, count[mixed])
-                penalised = base[mixed] + more - fee * (k - 1)
-                better = penalised > top
-                top = np.where(better, penalised, top)
-                won = np.where(better[:, None], estimate, won)
-            chosen[mixed] = won
+        live = np.flatnonzero(np.take_along_axis(share, order[:, 1:2], axis=1)[:, 0] >= TRACE)
+        fee = PENALTY * 0.5 * np.log(count + 1)
+        for k in range(2, langs + 1):
+            if not len(live):
+                break
+            if k == langs:
+                estimate, more = share[live], gain[live]
+            else:
+                rows = np.concatenate([np.arange(start[i], start[i] + count[i]) for i in live])
+                part = (like[rows], np.concatenate(([0], np.cumsum(count[live])[:-1])), np.repeat(np.arange(len(live)), count[live]))
+                allowed = np.zeros((len(live), langs))
+                np.put_along_axis(allowed, order[live, :k], 1, axis=1)
+                estimate, more = _em(*part, allowed, count[live])
+            penalised = base[live] + more - fee[live] * (k - 1)
+            better = penalised > value[live]
+            value[live] = np.where(better, penalised, value[live])
+            chosen[live] = np.where(better[:, None], estimate, chosen[live])
+            # a larger set explains a text no better than all languages do
+            live = live[better | (base[live] + gain[live] - fee[live] * k > value[live])]
     out[some] = chosen
     return out, n > 0
 

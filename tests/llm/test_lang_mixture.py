@@ -46,6 +46,23 @@ def test_proportions_of_a_mixture(spark):
     assert share[1][langs.index("xb")] == 1 and np.all(share[2] == 0) and list(has) == [True, True, False]
 
 
+def test_proportions_of_many_languages():
+    """Sets are not limited in size: five and seven of eight learned languages in a text."""
+    rnd = random.Random(11)
+    letters = [chr(0x4E00 + 40 * i) + "".join(chr(0x4E00 + 40 * i + j) for j in range(1, 12)) for i in range(8)]
+
+    def some(i, k):
+        return " ".join("".join(rnd.choice(letters[i]) for _ in range(rnd.randint(2, 6))) for _ in range(k))
+
+    counts = [np.bincount(lm.grams(pa.array([some(i, 3000).encode()], pa.binary()))[0], minlength=1 << lm.BUCKET_BITS) for i in range(8)]
+    table = np.stack(counts, 1) + lm.SMOOTHING
+    table = np.log(table / table.sum(0)).astype(np.float32)
+    texts = [" ".join(some(i, 100) for i in of) for of in ((0, 1, 2, 3, 4), range(7), range(8), (6,), (2, 5))]
+    share, _ = lm.mixtures(pa.array([t.encode() for t in texts], pa.binary()), table)
+    assert [(row > 0).sum() for row in share] == [5, 7, 8, 1, 2]
+    assert all(np.abs(row[row > 0] - 1 / (row > 0).sum()).max() < 0.02 for row in share)
+
+
 def test_nothing_to_learn_from(spark):
     df = spark.createDataFrame([(1, "some words", None, None, 0.0)], SCHEMA)
     assert [r["lang_pred"] for r in lm.languages(df).collect()] == ["und"]
