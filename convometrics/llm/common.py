@@ -88,9 +88,9 @@ def byte_view(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, off - off[0]
 
 
-def words_of(column: pa.Array) -> Words:
-    data, off = byte_view(column)
-    inside = ~IS_SPACE[data]
+def split_spans(data: np.ndarray, off: np.ndarray, belongs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, ends) of the maximal runs of bytes that ``belongs`` marks; no run crosses an offset of ``off``."""
+    inside = belongs[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     last = inside.copy()
@@ -98,8 +98,13 @@ def words_of(column: pa.Array) -> Words:
     cuts = off[(off > 0) & (off < len(data))]  # documents lie next to each other: a word ends with its document
     first[cuts] = inside[cuts]
     last[cuts - 1] = inside[cuts - 1]
-    start = np.flatnonzero(first)
-    return Words(data, off, start, np.flatnonzero(last) + 1, np.searchsorted(start, off))
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
+
+
+def words_of(column: pa.Array) -> Words:
+    data, off = byte_view(column)
+    start, end = split_spans(data, off, ~IS_SPACE)
+    return Words(data, off, start, end, np.searchsorted(start, off))
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from convometrics.llm import best_fit, exact_index, html_blocks, lang_mixture, minhash_bayes, mix_schedule, outlier_rules, phrase_automata, pii_bootstrap, quality_mil
+from convometrics.llm import best_fit, dense_search, exact_index, html_blocks, lang_mixture, minhash_bayes, mix_schedule, outlier_rules, phrase_automata, pii_bootstrap, quality_mil
 from convometrics.llm.common import small_batches, table
 
 
@@ -47,6 +47,11 @@ def op10_minhash_bayes(spark, sf_dir):
     return minhash_bayes.near_duplicates(table(spark, sf_dir, "documents"), k=2)
 
 
+def op11_dense_search(spark, sf_dir):
+    found = dense_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("item_id", "rank", "doc_id", "score")
+
+
 def _prepared(fn):
     def run(spark, sf_dir):
         small_batches(spark)
@@ -65,4 +70,5 @@ def llm_oracles():
         "op2_phrase_automata": phrase_automata.ORACLE,
         "op8_exact_dedup": exact_index.ORACLE,
         "op10_minhash_bayes": minhash_bayes.ORACLE,
+        "op11_dense_search": dense_search.ORACLE,
     }
