@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from convometrics.llm import best_fit, dense_search, exact_index, html_blocks, lang_mixture, minhash_bayes, mix_schedule, outlier_rules, phrase_automata, pii_bootstrap, quality_mil
+from convometrics.llm import best_fit, dense_search, exact_index, html_blocks, lang_mixture, minhash_bayes, mix_schedule, outlier_rules, phrase_automata, pii_bootstrap, quality_mil, range_shards
 from convometrics.llm.common import small_batches, table
 
 
@@ -52,6 +52,10 @@ def op11_dense_search(spark, sf_dir):
     return found.select("item_id", "rank", "doc_id", "score")
 
 
+def op12_range_shards(spark, sf_dir):
+    return range_shards.shard_documents(table(spark, sf_dir, "documents"))
+
+
 def _prepared(fn):
     def run(spark, sf_dir):
         small_batches(spark)
@@ -71,4 +75,5 @@ def llm_oracles():
         "op8_exact_dedup": exact_index.ORACLE,
         "op10_minhash_bayes": minhash_bayes.ORACLE,
         "op11_dense_search": dense_search.ORACLE,
+        "op12_range_shards": range_shards.ORACLE,
     }
