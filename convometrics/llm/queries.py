@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from convometrics.llm import best_fit, dense_search, exact_index, html_blocks, lang_mixture, minhash_bayes, mix_schedule, outlier_rules, phrase_automata, pii_bootstrap, quality_mil, range_shards
+from convometrics.llm import best_fit, dense_search, exact_index, html_blocks, lang_mixture, minhash_bayes, mix_schedule, outlier_rules, phrase_automata, pii_bootstrap, quality_mil, range_shards, turn_repair
 from convometrics.llm.common import small_batches, table
 
 
@@ -56,6 +56,10 @@ def op12_range_shards(spark, sf_dir):
     return range_shards.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op13_turn_repair(spark, sf_dir):
+    return turn_repair.audits(turn_repair.damaged(table(spark, sf_dir, "conversations")))
+
+
 def _prepared(fn):
     def run(spark, sf_dir):
         small_batches(spark)
@@ -76,4 +80,5 @@ def llm_oracles():
         "op10_minhash_bayes": minhash_bayes.ORACLE,
         "op11_dense_search": dense_search.ORACLE,
         "op12_range_shards": range_shards.ORACLE,
+        "op13_turn_repair": turn_repair.ORACLE,
     }

@@ -33,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from convometrics.llm.common import stored
+from convometrics.llm.common import crc_sql, stored
 
 SHARDS = 24
 OVERHEAD = 8
@@ -189,13 +189,6 @@ def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, files: int =
     dealt.select(*columns, "shard").write.partitionBy("shard").parquet(path)
 
 
-def _crc_sql(octets: str) -> str:
-    """CRC-32 of a list of byte values, bit by bit (polynomial 0xEDB88320)."""
-    bit = "lambda c, k: xor(c >> 1, (c & 1) * 3988292384::UBIGINT)"
-    byte = f"lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)::UBIGINT[]), {bit})"
-    return f"xor(list_reduce(list_prepend(4294967295::UBIGINT, {octets}), {byte}), 4294967295::UBIGINT)::BIGINT"
-
-
 ORACLE = f"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t, md5(coalesce(text, '')) AS digest, strlen(coalesce(text, '')) + 8 AS size FROM documents
@@ -205,7 +198,7 @@ p AS (
 ),
 s AS (SELECT *, least(23, (2 * start + size) * 24 // (2 * total))::INTEGER AS shard FROM p)
 SELECT doc_id, size::BIGINT AS size,
-       {_crc_sql("list_transform(regexp_extract_all(hex(t), '..'), lambda x: ('0x' || x)::UBIGINT)")} AS text_crc32,
+       {crc_sql("list_transform(regexp_extract_all(hex(t), '..'), lambda x: ('0x' || x)::UBIGINT)")} AS text_crc32,
        'bytes' AS law, shard,
        (row_number() OVER (PARTITION BY shard ORDER BY digest, doc_id NULLS FIRST) - 1)::BIGINT AS slot,
        NULL::INTEGER AS grown_shard
