@@ -2,14 +2,18 @@
 
 Physical line numbers in splittable text files
 ---------------------------------------------
-A text file is read in splits; each split is read by one task in order.  The
-reader tags every line with its split (``_metadata.file_block_start``) and a
-``monotonically_increasing_id`` (consecutive within a task).  One small
-aggregate gives, per split, the line count and the first id; a window over
-that small table (one row per split) gives the lines before each split; a
-join back gives ``line_num = lines_before + (id - first_id) + 1``.  Blank lines
-are numbered before any filtering.  How the per-split table is joined is left
-to the optimizer, which knows its size when it has been counted.
+A text file is read in splits; each split is read by one task in order, and a
+task may read several.  The high bits of ``monotonically_increasing_id`` are the
+number of the task's partition, the low bits count its lines.  One aggregate
+over the splits (no text in it) is written first: lines and first id of each,
+then the lines of the file before it.  The rows of that table, gathered by
+partition, are looked up by partition number inside the scan, so the text is
+neither joined by a shuffle nor moved: ``line_num = id - first_id + lines_before + 1``.
+Blank lines are numbered before any filtering.
+
+The table has one row for each split.  Up to ``MAX_SPLITS`` (some hundred
+terabytes of the usual splits) it is broadcast; beyond, the same numbers come
+from a join on file and split.
 """
 
 from __future__ import annotations
@@ -20,12 +24,50 @@ from pyspark.sql import functions as F
 from ..functions.jsontext import parse_strict, is_object, ustrip, vget, vstring, vtype
 from ..functions.stage import materialize, stage
 from ..schema import CHATML_SCHEMA
+from ..session import scratch_path
 
+# Splits whose offsets are broadcast: two longs and a partition number each, some 100 MB at most.
+MAX_SPLITS = 1 << 21
+PARTITION_BITS = 33  # of monotonically_increasing_id: the partition number stands above these
+LAYOUT_CHANGED = "the files were split otherwise than when their lines were counted"
 
-def read_lines(spark: SparkSession, path: str | list[str], where: Column | str | None = None) -> DataFrame:
+
+def _split_table(text: DataFrame) -> DataFrame:
+    """(file_path, block_start, _first, _before): first row id of each split, and the lines of its file before it."""
+    splits = text.groupBy("file_path", "block_start").agg(F.count(F.lit(1)).alias("_n"), F.min("_rid").alias("_first"))
+    w = Window.partitionBy("file_path").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
+    return splits.select("file_path", "block_start", "_first", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
+
+
+def _number_by_partition(text: DataFrame, splits: DataFrame) -> DataFrame:
+    """``text`` with ``line_num``, the splits of a row's partition being looked up by its number."""
+    split = F.struct(F.col("_first").alias("first"), F.col("_before").alias("before"), F.col("block_start").alias("start"))
+    held = splits.groupBy(F.shiftright("_first", PARTITION_BITS).alias("_part")).agg(F.array_sort(F.collect_list(split)).alias("_splits"))
+    found = text.withColumn("_part", F.shiftright("_rid", PARTITION_BITS)).join(F.broadcast(held), "_part", "left")
+    # the last split that begins at or before the row; a task of large files has one
+    mine = F.when(F.size("_splits") == 1, F.get("_splits", 0)).otherwise(
+        F.element_at(F.filter("_splits", lambda s: s.getField("first") <= F.col("_rid")), -1)
+    )
+    found = found.withColumn("_split", mine)
+    number = F.col("_rid") - F.col("_split.first") + F.col("_split.before") + 1
+    return found.withColumn(
+        "line_num", F.when(F.col("_split.start") == F.col("block_start"), number).otherwise(F.raise_error(F.lit(LAYOUT_CHANGED)).cast("long"))
+    )
+
+
+def _number_by_split(text: DataFrame, splits: DataFrame) -> DataFrame:
+    """The same by a join on file and split: for tables of splits too large to broadcast."""
+    joined = text.join(splits.hint("merge"), ["file_path", "block_start"])
+    return joined.withColumn("line_num", F.col("_before") + (F.col("_rid") - F.col("_first")) + 1)
+
+
+def read_lines(
+    spark: SparkSession, path: str | list[str], where: Column | str | None = None, max_splits: int = MAX_SPLITS
+) -> DataFrame:
     """``file_path, line_num, value`` (+ partition columns of the layout) for every physical line.
 
     ``where`` filters on the layout's columns; it prunes the files that are read.
+    The lines of each split are counted when this is called.
     """
     paths = [path] if isinstance(path, str) else path
     raw = spark.read.text(paths)
@@ -39,20 +81,9 @@ def read_lines(spark: SparkSession, path: str | list[str], where: Column | str |
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("_rid"),
     )
-    blocks = text.groupBy("file_path", "block_start").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_rid").alias("_first")
-    )
-    w = Window.partitionBy("file_path").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.select(
-        "file_path", "block_start", "_first", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before")
-    )
-    joined = text.join(blocks, ["file_path", "block_start"])
-    return joined.select(
-        "file_path",
-        *part_cols,
-        (F.col("_before") + (F.col("_rid") - F.col("_first")) + 1).alias("line_num"),
-        "value",
-    )
+    splits = materialize(_split_table(text), scratch_path(spark, "splits"))
+    number = _number_by_partition if splits.count() <= max_splits else _number_by_split
+    return number(text, splits).select("file_path", *part_cols, "line_num", "value")
 
 
 # ---------------------------------------------------------------------------

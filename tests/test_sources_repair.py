@@ -28,6 +28,69 @@ def test_line_numbers_across_many_splits(spark):
     assert by_num == {i + 1: v for i, v in enumerate(lines)}
 
 
+def _many_files(spark):
+    """A corpus in which tasks read several small files, and files are read by several tasks: (folder, {file: lines})."""
+    d = tempfile.mkdtemp(prefix="many-")
+    want = {}
+    for f in range(12):
+        lines = [f"{f}-{i}" if (i + f) % 5 else "" for i in range([3, 900, 40, 1][f % 4])]
+        with open(os.path.join(d, f"f{f}.jsonl"), "w") as out:
+            out.write("\n".join(lines) + "\n")
+        want[f"f{f}.jsonl"] = {i + 1: v for i, v in enumerate(lines)}
+    return d, want
+
+
+def _numbered(df):
+    found = {}
+    for r in rows(df):
+        found.setdefault(os.path.basename(r["file_path"]), {})[r["line_num"]] = r["value"]
+    return found
+
+
+def test_line_numbers_of_many_files_by_either_way(spark):
+    d, want = _many_files(spark)
+    for split, cost in (("2000", "0"), ("2000", "100"), ("1000000", "10")):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        spark.conf.set("spark.sql.files.openCostInBytes", cost)
+        spark.conf.set("spark.sql.files.minPartitionNum", "1")
+        try:
+            assert _numbered(chatml.read_lines(spark, d)) == want
+            assert _numbered(chatml.read_lines(spark, d, max_splits=0)) == want
+        finally:
+            for c in ("maxPartitionBytes", "openCostInBytes", "minPartitionNum"):
+                spark.conf.unset(f"spark.sql.files.{c}")
+
+
+def test_the_text_is_scanned_once_and_not_shuffled(spark):
+    d, _ = _many_files(spark)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for a corpus of any size
+    try:
+        plan = chatml.read_lines(spark, d)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("FileScan text") == 1 and "SortMergeJoin" not in plan
+    text_side = plan[: plan.index("FileScan text")]
+    assert "Exchange" not in text_side.replace("BroadcastExchange", "")
+
+
+def test_files_split_anew_stop_the_job(spark):
+    d, _ = _many_files(spark)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        df = chatml.read_lines(spark, d)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+        try:
+            df.collect()
+            raise AssertionError("expected failure")
+        except Exception as e:  # noqa: BLE001
+            assert chatml.LAYOUT_CHANGED in str(e)
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_quarantine_and_failfast(spark):
     d = tempfile.mkdtemp(prefix="q-")
     with open(os.path.join(d, "a.jsonl"), "w") as f:
