@@ -1,7 +1,7 @@
 """Column helpers for strict JSON, typed JSON values and Python-style strings.
 
-All helpers take and return ``Column`` and compile to built-in expressions, so
-they stay inside whole-stage codegen.  No Python runs per row.
+All helpers take and return ``Column`` and are built-in expressions.  No Python
+runs per row.
 """
 
 from __future__ import annotations
@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .stage import let
+
 _STRICT = {"allowSingleQuotes": "false", "allowUnquotedControlChars": "false"}
 
 # Characters Python's str.strip() removes: everything str.isspace() accepts
@@ -64,20 +66,23 @@ def vget(v: Column, path: str) -> Column:
     return F.try_variant_get(v, "$." + path if path else "$", "variant")
 
 
-def vtype(x: Column) -> Column:
-    """JSON type of a VARIANT value: object/array/string/boolean/null/number, NULL if absent."""
-    s = F.schema_of_variant(x)
+def type_of_schema(s: Column) -> Column:
+    """JSON type by the text of ``schema_of_variant``; NULL for a NULL."""
     return (
-        F.when(x.isNull(), F.lit(None).cast("string"))
-        .when(s.startswith("OBJECT"), "object")
-        .when(s.startswith("ARRAY"), "array")
-        .when(s == "STRING", "string")
+        F.when(s == "STRING", "string")
         .when(s == "BOOLEAN", "boolean")
         .when(s == "VOID", "null")
-        .otherwise("number")
+        .when(s.startswith("OBJECT"), "object")
+        .when(s.startswith("ARRAY"), "array")
+        .when(s.isNotNull(), "number")
     )
 
 
+def vtype(x: Column) -> Column:
+    """JSON type of a VARIANT value: object/array/string/boolean/null/number, NULL if absent."""
+    return let(F.schema_of_variant(x), type_of_schema)
+
+
 def is_object(x: Column) -> Column:
     """True for a JSON object.  Casting to an empty struct reads no fields, so this is
     far cheaper than ``schema_of_variant`` on a large object."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -21,6 +21,16 @@ def stage(df: DataFrame) -> DataFrame:
     return df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once, however often and under whatever conditions the body uses it.
+
+    A one-element ``transform`` binds it.  The projection that holds it is
+    compiled on its own, in small methods, instead of within whole-stage code:
+    large trees over long texts are faster that way.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def spread(df: DataFrame, num_partitions: int) -> DataFrame:
     """Deal the rows evenly to ``num_partitions``, for CPU-bound work on rows of a few bytes.
 

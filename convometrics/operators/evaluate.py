@@ -22,7 +22,7 @@ from ..functions.jsontext import parse_strict, vstring
 from ..functions.stage import stage
 from ..schema import ALL_KEY_FIELDS, RESOLVED_FIELD, RULES_BY_NAME, SCORED_FIELDS
 from .payload import (
-    canon_raw,
+    canon_leaves,
     canon_typed,
     drop_leaves,
     explode_payload,
@@ -35,6 +35,7 @@ from .payload import (
 )
 
 NO_PREDICTION = "no prediction for this key"
+SEVERAL_PREDICTIONS = "several predictions for this key"
 BAD_GOLD = "gold payload is not valid JSON"
 
 
@@ -50,26 +51,46 @@ MATCH_COLS = [match_col(f) for f in SCORED_FIELDS]
 # ---------------------------------------------------------------------------
 
 
+def one_per_key(pred: DataFrame, key: str = "k") -> DataFrame:
+    """One row for each key of ``pred``, with ``n_predictions``.
+
+    Counted in the shuffle that the join by ``key`` needs anyway; rows of a key
+    are combined before it, so a key with a large share of all rows is no hot
+    task.  Which of several rows stays is no matter: ``pair`` uses none of them.
+    """
+    rest = [c for c in pred.columns if c != key]
+    grouped = pred.groupBy(key).agg(F.count(F.lit(1)).alias("n_predictions"), F.min(F.struct(*rest)).alias("_one"))
+    return grouped.select(key, "n_predictions", *[F.col("_one")[c].alias(c) for c in rest])
+
+
 def pair(gold: DataFrame, pred: DataFrame, key: str = "k") -> DataFrame:
-    """Left join of gold to predictions on ``key``; a missing prediction becomes an error row.
+    """Left join of gold to predictions on ``key``: one row for each row of ``gold``, whatever ``pred`` holds.
 
-    Both sides are large and keyed alike, so this is a sort-merge join on
-    ``key`` (pinned: a runtime size measured below where replies are built is
-    no bound on the broadcast side; AQE can still split skewed partitions).
+    A key without a prediction and a key with several become error rows, with
+    the reason in ``model_error``; neither has a latency.  Both sides are large
+    and keyed alike, so this is a sort-merge join on ``key`` (pinned: a runtime
+    size measured below where replies are built is no bound on the broadcast side).
     """
-    p = pred.withColumn("_has_pred", F.lit(True)).hint("merge")
+    p = one_per_key(pred, key).hint("merge")
     out = gold.join(p, key, "left")
-    err = F.when(F.col("_has_pred").isNull(), F.lit(NO_PREDICTION))
+    several = F.col("n_predictions") > 1
+    err = F.when(F.col("n_predictions").isNull(), F.lit(NO_PREDICTION)).when(several, F.lit(SEVERAL_PREDICTIONS))
     if "model_error" in pred.columns:
         err = F.coalesce(err, F.col("model_error"))
-    return out.withColumn("model_error", err).drop("_has_pred")
+    if "latency_ms" in pred.columns:
+        out = out.withColumn("latency_ms", F.when(~several, F.col("latency_ms")))
+    return out.withColumn("model_error", err).drop("n_predictions")
 
 
 def prepare_predictions(df: DataFrame, reply: str = "reply") -> DataFrame:
     """Reply text -> ``body, payload, error, violations, status, metrics`` (+ ``_p_*`` leaves)."""
+    return stage(_checked_replies(df, reply))
+
+
+def _checked_replies(df: DataFrame, reply: str) -> DataFrame:
     model_error = "model_error" if "model_error" in df.columns else None
     parsed = parse_replies(df, reply, model_error)
-    return stage(with_metrics(validate(explode_payload(parsed, "payload", "_p"))))
+    return with_metrics(validate(explode_payload(parsed, "payload", "_p")))
 
 
 def parse_gold(df: DataFrame, gold: str = "gold_json") -> DataFrame:
@@ -96,11 +117,10 @@ def _pkey(field: str) -> str:
     return f"_pc_{field}"
 
 
-def _pred_canon(field: str) -> Column:
-    rule = RULES_BY_NAME[field]
-    return F.when(F.col("status") == "valid", canon_typed(F.col("metrics"), rule)).otherwise(
-        canon_raw("_p", rule)
-    )
+def _pred_canon(raw: Column) -> Column:
+    """ARRAY of the canonical values of the key fields: of the record if valid, of the leaves as they are (``raw``) otherwise."""
+    typed = F.array(*[canon_typed(F.col("metrics"), RULES_BY_NAME[f]) for f in ALL_KEY_FIELDS])
+    return F.when(F.col("status") == "valid", typed).otherwise(raw)
 
 
 def resolved_pred() -> Column:
@@ -114,11 +134,12 @@ def resolved_pred() -> Column:
 def gold_keys(gold: DataFrame, gold_col: str = "gold_json") -> DataFrame:
     """Gold side: ``gold_ok``, ``gold_intent``, ``gold_resolved`` and one canonical key per field."""
     g = parse_gold(gold, gold_col)
-    cols = {_gkey(f): canon_raw("_g", RULES_BY_NAME[f]) for f in ALL_KEY_FIELDS}
+    g = g.withColumn("_canon", canon_leaves("_g", ALL_KEY_FIELDS))
+    cols = {_gkey(f): F.get("_canon", F.lit(i)) for i, f in enumerate(ALL_KEY_FIELDS)}
     cols["gold_resolved"] = normalize_resolved_leaf("_g")
     cols["gold_intent"] = F.when(F.col("_g_t_customer_intent") == "string", vstring(F.col("_g_x_customer_intent")))
     cols["gold_ok"] = F.col("gold").isNotNull()
-    return drop_leaves(g.withColumns(cols), "_g").drop("gold")
+    return drop_leaves(g.withColumns(cols), "_g").drop("gold", "_canon")
 
 
 def prediction_keys(pred: DataFrame, reply: str = "reply", documents: bool = False) -> DataFrame:
@@ -126,14 +147,16 @@ def prediction_keys(pred: DataFrame, reply: str = "reply", documents: bool = Fal
 
     ``documents`` adds ``pred_json``: the validated record, or the raw object, as text.
     """
-    p = prepare_predictions(pred, reply)
-    cols = {_pkey(f): _pred_canon(f) for f in ALL_KEY_FIELDS}
+    p = _checked_replies(pred, reply).withColumn("_canon", _pred_canon(canon_leaves("_p", ALL_KEY_FIELDS)))
+    cols = {_pkey(f): F.get("_canon", F.lit(i)) for i, f in enumerate(ALL_KEY_FIELDS)}
     if documents:
         cols["pred_json"] = F.when(F.col("status") == "valid", serialize(F.col("metrics"))).when(
             F.col("status") == "raw", F.to_json(F.col("payload"))
         )
     cols["pred_resolved"] = F.when(F.col("status") != "error", resolved_pred())
-    return drop_leaves(p.withColumns(cols), "_p")
+    passed = [c for c in pred.columns if c != reply]
+    # the barrier holds short columns only: no reply, no variant and no leaf is copied through it
+    return stage(p.select(*passed, "status", "error", *[c.alias(n) for n, c in cols.items()]))
 
 
 def score(df: DataFrame) -> DataFrame:
@@ -159,22 +182,29 @@ _GOLD_SIDE = ["gold_ok", "gold_resolved", "gold_intent", *[_gkey(f) for f in ALL
 _PRED_SIDE = ["status", "error", "pred_resolved", *[_pkey(f) for f in ALL_KEY_FIELDS]]
 
 
-def evaluate(gold: DataFrame, pred: DataFrame, key: str = "k", documents: bool = False) -> DataFrame:
+def evaluate(
+    gold: DataFrame, pred: DataFrame, key: str = "k", documents: bool = False, duplicates: str = "error"
+) -> DataFrame:
     """E0 + P2-P5 + E1-E3: one row per gold key with status, matches and latency.
 
-    A gold key without a prediction is an error row ("no prediction").  Keys are
-    expected to be unique on the prediction side (``duplicate_keys`` finds
-    those that are not).  ``documents`` keeps ``gold_json`` and ``pred_json``.
+    A gold key without a prediction, or with several, is an error row; so the
+    rows are as many as those of ``gold``.  ``duplicates="failfast"`` stops, before
+    anything else is run, on a key with several predictions.  ``documents`` keeps
+    ``gold_json`` and ``pred_json``.
     """
+    if duplicates == "failfast":
+        first = duplicate_keys(pred, key).agg(F.min(F.struct(key, "n")).alias("first")).first()["first"]
+        if first is not None:
+            raise ValueError(f"{first['n']} predictions for {key} {first[key]}")
     passed = [c for c in ("latency_ms", "model_error") if c in pred.columns]
     left = gold_keys(gold).select(key, *_GOLD_SIDE, *(["gold_json"] if documents else []))
     right = prediction_keys(pred, documents=documents).select(
         key, *_PRED_SIDE, *passed, *(["pred_json"] if documents else [])
     )
     paired = pair(left, right, key)
-    paired = paired.withColumn(
-        "error", F.when(F.col("model_error") == NO_PREDICTION, F.lit(NO_PREDICTION)).otherwise(F.col("error"))
-    )
+    unpaired = F.col("model_error").isin(NO_PREDICTION, SEVERAL_PREDICTIONS)
+    paired = paired.withColumn("error", F.when(unpaired, F.col("model_error")).otherwise(F.col("error")))
+    paired = paired.withColumn("status", F.when(unpaired, F.lit("error")).otherwise(F.col("status")))
     return score(paired)
 
 

@@ -30,9 +30,11 @@ from ..functions.jsontext import (
     vdouble,
     vget,
     vstring,
+    type_of_schema,
     vshape,
     vtype,
 )
+from ..functions.stage import let
 from ..schema import FIELD_RULES, GROUPS, VOCABULARIES, VOCABULARY_NAMES, FieldRule
 
 # ---------------------------------------------------------------------------
@@ -59,15 +61,16 @@ def unfence(reply: Column) -> Column:
     Same result as searching ``` ```(?:json)?\s*([\s\S]*?)``` ``` (lower-case ``json``
     only; body up to the next fence), done with ``locate``/``substring``.
     """
-    raw = ustrip(reply)
-    open_at = F.instr(raw, FENCE)  # 1-based, 0 when absent
-    after = F.substring(raw, open_at + 3, F.length(raw))
-    after = F.when(after.startswith("json"), F.substring(after, 5, F.length(after))).otherwise(after)
-    body_start = F.length(after) - F.length(ulstrip(after)) + 1
-    close_at = F.call_function("locate", F.lit(FENCE), after, body_start)
-    body = ustrip(F.substring(after, body_start, close_at - body_start))
-    # nested: the fence search only runs on replies that contain a fence
-    return F.when(open_at > 0, F.when(close_at > 0, body).otherwise(raw)).otherwise(raw)
+
+    def body(raw: Column, open_at: Column) -> Column:
+        after = F.substring(raw, open_at + 3, F.length(raw))
+        after = F.when(after.startswith("json"), F.substring(after, 5, F.length(after))).otherwise(after)
+        inner = let(let(after, ulstrip), lambda t: let(F.instr(t, FENCE), lambda end: F.when(end > 0, ustrip(F.substring(t, F.lit(1), end - 1)))))
+        return F.coalesce(inner, raw)
+
+    # most replies hold no fence: they are searched once and stripped
+    fenced = let(ustrip(reply), lambda raw: let(F.instr(raw, FENCE), lambda at: body(raw, at)))
+    return F.when(reply.contains(FENCE), fenced).otherwise(ustrip(reply))
 
 
 # ---------------------------------------------------------------------------
@@ -144,10 +147,15 @@ def lax_bool(x: Column, t: Column) -> Column:
 
 def _string_list(x: Column, t: Column) -> Column:
     arr = F.try_variant_get(x, "$", "array<variant>")
-    ok = (t == "array") & F.forall(arr, lambda e: vtype(e) == "string")
+    ok = (t == "array") & F.forall(arr, lambda e: F.schema_of_variant(e) == "STRING")
     return F.when(ok, F.try_variant_get(x, "$", "array<string>"))
 
 
+def _variants(group: Column, rules: list[FieldRule]) -> Column:
+    """The leaves of a group as a struct of variants; NULL for what is not an object."""
+    return F.try_variant_get(group, "$", "struct<" + ", ".join(f"{r.name}: variant" for r in rules) + ">")
+
+
 def leaf_col(prefix: str, kind: str, name: str) -> str:
     return f"{prefix}_{kind}_{name}"
 
@@ -172,8 +180,14 @@ def explode_payload(
     shapes = {} if fields is not None else (
         {leaf_col(prefix, "t", "root"): vshape(p)} | {leaf_col(prefix, "t", g): vshape(vget(p, g)) for g in GROUPS}
     )
-    df = df.withColumns(shapes | {leaf_col(prefix, "x", r.name): vget(p, r.path) for r in rules})
-    df = df.withColumns({leaf_col(prefix, "t", r.name): vtype(F.col(leaf_col(prefix, "x", r.name))) for r in rules})
+    # one struct of variants for each group, and the types of all leaves in one array: one expression, not one a leaf
+    held = {g: f"{prefix}_in_{g}" for g in GROUPS if any(r.group == g for r in rules)}
+    df = df.withColumns(shapes | {c: _variants(vget(p, g), [r for r in rules if r.group == g]) for g, c in held.items()})
+    df = df.withColumns({leaf_col(prefix, "x", r.name): F.col(held[r.group])[r.name] for r in rules}).drop(*held.values())
+    schemas = F.transform(F.array(*[F.col(leaf_col(prefix, "x", r.name)) for r in rules]), F.schema_of_variant)
+    types = f"{prefix}_types"
+    df = df.withColumn(types, F.transform(schemas, type_of_schema))
+    df = df.withColumns({leaf_col(prefix, "t", r.name): F.get(types, F.lit(i)) for i, r in enumerate(rules)}).drop(types)
     if not typed:
         return df
     typed_cols = {}
@@ -327,8 +341,10 @@ def normalize_resolved_value(x: Column) -> Column:
     return F.when(vtype(x) == "string", normalize_resolved_text(vstring(x))).otherwise(F.lit("N/A"))
 
 
-def canon_raw(prefix: str, rule: FieldRule) -> Column:
-    return canon(F.col(leaf_col(prefix, "x", rule.name)), F.col(leaf_col(prefix, "t", rule.name)))
+def canon_leaves(prefix: str, names: list[str]) -> Column:
+    """ARRAY of the canonical values of several leaves, in their order: one tree for all of them."""
+    leaves = [F.struct(F.col(leaf_col(prefix, "x", n)).alias("x"), F.col(leaf_col(prefix, "t", n)).alias("t")) for n in names]
+    return F.transform(F.array(*leaves), lambda e: canon(e.getField("x"), e.getField("t")))
 
 
 def canon_typed(record: Column, rule: FieldRule) -> Column:

@@ -70,10 +70,12 @@ def q_pair_gold_pred(spark, sf):
 
 
 def q_pair_with_gaps(spark, sf):
-    """E0 with predictions missing (k % 29 = 0) and gold that is no JSON (k % 41 = 0)."""
+    """E0 with predictions missing (k % 29 = 0) or given two and three times (k % 31 = 0), and gold that is no JSON (k % 41 = 0)."""
     k = F.col("k")
     gold = fx.gold_table(spark, sf).withColumn("gold_json", F.when(k % 41 == 0, F.substring("gold_json", 1, 30)).otherwise(F.col("gold_json")))
-    s = ev.evaluate(gold, fx.prediction_table(spark, sf).filter(k % 29 != 0))
+    pred = fx.prediction_table(spark, sf).filter(k % 29 != 0)
+    pred = pred.unionByName(pred.filter(k % 31 == 0)).unionByName(pred.filter(k % 62 == 0))
+    s = ev.evaluate(gold, pred)
     return s.select("k", "status", "scored", "strict", "error")
 
 
@@ -460,10 +462,11 @@ ORACLES = {
         coalesce(CAST(sum(latency_ms) AS DOUBLE) / 1000, 0.0) AS latency_total_sec FROM fx1s"""
     ),
     "pair_with_gaps": O.with_fx1(
-        f"""SELECT k, CASE WHEN k % 29 = 0 THEN 'error' ELSE status END AS status,
-        k % 29 <> 0 AND k % 41 <> 0 AND r <> 19 AS scored,
-        CASE WHEN k % 29 <> 0 AND k % 41 <> 0 AND r <> 19 THEN strict END AS strict,
+        f"""SELECT k, CASE WHEN k % 29 = 0 OR k % 31 = 0 THEN 'error' ELSE status END AS status,
+        k % 29 <> 0 AND k % 31 <> 0 AND k % 41 <> 0 AND r <> 19 AS scored,
+        CASE WHEN k % 29 <> 0 AND k % 31 <> 0 AND k % 41 <> 0 AND r <> 19 THEN strict END AS strict,
         CASE WHEN k % 41 = 0 THEN {O.lit(ev.BAD_GOLD)} WHEN k % 29 = 0 THEN {O.lit(ev.NO_PREDICTION)}
+             WHEN k % 31 = 0 THEN {O.lit(ev.SEVERAL_PREDICTIONS)}
              WHEN r = 19 THEN {_PREFIX} || left(reply, 500) || '...' END AS error FROM fx1s"""
     ),
     "strict_failures": O.with_fx1(
