@@ -14,6 +14,9 @@ other than doc_id and text are ignored.
 
 from __future__ import annotations
 
+import hashlib
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +24,14 @@ from convometrics.llm.common import look_up, normalised, stored
 from convometrics.session import scratch_path
 
 INDEX_SCHEMA = "digest string, keep_id bigint, n bigint"
-BUCKETS = 32
+BUCKETS = 32  # at least
+DIGESTS_PER_BUCKET = 1 << 22
+
+
+def buckets_for(rows: int) -> int:
+    """Buckets of an index for about ``rows`` digests: a power of two, so that tasks of any corpus merge buckets of like size."""
+    return max(BUCKETS, 1 << (max(rows, 1) // DIGESTS_PER_BUCKET).bit_length())
+
 
 def digests(docs: DataFrame) -> DataFrame:
     """(doc_id, digest): SHA-256 of the whole normalised text."""
@@ -35,11 +45,21 @@ class DigestIndex:
     """A digest index at ``path``; ``create`` starts one, ``attach`` finds one written before."""
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS):
-        self.spark, self.path, self.buckets = spark, path, buckets
-        self.table = "digest_index_" + "".join(c if c.isalnum() else "_" for c in path.rsplit("/", 1)[-1])
+        self.spark, self.path, self.buckets = spark, path.rstrip("/"), buckets
+        # of the whole path: indexes whose paths end alike are different tables
+        self.table = "digest_index_" + hashlib.sha256(self.path.encode()).hexdigest()[:24]
 
     def attach(self) -> DigestIndex:
-        """Register the files at ``path`` as the bucketed table (an empty one if there are none)."""
+        """Register the files at ``path`` as the bucketed table (an empty one if there are none).
+
+        The number of buckets is written beside an index when it is made; one
+        that is there keeps its own.
+        """
+        try:
+            self.buckets = self.spark.read.schema("buckets int").parquet(f"{self.path}.buckets").first()["buckets"]
+        except AnalysisException:  # no such path: a new index
+            one = self.spark.range(1).select(F.lit(self.buckets).alias("buckets"))
+            one.write.parquet(f"{self.path}.buckets")
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.table} ({INDEX_SCHEMA}) USING parquet "
             f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{self.path}'"
@@ -82,12 +102,12 @@ def decide(keyed: DataFrame, index: DataFrame) -> DataFrame:
     return look_up(keyed, known, ["digest"], "group_size", keyed.count())
 
 
-def ingest(docs: DataFrame, path: str | None, batches: int, buckets: int) -> tuple[DataFrame, DigestIndex]:
+def ingest(docs: DataFrame, path: str | None, batches: int, buckets: int | None) -> tuple[DataFrame, DigestIndex]:
     """Append ``docs`` to the index in ``batches`` ranges of ascending doc_id; (doc_id, digest) of all rows, and the index."""
     spark = docs.sparkSession
-    index = DigestIndex(spark, path or scratch_path(spark, "digest_index"), buckets).attach()
     keyed = stored(digests(docs), "digests")
-    low, high = keyed.agg(F.min("doc_id"), F.max("doc_id")).first()
+    low, high, rows = keyed.agg(F.min("doc_id"), F.max("doc_id"), F.count(F.lit(1))).first()
+    index = DigestIndex(spark, path or scratch_path(spark, "digest_index"), buckets or buckets_for(rows)).attach()
     if low is None:
         index.append(keyed)
     else:
@@ -98,12 +118,13 @@ def ingest(docs: DataFrame, path: str | None, batches: int, buckets: int) -> tup
     return keyed, index
 
 
-def exact_dedup(docs: DataFrame, path: str | None = None, batches: int = 2, buckets: int = BUCKETS) -> DataFrame:
+def exact_dedup(docs: DataFrame, path: str | None = None, batches: int = 2, buckets: int | None = None) -> DataFrame:
     """Every row of ``docs`` with the decision about it.
 
     The documents arrive in ``batches`` ranges of ascending doc_id, each of
     which is deduplicated against the index of those before.  ``path``: where
-    the index lies (one that is there is extended); by default a new one.
+    the index lies (one that is there is extended); by default a new one, with
+    buckets for the number of rows.
     Returns doc_id, keep_id, group_size, kept, text_sha256.
     """
     keyed, index = ingest(docs, path, batches, buckets)
@@ -116,18 +137,19 @@ def exact_dedup(docs: DataFrame, path: str | None = None, batches: int = 2, buck
     )
 
 
-def keep_first(docs: DataFrame, batches: int = 2, buckets: int = BUCKETS) -> DataFrame:
+def keep_first(docs: DataFrame, batches: int = 2, buckets: int | None = None) -> DataFrame:
     """The documents that stay, with their columns unchanged (one row for a repeated doc_id and text)."""
     _, index = ingest(docs, None, batches, buckets)
     no_id = F.lit(-(1 << 63))
     keep = index.read().select(F.coalesce("keep_id", no_id).alias("__id"), F.col("digest").alias("__digest"))
-    return (
-        docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("bigint"), no_id))
-        .withColumn("__digest", F.sha2(normalised().cast("binary"), 256))
-        .join(keep, ["__id", "__digest"], "left_semi")
-        .dropDuplicates(["__id", "__digest"])
-        .select(*docs.columns)
+    user = F.struct(*[F.col(f"`{c}`") for c in docs.columns])  # whatever its columns are called
+    held = docs.select(
+        user.alias("user"),
+        F.coalesce(F.col("doc_id").cast("bigint"), no_id).alias("__id"),
+        F.sha2(normalised().cast("binary"), 256).alias("__digest"),
     )
+    kept = held.join(keep, ["__id", "__digest"], "left_semi").dropDuplicates(["__id", "__digest"])
+    return kept.select(*[F.col("user")[c].alias(c) for c in docs.columns])
 
 
 ORACLE = """

@@ -49,8 +49,10 @@ CELLS = 20_000  # blocks (with padding) labelled at once
 
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-# Elements whose content is no text of the page.
+# Elements whose content is no text of the page; those that can hold their like end at the matching closer.
 SKIPPED = frozenset("script style noscript template textarea title svg math iframe object select head".split())
+NESTED = frozenset("template svg math object select".split())
+RAW = frozenset("script style textarea title".split())  # without a closer they run to the end of the page
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q ruby rp rt s samp "
     "small span strike strong sub sup time tt u var wbr".split()
@@ -83,12 +85,32 @@ def _element(tag: str, attributes: str) -> str:
     return " ".join([tag, *dict.fromkeys(words)])
 
 
+def closers(page: str, tag: str) -> dict[int, int]:
+    """{end of an opening tag: end of the closing tag that matches it} of all such elements of a page, in one pass."""
+    found, opened = {}, []
+    for m in re.finditer(rf"<(/?){tag}(?![^\s/>])", page, re.IGNORECASE):
+        whole = TAG.match(page, m.start())
+        if not whole or not whole[3]:
+            break  # the page ends inside a tag
+        if not m[1]:
+            if not whole[2].endswith("/"):
+                opened.append(whole.end())
+        elif opened:
+            if tag in NESTED:
+                found[opened.pop()] = whole.end()
+            else:
+                found |= dict.fromkeys(opened, whole.end())
+                opened.clear()
+    return found
+
+
 def blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
     """(path, text, characters inside links) of every leaf block of a page, in order."""
     out: list[tuple[tuple[str, ...], str, int]] = []
     stack: list[tuple[str, str]] = []
     pieces: list[str] = []
     linked, at, end = 0, 0, len(page)
+    closed: dict[str, dict[int, int]] = {}
 
     def flush():
         nonlocal linked
@@ -151,12 +173,18 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
                 flush()
             if attributes.endswith("/") and tag in ("svg", "math"):
                 continue
-            close = re.compile(rf"</{tag}\b[^>]*>", re.IGNORECASE).search(page, at)
-            if close is None and tag == "head":
-                close = re.compile(r"<body\b", re.IGNORECASE).search(page, at)
-                at = close.start() if close else at
-            else:
-                at = end if close is None else close.end()
+            if tag not in closed:
+                closed[tag] = closers(page, tag)
+            close = closed[tag].get(at)
+            if close is not None:
+                at = close
+            elif tag in RAW:
+                # a closer that the pass over tags did not match (an opener within quotes) still ends the element
+                late = re.compile(rf"</{tag}\b[^>]*>", re.IGNORECASE).search(page, at)
+                if late is None:
+                    break
+                at = late.end()
+            # without a closer the others are passed over alone: what follows is the page's
             continue
         if tag == "br":
             pieces.append(" ")

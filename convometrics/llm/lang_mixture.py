@@ -11,7 +11,8 @@ Learning: at most about ``TRAIN_DOCS`` documents of each language, those of
 smallest id hash; the counts are summed on eight tasks.  Prediction reads every
 whole text.
 
-Defined cases: a text that is null or has no letter is ``und`` with score 0;
+Defined cases: a text that is null or has no letter (Unicode property L; numerals
+such as one half are none) is ``und`` with score 0; very long texts are read whole;
 without a learned language every text is ``und``; of equal proportions the
 language first in code-point order wins; rows that repeat are predicted alike;
 an empty table gives no rows; other columns are ignored.
@@ -19,10 +20,9 @@ an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +34,7 @@ SMOOTHING = 0.5
 ROUNDS = 12
 TRACE = 0.01  # a second language below this share is none
 PENALTY = 3.0  # times the BIC penalty of half a log of the number of words
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 UNKNOWN = "und"
 
 _LOWER = np.arange(256, dtype=np.uint32)

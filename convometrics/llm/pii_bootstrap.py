@@ -15,10 +15,11 @@ A common pattern is counted where its rows lie, by partial aggregation, before
 anything is shuffled; patterns without ``MIN_SEEDS`` different seeds never enter
 the graph.
 
-Defined cases: a null text counts as empty; doc_id identifies a document (rows
-that repeat one share their new spans if the text there allows them); a row
-without doc_id has its base spans alone; an empty table gives no rows; other
-columns are ignored.  The counts n_... are of base spans.
+Defined cases: a null text counts as empty; very long texts and very long
+neighbour words are read whole; every row is a document of its own, also one that
+repeats a doc_id or has none; of kinds equally sure the last in alphabetical order
+wins; an empty table gives no rows; other columns are ignored.  The counts n_...
+are of base spans.
 """
 
 from __future__ import annotations
@@ -49,7 +50,10 @@ OCTETS = r"^0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})(?:\.0*(?:25[0-5]|2[0-
 # A whole word with a digit or an @.
 LIKE_ID = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
 STEP = 128
-CONTEXT = 64  # characters of a gap in which its words are looked for
+# Neighbour words of a match in the whole gap beside it; a look-behind and possessive repetition keep long gaps linear.
+LAST_WORD = r"(?<![^\x20\x09-\x0D])([^\x20\x09-\x0D]++)[\x20\x09-\x0D]*+$"
+LAST_TWO = r"(?<![^\x20\x09-\x0D])([^\x20\x09-\x0D]++[\x20\x09-\x0D]++[^\x20\x09-\x0D]++)[\x20\x09-\x0D]*+$"
+NEXT_WORD = r"^[\x20\x09-\x0D]*+([^\x20\x09-\x0D]++)"
 
 
 def _digits(text: Column) -> Column:
@@ -86,7 +90,9 @@ def _sum(values: Column) -> Column:
 
 
 def _found(df: DataFrame, pattern: str, hint: str, out: str) -> DataFrame:
-    """Add ``out``: structs (start, end, match, before, after) of all matches in ``text``.
+    """Add ``out``: structs (start, end, match, two, last, following) of all matches in ``text``.
+
+    ``two`` and ``last`` are the words before the match, ``following`` the one after it.
 
     The gaps that a split leaves and the matches themselves give the positions.
     They are summed in steps, so that a text with many matches stays cheap.
@@ -111,8 +117,9 @@ def _found(df: DataFrame, pattern: str, hint: str, out: str) -> DataFrame:
             start.cast("long").alias("start"),
             (start + F.length(match)).cast("long").alias("end"),
             match.alias("match"),
-            F.substr(gap, F.greatest(F.length(gap) - CONTEXT + 1, F.lit(1)), F.lit(CONTEXT)).alias("before"),
-            F.substr(F.get("__gaps", i + 1), F.lit(1), F.lit(CONTEXT)).alias("after"),
+            F.lower(F.regexp_extract(gap, LAST_TWO, 1)).alias("two"),
+            F.lower(F.regexp_extract(gap, LAST_WORD, 1)).alias("last"),
+            F.lower(F.regexp_extract(F.get("__gaps", i + 1), NEXT_WORD, 1)).alias("following"),
         )
 
     return df.withColumn(out, F.transform("__hits", span)).drop("__hits", "__gaps", "__len", "__sums", "__before")
@@ -128,29 +135,27 @@ def base_spans(docs: DataFrame) -> DataFrame:
     return df.drop("text")
 
 
-def _patterns(before: Column, after: Column) -> Column:
+def _patterns(place: str) -> Column:
     """The lexical patterns that a place stands in; none where its neighbours are identifiers."""
-    last = F.lower(F.regexp_extract(before, r"([^\x20\x09-\x0D]+)[\x20\x09-\x0D]*$", 1))
-    two = F.lower(F.regexp_extract(before, r"(?<![^\x20\x09-\x0D])([^\x20\x09-\x0D]+[\x20\x09-\x0D]+[^\x20\x09-\x0D]+)[\x20\x09-\x0D]*$", 1))
-    following = F.lower(F.regexp_extract(after, r"^[\x20\x09-\x0D]*([^\x20\x09-\x0D]+)", 1))
+    two, last, following = (F.col(f"{place}.{c}") for c in ("two", "last", "following"))
     both = F.when((last != "") & (following != ""), F.concat(F.lit("b "), last, F.lit(" "), following))
     lead = F.when(two != "", F.concat(F.lit("l "), F.regexp_replace(two, r"[\x20\x09-\x0D]+", " ")))
     return F.array_compact(F.array(lead, both))
 
 
 def _places(spans: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(seed places: kind, instance, pattern), (other places: doc_id, start, end, instance, pattern)."""
+    """(seed places: kind, instance, pattern), (other places: row, start, end, instance, pattern)."""
     seeds = None
     for kind in KINDS:
         one = spans.select(F.explode(kind).alias("s")).select(
             F.lit(kind).alias("kind"),
             F.lower("s.match").alias("instance"),
-            F.explode(_patterns(F.col("s.before"), F.col("s.after"))).alias("pattern"),
+            F.explode(_patterns("s")).alias("pattern"),
         )
         seeds = one if seeds is None else seeds.unionByName(one)
     # a word without its closing and opening punctuation
-    word = spans.select("doc_id", F.explode("words").alias("w")).select(
-        "doc_id", "w.start", "w.match", "w.before", "w.after",
+    word = spans.select("row", F.explode("words").alias("w")).select(
+        "row", "w", "w.start", "w.match",
         F.regexp_extract("w.match", r"^[\"'(\[<{]*", 0).alias("opening"),
     )
     core = F.regexp_replace(F.substr("match", F.length("opening") + 1), r"[\"')\]>}.,;:!?]+$", "")
@@ -159,14 +164,14 @@ def _places(spans: DataFrame) -> tuple[DataFrame, DataFrame]:
     known = F.col("core").rlike(PATTERNS["email"]) | F.col("core").rlike(PATTERNS["ip"]) | F.col("core").startswith("+")
     known = known | (digits.between(13, 19) & F.col("core").rlike(r"^[0-9-]+$"))
     others = word.filter(~known & ((digits >= MIN_DIGITS) | F.col("core").contains("@"))).select(
-        "doc_id", F.col("from").alias("start"), (F.col("from") + F.length("core")).alias("end"),
-        F.lower("core").alias("instance"), F.explode(_patterns(F.col("before"), F.col("after"))).alias("pattern"),
+        "row", F.col("from").alias("start"), (F.col("from") + F.length("core")).alias("end"),
+        F.lower("core").alias("instance"), F.explode(_patterns("w")).alias("pattern"),
     )
     return seeds, others
 
 
 def discovered(spans: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(doc_id, kind, start, end) of the words found by patterns of high confidence."""
+    """(row, kind, start, end) of the words found by patterns of high confidence."""
     seeds, others = _places(spans)
     known = seeds.groupBy("pattern", "kind", "instance").agg(F.count(F.lit(1)).alias("n"))
     support = known.groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("seeds"))
@@ -193,14 +198,15 @@ def discovered(spans: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         )
     sure = stored(rated.filter(F.col("confidence") >= MIN_CONFIDENCE), "pii-sure")
     best = F.max_by("kind", F.struct(F.col("confidence"), F.col("kind"))).alias("kind")
-    return others.join(sure, "pattern").groupBy("doc_id", "start", "end").agg(best)
+    return others.join(sure, "pattern").groupBy("row", "start", "end").agg(best)
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_discovered of every document."""
-    spans = stored(base_spans(docs), "pii-spans")
-    more = discovered(spans).groupBy(F.col("doc_id").alias("__doc")).agg(F.collect_list(F.struct("kind", "start", "end")).alias("__more"))
-    listed = spans.join(more, F.col("doc_id") == F.col("__doc"), "left")
+    # a row is known by its place in the written spans, so rows that repeat a doc_id stay apart
+    spans = stored(base_spans(docs).withColumn("row", F.monotonically_increasing_id()), "pii-spans")
+    more = discovered(spans).groupBy(F.col("row").alias("__row")).agg(F.collect_list(F.struct("kind", "start", "end")).alias("__more"))
+    listed = spans.join(more, F.col("row") == F.col("__row"), "left")
     none = F.expr("cast(array() as array<struct<kind:string,start:bigint,end:bigint>>)")
     listed = listed.withColumn("__more", F.coalesce("__more", none))
     base = F.concat(*[F.col(kind) for kind in KINDS])

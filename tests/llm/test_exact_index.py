@@ -57,3 +57,26 @@ def test_keep_first_and_empty(spark):
     assert sorted((r["doc_id"], r["text"], r["keep_id"]) for r in exact_index.keep_first(df, buckets=4).collect()) == [(1, "a  b", "y"), (3, None, "z")]
     empty = spark.createDataFrame([], SCHEMA)
     assert exact_index.exact_dedup(empty, buckets=4).count() == 0 and exact_index.keep_first(empty, buckets=4).count() == 0
+
+
+def test_indexes_whose_paths_end_alike(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "doc_id long, text string")
+    for where, rows in (("one", 3), ("two", 1)):
+        got = exact_index.exact_dedup(docs.limit(rows) if rows == 3 else docs.filter("doc_id = 3"), str(tmp_path / where / "index") + "/")
+        assert got.count() == rows
+    one = exact_index.DigestIndex(spark, str(tmp_path / "one" / "index")).attach()
+    assert one.read().count() == 2
+    # reopened with another wish, an index keeps the buckets that it was made with
+    assert exact_index.DigestIndex(spark, str(tmp_path / "one" / "index"), 7).attach().buckets == exact_index.BUCKETS
+
+
+def test_buckets_follow_the_number_of_digests():
+    n = [exact_index.buckets_for(rows) for rows in (0, 10**6, 10**9, 10**11)]
+    assert n[:2] == [32, 32] and n == sorted(n)
+    assert all(rows / b <= exact_index.DIGESTS_PER_BUCKET for rows, b in zip((10**9, 10**11), n[2:]))
+
+
+def test_columns_that_clash_stay_as_they_are(spark):
+    docs = spark.createDataFrame([(1, "a", 7, "x"), (2, "a", 8, "y"), (3, "b", 9, "z")], "doc_id long, text string, __id int, __digest string")
+    got = exact_index.keep_first(docs)
+    assert got.columns == docs.columns and sorted(map(tuple, got.collect())) == [(1, "a", 7, "x"), (3, "b", 9, "z")]

@@ -54,6 +54,17 @@ def test_long_attributes():
     assert len(texts('<p title=">" ' * 100_000 + "'>t")) == 1  # one scan
 
 
+def test_skipped_elements_without_or_within_their_like():
+    for tag in ("svg", "object", "select", "noscript", "math", "template", "iframe", "head"):
+        assert texts(f"<p>one</p><{tag}><p>two</p><p>three</p>") == ["one", "two", "three"]
+        assert texts(f"<p>one</p><{tag} a='x > y'><p>two</p></{tag}><p>three</p>") == ["one", "three"]
+    for tag in ("svg", "object", "select", "math", "template"):
+        assert texts(f"<{tag}>a<{tag}>b</{tag}>c</{tag}><p>d</p><{tag}><p>e") == ["d", "e"]
+    assert texts("<p>one</p><script>two<p>three</p>") == ["one"]  # a script without an end takes the rest
+    assert texts("<svg/><p>t</p>") == ["t"]
+    assert len(texts("<svg><p>t</p>" * 20_000)) == 20_000  # one pass
+
+
 def test_gradients_agree_with_differences():
     rnd = np.random.default_rng(1)
     net = hb.BiLstm(n=6, hidden=3)

@@ -19,7 +19,7 @@ def words(lang, k, rnd):
 def corpus(spark, n=120):
     rnd = random.Random(1)
     rows = [(i, words(lang, rnd.randint(5, 80), rnd), lang, "s", 0.0) for i, lang in enumerate(rnd.choice(list(LETTERS)) for _ in range(n))]
-    rows += [(1000, None, "xa", None, 0.0), (1001, "", None, None, 0.0), (1002, "123 456 !?", "xb", None, 0.0), (1003, words("xa", 30000, rnd), None, None, 0.0),
+    rows += [(1000, None, "xa", None, 0.0), (1001, "", None, None, 0.0), (1002, "123 456 !?", "xb", None, 0.0), (1005, "\u00bd \u00b2 \u2460 \u2163", None, None, 0.0), (1003, words("xa", 30000, rnd), None, None, 0.0),
              (1004, words("xa", 200, rnd) + " " + words("xc", 100, rnd), None, "s", 0.0), (1004, words("xb", 3, rnd), None, "s", 0.0), (None, words("xb", 9, rnd), "xb", None, 0.0)]
     return rows, spark.createDataFrame(rows, SCHEMA)
 
@@ -31,7 +31,7 @@ def test_predictions_and_defined_cases(spark):
     by_id = {r["doc_id"]: r for r in got}
     assert all(by_id[i]["lang_pred"] == lang for i, _, lang, _, _ in rows[:120])
     assert all(0 <= r["score"] <= 1 for r in got)
-    for i in (1000, 1001, 1002):
+    for i in (1000, 1001, 1002, 1005):
         assert (by_id[i]["lang_pred"], by_id[i]["score"]) == ("und", 0.0)
     assert by_id[1003]["lang_pred"] == "xa" and by_id[None]["lang_pred"] == "xb" and not by_id[None]["held_out"]
 

@@ -78,5 +78,21 @@ def test_contexts_discover(spark):
     assert all(got[i]["spans"] == "" for i in range(23, 43))
 
 
+def test_long_neighbours_and_repeated_ids(spark):
+    rnd = random.Random(3)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(5))
+    far = "contact" + "x" * 90  # longer than any window of characters
+    texts = [f"{word()} {word()} {far} at me{i}@mail.example.com {word()}" for i in range(20)]
+    texts += [f"{word()} {'y' * 90}{far} at number{rnd.randint(10000, 99999)} {word()}" for i in range(6)]  # another word that ends alike
+    texts += [f"{word()} {far} at user12345(at)mail {word()}"]
+    rows = [(i, t, 0) for i, t in enumerate(texts)] + [(26, "hi", 0), (None, texts[26], 0), (26, None, 0)]
+    got = pii_bootstrap.personal_data(spark.createDataFrame(rows, SCHEMA)).collect()
+    start = texts[26].index("user")
+    want = f"email:{start}:{start + len('user12345(at)mail')}"
+    assert sorted(r["spans"] for r in got if r["doc_id"] == 26) == ["", "", want]
+    assert [r["spans"] for r in got if r["doc_id"] is None] == [want]
+    assert all(r["spans"] == "" for r in got if r["doc_id"] in range(20, 26))
+
+
 def test_empty_table(spark):
     assert pii_bootstrap.personal_data(spark.createDataFrame([], SCHEMA)).count() == 0
