@@ -12,6 +12,8 @@ latency and error; a failed row never stops the batch.
 Model calls are expensive and not deterministic: write or checkpoint the
 output of ``run_model`` before using it more than once (Spark may recompute a
 lost partition, so a call can happen twice; no exactly-once claim is made).
+``run_once`` does that and can be continued: a job that died is run again and
+calls the model only for what has no committed output.
 """
 
 from __future__ import annotations
@@ -20,12 +22,15 @@ import hashlib
 import sys
 import time
 import types
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from ..sources.commits import BatchStore
 from ..schema import INITIAL_BACKOFF_SEC, MAX_BACKOFF_SEC, MAX_RETRIES
 
 # Fixed value: the message of a blank generation.
@@ -150,8 +155,44 @@ def run_model(df: DataFrame, factory: ModelFactory, key: str, prompt: str,
     return df.select(key, prompt, *carry).mapInPandas(fn, schema)
 
 
+def run_once(df: DataFrame, keys: list[str], inputs: list[str], path: str, call: Callable[[DataFrame], DataFrame], chunks: int = 1) -> DataFrame:
+    """``call(df)`` with its outputs kept under ``path``, so that the same job run again goes on where it ended.
+
+    ``call`` makes the outputs of some rows of ``df``; they must hold ``keys``, which
+    tell the rows apart.  The rows are dealt by key to ``chunks`` jobs; each one's
+    outputs count once its commit is written.  A later run takes the rows that
+    have no committed output by an anti-join on the keys and a digest of the
+    ``inputs`` (``_asked``, which ``call`` carries; a changed prompt is asked anew),
+    so at most the calls of one chunk are repeated.  Returns the outputs of the rows of ``df``.
+    """
+    spark = df.sparkSession
+    store = BatchStore(spark, path)
+    asked = df.withColumn("_asked", F.md5(F.to_json(F.struct(*inputs))))
+    same = [*keys, "_asked"]
+
+    def missing(done: DataFrame | None) -> DataFrame:
+        if done is None:
+            return asked
+        known = done.select(*[F.col(c).alias(f"_done_{c}") for c in same])
+        on = [F.col(c).eqNullSafe(F.col(f"_done_{c}")) for c in same]
+        return asked.join(known, on, "left_anti")
+
+    left = missing(store.read())
+    chunk = F.pmod(F.xxhash64(*same), F.lit(chunks))
+    run = uuid.uuid4().hex
+    for i in range(chunks):
+        todo = left.filter(chunk == i) if chunks > 1 else left
+        made = call(todo)
+        if "_asked" not in made.columns:
+            raise ValueError("call must carry the column _asked")
+        store.write(made, f"{run}-{i}")
+    wanted = asked.select(*[F.col(c).alias(f"_want_{c}") for c in same])
+    on = [F.col(c).eqNullSafe(F.col(f"_want_{c}")) for c in same]
+    return store.read().join(wanted, on, "left_semi").drop("_asked")
+
+
 def run_stages(df: DataFrame, key: str, prompt: str, stages: list[tuple], sleep: Callable[[float], None] | None = None,
-               outputs: bool = False) -> DataFrame:
+               outputs: bool = False, carry: list[str] | None = None) -> DataFrame:
     """X4 for a multi-stage sample (generation -> extraction): each stage gets up to 5 tries,
     the backoff carries from one stage into the next and resets per sample.  The
     output of stage i is the input of stage i+1.
@@ -161,8 +202,9 @@ def run_stages(df: DataFrame, key: str, prompt: str, stages: list[tuple], sleep:
     model's prompt.
 
     -> ``key, status, <stage>_attempts..., waited_sec, output, error``; with
-    ``outputs`` also ``<stage>_output``.
+    ``outputs`` also ``<stage>_output``.  ``carry`` columns pass through unchanged.
     """
+    carry = carry or []
     names = [s[0] for s in stages]
     keys = [factory_key(s[1]) for s in stages]
     columns = [key, "status", *[f"{n}_attempts" for n in names], "waited_sec", "output", "error"]
@@ -187,7 +229,7 @@ def run_stages(df: DataFrame, key: str, prompt: str, stages: list[tuple], sleep:
                 row["waited_sec"], row["output"] = float(bo.waited), cur
                 bo.reset()
                 rows.append(row)
-            yield pd.DataFrame(rows, columns=columns)
+            yield pd.concat([pd.DataFrame(rows, columns=columns, index=b.index), b[carry]], axis=1)
 
     key_type = df.schema[key].dataType.simpleString()
     schema = (
@@ -195,8 +237,9 @@ def run_stages(df: DataFrame, key: str, prompt: str, stages: list[tuple], sleep:
         + "".join(f"{n}_attempts int, " for n in names)
         + "waited_sec double, output string, error string"
         + ("".join(f", {n}_output string" for n in names) if outputs else "")
+        + "".join(f", {c} {df.schema[c].dataType.simpleString()}" for c in carry)
     )
-    return df.select(key, prompt).mapInPandas(fn, schema)
+    return df.select(key, prompt, *carry).mapInPandas(fn, schema)
 
 
 def no_sleep(_: float) -> None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.jsontext import ustrip
@@ -24,8 +24,9 @@ def assemble_transcripts(turns: DataFrame, key: str = "conv_id", order: str = "t
     """``key, n_turns, transcript`` -- turns joined by newlines in ``order``.
 
     One row per conversation is the product; the aggregate is partial (map-side
-    collect, then merge).  A conversation must fit in a task: ``oversized_turns``
-    sets those beyond a bound of the caller's aside, with a reason.
+    collect, then merge).  A conversation must fit in a task: ``assemble_pieces``
+    has no such bound, and ``oversized_turns`` sets those beyond a bound of the
+    caller's aside, with a reason.
     """
     line = F.struct(F.col(order).alias("o"), turn_line(F.col(speaker), F.col(text)).alias("l"))
     agg = turns.groupBy(key).agg(F.array_sort(F.collect_list(line)).alias("_t"))
@@ -36,6 +37,36 @@ def assemble_transcripts(turns: DataFrame, key: str = "conv_id", order: str = "t
     )
 
 
+# Characters of a piece of a transcript that is written in several.
+PIECE_CHARS = 1 << 20
+
+
+def assemble_pieces(turns: DataFrame, key: str = "conv_id", order: str = "turn",
+                    speaker: str = "speaker", text: str = "text", piece_chars: int = PIECE_CHARS) -> DataFrame:
+    """T1 for conversations of any length: ``key, piece, n_turns, transcript`` in pieces of about ``piece_chars`` characters.
+
+    A turn belongs to the piece in which it begins (characters before it, with
+    their newlines, over ``piece_chars``), so the pieces of a conversation, joined
+    by newlines in their order, are its transcript; a turn longer than a piece
+    leaves numbers out.  One shuffle by conversation: a sorted, running sum over
+    its turns, then a group for each piece, so a task holds no more than a
+    piece, whatever share of all turns a conversation has.  Ties of ``order`` go
+    by the line's text.
+    """
+    lines = turns.select(key, F.col(order).alias("_o"), turn_line(F.col(speaker), F.col(text)).alias("_l"))
+    upto = Window.partitionBy(key).orderBy("_o", "_l").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = lines.withColumn("_end", F.sum(F.length("_l") + 1).over(upto))
+    start = F.col("_end") - F.length("_l") - 1
+    placed = placed.withColumn("piece", F.floor(start / F.lit(piece_chars)).cast("long")).withColumn("_at", start)
+    agg = placed.groupBy(key, "piece").agg(F.array_sort(F.collect_list(F.struct("_at", "_l"))).alias("_t"))
+    return agg.select(
+        key,
+        "piece",
+        F.size("_t").cast("long").alias("n_turns"),
+        F.array_join(F.transform("_t", lambda x: x.getField("_l")), "\n").alias("transcript"),
+    )
+
+
 def oversized_turns(turns: DataFrame, max_turns: int, key: str = "conv_id") -> tuple[DataFrame, DataFrame]:
     """(turns of conversations up to ``max_turns``, quarantine rows ``key, n_turns, reason`` of the others).
 

@@ -3,7 +3,8 @@
 Per-line rules are column expressions (``instr``/``substring``/``replace``);
 the corpus jobs are projections plus one ``groupBy`` for the summary.
 ``write_repaired`` and ``write_normalized`` write to a new versioned directory
-(Spark does not overwrite what it reads); the input stays as the backup.
+(Spark does not overwrite what it reads); ``publish_lines`` makes such a directory
+the current version of a corpus, with a way back.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from ..functions.jsontext import parse_strict, find0, is_object, json_escape, js
 from ..functions.stage import stage
 from ..schema import GROUPS
 from ..session import scratch_path
+from ..sources.commits import Versions
 
 # Literal markers of the hand-written eval lines (compact and spaced variants).
 USER_MARKERS = [
@@ -186,6 +188,21 @@ def write_normalized(normalized: DataFrame, path: str | None = None, layout: lis
     return path
 
 
+def publish_lines(lines: DataFrame, text: str, versions: Versions, layout: list[str] | None = None, **note) -> str:
+    """Make ``lines`` the current version of a corpus, once they are written, read back and counted.
+
+    The version before stays where it is and can be made current again
+    (``Versions.rollback``); a job that dies on the way leaves it current.
+    """
+    layout, spark = layout or [], lines.sparkSession
+    return versions.publish(
+        lambda path: _write_lines(lines, text, layout, f"{path}/lines"),
+        lambda path: spark.read.text(f"{path}/lines").count(),
+        lines.count(),
+        **note,
+    )
+
+
 # ---------------------------------------------------------------------------
 # V7 transcript and gold from a record
 # ---------------------------------------------------------------------------

@@ -79,16 +79,22 @@ def _stripped_prompt(transcript: str) -> str:
     return f"<|im_start|>system\n{SYSTEM_PROMPT}<|im_end|>\n<|im_start|>user\nTranscript:\n{transcript.strip()}<|im_end|>\n<|im_start|>assistant\n"
 
 
-def run_pipeline(samples: DataFrame, key: str, prompt: str, generator, labeller, out_dir: str, sleep=None) -> SyntheticRun:
+def run_pipeline(
+    samples: DataFrame, key: str, prompt: str, generator, labeller, out_dir: str, sleep=None, batch: str = "rows", chunks: int = 1
+) -> SyntheticRun:
     """Generate, label, validate and append (S4); failed samples keep their reason.
 
     One pass per sample over both models, with one retry delay carried from
     generation to labelling.  A label that is not valid after parsing (P3-P5)
-    fails the sample.  Model outputs are written once; rows are appended from there.
+    fails the sample.  The run may be repeated with the same ``out_dir``: model
+    outputs are kept in ``chunks`` steps and not made twice (``extract.run_once``),
+    and the rows of a ``batch`` id are appended once.
     """
     stages = [("generation", generator, ex.not_blank), ("extraction", labeller, None, _stripped_prompt)]
-    made = ex.run_stages(samples, key, prompt, stages, sleep=sleep, outputs=True)
-    made = materialize(made, f"{out_dir}/model_outputs")
+    made = ex.run_once(
+        samples, [key], [prompt], f"{out_dir}/model_outputs",
+        lambda todo: ex.run_stages(todo, key, prompt, stages, sleep=sleep, outputs=True, carry=["_asked"]), chunks,
+    )
     replies = made.withColumnsRenamed({"status": "stage_status", "error": "stage_error"})
     parsed = explode_payload(stage(parse_replies(replies, "output", "stage_error")))
     checked = stage(with_metrics(validate(parsed)))
@@ -105,6 +111,6 @@ def run_pipeline(samples: DataFrame, key: str, prompt: str, generator, labeller,
     joined = materialize(joined, f"{out_dir}/labelled")
     rows_path = f"{out_dir}/rows"
     ok = joined.filter(F.col("status") == "ok")
-    append_jsonl(ok.select(training_messages(ustrip(F.col("generation_output")), F.col("label")).alias("messages")), rows_path)
+    append_jsonl(ok.select(training_messages(ustrip(F.col("generation_output")), F.col("label")).alias("messages")), rows_path, batch)
     attempts = ["generation_attempts", "extraction_attempts"]
     return SyntheticRun(joined.select(key, "status", "error", *attempts), rows_path)

@@ -18,6 +18,7 @@ from ..operators import synth as sy
 from ..schema import CHANNELS, CUSTOMER_INTENTS, GENERATION_PROMPT_TEMPLATE, PERSONAS, SCENARIOS, SYSTEM_PROMPT
 from ..session import scratch_path
 from ..sources import chatml
+from ..sources.commits import BatchStore
 from ..sources import fixture_models as fm
 from ..sources import fixtures as fx
 from ..streaming import requests as rq
@@ -197,7 +198,7 @@ def q_synth_pipeline_status(spark, sf):
         sleep=ex.no_sleep,
     )
     outcomes = made.outcomes.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
-    rows = chatml.read_training_jsonl(spark, made.rows_path)
+    rows = chatml.read_appended(spark, made.rows_path)
     appended = rows.agg(
         F.lit("appended").alias("status"),
         F.count_if((F.size("messages") == 3) & json_valid(F.col("messages")[2].getField("content"))).alias("n"),
@@ -221,8 +222,55 @@ def q_roundtrip_append(spark, sf):
     )
 
 
+def q_appended_batches(spark, sf):
+    """Two batches appended, the first one again, and rows left without a commit; what is read back."""
+    t = gold_for_conversations(transcripts(spark, sf))
+    path = scratch_path(spark, "batches")
+    rows = t.select("conv_id", msg.training_messages(F.col("transcript"), F.col("gold_json")).alias("messages"))
+    halves = [rows.filter(F.col("conv_id") % 2 == i).select("messages") for i in (0, 1)]
+    written = [chatml.append_jsonl(halves[i], path, f"half{i}") for i in (0, 1, 0)]
+    halves[1].write.json(f"{path}/data/left-over")  # as of a job that died before its commit
+    back = chatml.read_appended(spark, path)
+    k = F.get_json_object(back.messages[2].getField("content"), "$.operational_analytics.exception_diagnostic_reasoning")
+    return back.groupBy(F.regexp_extract(k, r"(\d+)$", 1).cast("long").alias("conv_id")).agg(
+        F.count(F.lit(1)).alias("n_copies"), F.lit(sum(written)).cast("long").alias("n_written")
+    )
+
+
+def q_resumed_extract(spark, sf):
+    """A job that dies after two of four steps, run again: the replies, and how many outputs each conversation has."""
+    path = scratch_path(spark, "resumed")
+    asked = extraction_prompts(spark, sf).select("conv_id", "prompt")
+    steps = []
+
+    def call(todo):
+        steps.append(todo)
+        if len(steps) == 3:
+            raise KeyboardInterrupt
+        return ex.run_model(todo, fm.extractor_factory, "conv_id", "prompt", carry=["_asked"])
+
+    try:
+        ex.run_once(asked, ["conv_id"], ["prompt"], path, call, chunks=4)
+    except KeyboardInterrupt:
+        pass
+    done = ex.run_once(asked, ["conv_id"], ["prompt"], path, call, chunks=4)
+    outputs = BatchStore(spark, path).read().groupBy("conv_id").agg(F.count(F.lit(1)).alias("n_outputs"))
+    p = ev.prepare_predictions(done).join(outputs, "conv_id")
+    return p.select("conv_id", "status", F.col("metrics.behavioral_analytics.customer_intent").alias("customer_intent"), "n_outputs")
+
+
+PIECE = 1000  # characters: most conversations of the table have several pieces
+
+
+def q_assemble_pieces(spark, sf):
+    return msg.assemble_pieces(fx.turns(spark, sf), piece_chars=PIECE)
+
+
 QUERIES = {
     "assemble_transcripts": q_assemble_transcripts,
+    "assemble_pieces": q_assemble_pieces,
+    "appended_batches": q_appended_batches,
+    "resumed_extract": q_resumed_extract,
     "split_turns": q_split_turns,
     "turn_count_audit": q_turn_count_audit,
     "build_training_rows": q_build_training_rows,
@@ -300,6 +348,13 @@ _P = f"length({_INFER})"
 
 ORACLES = {
     "assemble_transcripts": _with_tr("SELECT conv_id, n_turns, transcript FROM tr"),
+    "assemble_pieces": f"""SELECT conv_id, piece, count(*) AS n_turns, string_agg(line, {NL} ORDER BY turn, line) AS transcript
+        FROM (SELECT *, ((sum(length(line) + 1) OVER (PARTITION BY conv_id ORDER BY turn, line ROWS UNBOUNDED PRECEDING)
+                          - length(line) - 1) // {PIECE})::BIGINT AS piece
+              FROM (SELECT conv_id, turn, CASE WHEN role = 'user' THEN 'Customer' ELSE 'Agent' END || ': ' || text AS line
+                    FROM conversations WHERE role <> 'system') l) p
+        GROUP BY conv_id, piece""",
+    "appended_batches": _with_tr("SELECT conv_id, CAST(1 AS BIGINT) AS n_copies, CAST(2 AS BIGINT) AS n_written FROM tr"),
     "split_turns": """SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS turn_no,
         CASE WHEN role = 'user' THEN 'Customer' ELSE 'Agent' END AS speaker, text
         FROM conversations WHERE role <> 'system'""",
@@ -323,6 +378,11 @@ ORACLES = {
         CASE WHEN {_K} % 13 <> 0 THEN {O.pick(CUSTOMER_INTENTS, f'{_K} % 10')} END AS customer_intent,
         CASE WHEN {_K} % 13 = 0 THEN 'boom ' || CAST({_K} AS VARCHAR) END AS error FROM tr"""
     ),
+    "resumed_extract": _with_tr(
+        f"""SELECT conv_id, CASE WHEN {_K} % 13 = 0 THEN 'error' ELSE 'valid' END AS status,
+        CASE WHEN {_K} % 13 <> 0 THEN {O.pick(CUSTOMER_INTENTS, f'{_K} % 10')} END AS customer_intent,
+        CAST(1 AS BIGINT) AS n_outputs FROM tr"""
+    ),
     "retry_outcomes": _with_tr(
         f"""SELECT conv_id,
           CASE WHEN g >= 5 THEN 'generation_failed' WHEN e >= 5 THEN 'extraction_failed' ELSE 'ok' END AS status,

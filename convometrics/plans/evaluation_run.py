@@ -53,13 +53,16 @@ def run_evaluation(
     num_partitions: int | None = None,
     batch_size: int = 1,
     title: str = "Evaluation Report",
+    chunks: int = 1,
 ) -> EvalRun:
     """Run a model over an evaluation set and write everything under ``out_dir``.
 
     ``mode="failfast"`` raises, before any model call, on the first bad line and
     on gold that is not JSON; ``"quarantine"`` sets bad lines aside and counts
     bad gold as an error row.  ``num_partitions`` deals the prompts anew for the
-    model calls.
+    model calls.  A run that died is continued by the same call with the same
+    ``out_dir``: rows whose model output was committed are not asked again;
+    ``chunks`` is the number of steps in which outputs are committed.
     """
     configure(spark)
     out_dir = (out_dir or scratch_path(spark, "eval-run")).rstrip("/")
@@ -84,8 +87,11 @@ def run_evaluation(
         prompts = prompts.repartition(num_partitions)
     # model outputs are written once: retries, recomputation and fan-out never call the model again
     keep = ["file_path", *layout, "line_num"]
-    called = ex.run_model(prompts, factory, "line_num", "prompt", carry=["file_path", *layout, "gold_json"], batch_size=batch_size)
-    called = materialize(called, f"{out_dir}/model_outputs")
+    carry = ["file_path", *layout, "gold_json", "_asked"]
+    called = ex.run_once(
+        prompts, ["file_path", "line_num"], ["prompt", "gold_json"], f"{out_dir}/model_outputs",
+        lambda todo: ex.run_model(todo, factory, "line_num", "prompt", carry=carry, batch_size=batch_size), chunks,
+    )
     scored = materialize(ev.evaluate_rows(called, keep), f"{out_dir}/scored")
 
     write_eval_outputs(scored, f"{out_dir}/outputs", keep)

@@ -100,23 +100,33 @@ def _request_source(spark, sf) -> str:
     return path
 
 
-def _stream(spark, sf, factory) -> DataFrame:
+def _stream(spark, sf, factory) -> rq.Sinks:
     src = _request_source(spark, sf)
     sink, ckpt = scratch_path(spark, "responses"), scratch_path(spark, "stream-ckpt")
     rq.run_stream(spark, src, sink, ckpt, factory)
-    return spark.read.parquet(sink)
+    return rq.Sinks(spark, sink)
 
 
 def q_stream_requests(spark, sf):
-    out = _stream(spark, sf, None)
+    """K1: accepted requests, and the dead letters beside them."""
+    sinks = _stream(spark, sf, None)
+    out = sinks.answers.read().unionByName(sinks.dead_letters.read().drop("body"), allowMissingColumns=True)
     return out.select("request_id", F.col("http_status").cast("int").alias("http_status"), "error", "system_prompt", "transcript")
 
 
 def q_stream_extract(spark, sf):
-    out = _stream(spark, sf, fm.extractor_factory)
+    """K2: answers, and the dead letters beside them."""
+    sinks = _stream(spark, sf, fm.extractor_factory)
+    out = sinks.answers.read().unionByName(sinks.dead_letters.read().drop("body"), allowMissingColumns=True)
     return out.select("request_id", F.col("http_status").cast("int").alias("http_status"), "customer_intent", "error")
 
 
+def q_dead_letters(spark, sf):
+    """K1: what the dead-letter sink alone holds, with its reason and the length of the body."""
+    sinks = _stream(spark, sf, None)
+    return sinks.dead_letters.read().select("request_id", "http_status", "error", F.length("body").cast("long").alias("body_chars"))
+
+
 # ---------------------------------------------------------------------------
 # S5-S6 evaluation sinks
 # ---------------------------------------------------------------------------
@@ -216,6 +226,7 @@ QUERIES = {
     "missing_splits": q_missing_splits,
     "stream_requests": q_stream_requests,
     "stream_extract": q_stream_extract,
+    "dead_letters": q_dead_letters,
     "eval_outputs": q_eval_outputs,
     "eval_results": q_eval_results,
 }
@@ -288,6 +299,9 @@ ORACLES = {
         CASE WHEN event_type = 'click' THEN ' P' || CAST(event_id AS VARCHAR) || ' ' END AS system_prompt,
         CASE WHEN event_type IN ('view', 'click', 'purchase') THEN 'Agent: hi ' || CAST(event_id AS VARCHAR) END AS transcript
         FROM events""",
+    "dead_letters": """SELECT event_id AS request_id, CAST(400 AS INTEGER) AS http_status, 'Missing or empty ''transcript''' AS error,
+        CAST(CASE WHEN event_type = 'signup' THEN 19 ELSE 14 END AS BIGINT) AS body_chars
+        FROM events WHERE event_type NOT IN ('view', 'click', 'purchase')""",
     "stream_extract": f"""SELECT event_id AS request_id,
         CASE WHEN event_type NOT IN ('view', 'click', 'purchase') THEN 400 WHEN {_KREQ} % 13 = 0 THEN 500 ELSE 200 END AS http_status,
         CASE WHEN event_type IN ('view', 'click', 'purchase') AND {_KREQ} % 13 <> 0 THEN {O.pick(CUSTOMER_INTENTS, f'{_KREQ} % 10')} END AS customer_intent,

@@ -25,6 +25,7 @@ from ..functions.jsontext import parse_strict, is_object, ustrip, vget, vstring,
 from ..functions.stage import materialize, stage
 from ..schema import CHATML_SCHEMA
 from ..session import scratch_path
+from .commits import BatchStore
 
 # Splits whose offsets are broadcast: two longs and a partition number each, some 100 MB at most.
 MAX_SPLITS = 1 << 21
@@ -169,9 +170,22 @@ def read_training_jsonl(spark: SparkSession, path: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def append_jsonl(df: DataFrame, path: str) -> None:
-    """Append records as JSON lines (UTF-8, non-ASCII unescaped); creates the directory."""
-    df.write.mode("append").json(path)
+def append_jsonl(df: DataFrame, path: str, batch: str | None = None) -> bool:
+    """Append records as JSON lines (UTF-8, non-ASCII unescaped); creates the directory.
+
+    With ``batch`` the append may be repeated: a batch id counts once, whatever
+    runs again or dies half-way, and ``read_appended`` reads the batches that
+    count.  Returns whether rows were added.
+    """
+    if batch is None:
+        df.write.mode("append").json(path)
+        return True
+    return BatchStore(df.sparkSession, path, "json").write(df, batch)
+
+
+def read_appended(spark: SparkSession, path: str, schema=CHATML_SCHEMA) -> DataFrame:
+    """The rows of all batches that ``append_jsonl`` committed to ``path``."""
+    return BatchStore(spark, path, "json").read(schema)
 
 
 def write_jsonl_keep_nulls(df: DataFrame, path: str) -> None:

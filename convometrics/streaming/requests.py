@@ -5,7 +5,7 @@ records ``(request_id, body)`` -- ``body`` is the raw request text, possibly
 broken JSON -- on a file (or any) streaming source.  ``classify_requests`` is
 stateless column code shared by batch and streaming; accepted requests go
 through the same ``mapInPandas`` model call as the batch job; rejected ones
-go to a dead-letter output with status 400.
+go to a dead-letter output of their own, with status 400, the reason and the body.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from ..operators import evaluate as ev
 from ..operators import extract as ex
 from ..operators import messages as msg
 from ..operators.payload import serialize
+from ..sources.commits import BatchStore
 
 BLANK = "Missing or empty 'transcript'"
 REQUEST_SCHEMA = "request_id bigint, body string"
@@ -96,16 +97,31 @@ def extraction_prompt(df: DataFrame) -> DataFrame:
     return df.withColumn("prompt", msg.chat_template(m, add_generation_prompt=True))
 
 
-def respond(df: DataFrame, factory: ex.ModelFactory, key: str = "request_id", batch_size: int = 1) -> DataFrame:
-    """K2: accepted requests -> model -> ``status`` 200 with ``response`` JSON, or 500 with ``error``."""
+RESPONSE_SCHEMA = "request_id bigint, http_status int, response string, error string, customer_intent string"
+
+
+def respond(
+    df: DataFrame, factory: ex.ModelFactory, key: str = "request_id", batch_size: int = 1, path: str | None = None, chunks: int = 1
+) -> DataFrame:
+    """K2: accepted requests -> model -> ``status`` 200 with ``response`` JSON, or 500 with ``error``.
+
+    With ``path`` the model's replies are kept there and those that are there
+    are not asked for again (``extract.run_once``).
+    """
     acc = df.filter(F.col("accepted"))
-    asked = extraction_prompt(acc.filter(F.col("prompt_error").isNull()))
-    called = ex.run_model(asked, factory, key, "prompt", batch_size=batch_size).select(key, "reply", "model_error")
+    asked = extraction_prompt(acc.filter(F.col("prompt_error").isNull())).select(key, "prompt")
+    if path is None:
+        called = ex.run_model(asked, factory, key, "prompt", batch_size=batch_size)
+    else:
+        called = ex.run_once(
+            asked, [key], ["prompt"], path,
+            lambda todo: ex.run_model(todo, factory, key, "prompt", carry=["_asked"], batch_size=batch_size), chunks,
+        )
     # a prompt that cannot be made never reaches the model
     refused = acc.filter(F.col("prompt_error").isNotNull()).select(
         key, F.lit(None).cast("string").alias("reply"), F.col("prompt_error").alias("model_error")
     )
-    called = called.unionByName(refused)
+    called = called.select(key, "reply", "model_error").unionByName(refused)
     p = ev.prepare_predictions(called)
     body = F.when(F.col("status") == "valid", serialize(F.col("metrics"))).otherwise(F.to_json(F.col("payload")))
     return p.select(
@@ -117,42 +133,56 @@ def respond(df: DataFrame, factory: ex.ModelFactory, key: str = "request_id", ba
     )
 
 
+class Sinks:
+    """Where a stream's output lies under ``path``: accepted requests or answers, and dead letters, each in committed batches."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.path = path.rstrip("/")
+        self.answers = BatchStore(spark, f"{self.path}/answers")
+        self.dead_letters = BatchStore(spark, f"{self.path}/dead_letters")
+
+    def replies(self, batch_id: int) -> str:
+        return f"{self.path}/replies/batch={batch_id}"
+
+
 def run_stream(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_dir: str,
                factory: ex.ModelFactory | None = None, fmt: str = "json", batch_size: int = 1,
-               max_files_per_trigger: int | None = None, trigger: dict | None = None) -> StreamingQuery:
+               max_files_per_trigger: int | None = None, trigger: dict | None = None,
+               chunks: int = 1) -> StreamingQuery:
     """Process ``source_dir`` into ``sink_dir``.
 
     ``trigger`` goes to the stream as it is; by default everything that is there
     now is processed (``availableNow``) and awaited.  ``max_files_per_trigger``
     cuts a backlog into micro-batches of so many files.
 
-    Without a factory only K1 runs (accepted/rejected routing); with one, each
-    micro-batch also calls the model (K2).  Parquet sink + checkpoint give
-    one output directory per micro-batch, rewritten
-    if a batch is replayed after a failure.
+    Without a factory only K1 runs (accepted and rejected requests); with one, each
+    micro-batch also calls the model (K2).  Rejected requests (400) go to the
+    dead letters alone, the others to the answers (``Sinks``).  Both are committed
+    by micro-batch, and the replies of the model before them in ``chunks`` steps:
+    a replayed micro-batch finds its replies, asks for the missing ones, and adds
+    no row twice.
     """
     reader = spark.readStream.schema(REQUEST_SCHEMA).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.load(source_dir)
     classified = classify_requests(stream)
+    sinks = Sinks(spark, sink_dir)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()  # both branches read it: the source is read and parsed once
-        rejected = batch.filter(~F.col("accepted")).select(
-            "request_id", F.col("status").alias("http_status"), F.lit(None).cast("string").alias("response"),
-            "error", F.lit(None).cast("string").alias("customer_intent"),
-        )
-        if factory is None:
-            out = batch.select(
-                "request_id", F.coalesce("status", F.lit(200)).alias("http_status"), "error",
-                "system_prompt", "transcript",
-            )
-        else:
-            out = respond(batch, factory, batch_size=batch_size).unionByName(rejected)
-        # one directory per micro-batch, overwritten on replay: idempotent output
-        out.write.mode("overwrite").parquet(f"{sink_dir}/batch={batch_id}")
-        batch.unpersist()
+        batch = batch.persist()  # several branches read it: the source is read and parsed once
+        try:
+            rejected = batch.filter(~F.col("accepted"))
+            sinks.dead_letters.write(rejected.select("request_id", F.col("status").alias("http_status"), "error", "body"), str(batch_id))
+            if factory is None:
+                out = batch.filter(F.col("accepted")).select(
+                    "request_id", F.lit(200).alias("http_status"), F.lit(None).cast("string").alias("error"), "system_prompt", "transcript"
+                )
+            else:
+                out = respond(batch, factory, batch_size=batch_size, path=sinks.replies(batch_id), chunks=chunks)
+            sinks.answers.write(out, str(batch_id))
+        finally:
+            batch.unpersist()
 
     q = (
         classified.writeStream.foreachBatch(sink)
