@@ -120,8 +120,8 @@ _FOLDED_CODES[65:91] = _BYTE_CODES[97:123]  # A-Z as a-z
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 
 
-def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, fold: bool = False) -> np.ndarray:
-    """64-bit hash of each byte span (spans ascending, disjoint); ``fold`` reads A-Z as a-z."""
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, fold: bool = False, salt: int = 0) -> np.ndarray:
+    """64-bit hash of each byte span (spans ascending, disjoint); ``fold`` reads A-Z as a-z, ``salt`` gives another hash."""
     if not len(start):
         return np.zeros(0, np.uint64)
     size = end - start
@@ -132,7 +132,8 @@ def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, fold: bool
         before = np.concatenate(([0], np.cumsum(n)[:-1]))
         place = np.arange(int(n.sum())) - np.repeat(before, n)
         power = np.cumprod(np.concatenate(([np.uint64(1)], np.full(int(n.max()), _BASE, np.uint64))), dtype=np.uint64)
-        codes = (_FOLDED_CODES if fold else _BYTE_CODES)[data[place + np.repeat(s, n)]]
+        table = _FOLDED_CODES if fold else _BYTE_CODES
+        codes = (mix64(table + np.uint64(salt)) if salt else table)[data[place + np.repeat(s, n)]]
         out[full] = np.add.reduceat(codes * power[place], before)
     return mix64(out + size.astype(np.uint64))
 

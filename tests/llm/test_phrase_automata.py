@@ -55,6 +55,39 @@ def test_against_brute_force(spark):
     check(spark, corpus(2, vocabulary=4), 12, 3)
 
 
+def test_rows_that_share_a_doc_id(spark):
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, long), (2, "a b c"), (2, long + " tail"), (2, None), (2, long + " tail"), (None, long)]
+    df = spark.createDataFrame([(i, t, "x") for i, t in rows], SCHEMA)
+    got = sorted(tuple(r)[:3] for r in pa_.repeated_passages(df, 20, 5, 2000).collect() if r["doc_id"] is not None)
+    assert got == [(1, 60, 0), (2, 0, 0), (2, 3, 0), (2, 61, 60), (2, 61, 60)]
+    texts = sorted(str(r["text"]) for r in pa_.without_repeats(df, 20).collect() if r["doc_id"] == 2)
+    assert texts == ["None", "a b c", "tail", "tail"]
+
+
+def test_the_automaton_decides(spark):
+    """A phrase that is left out of the automaton is not located, and its windows are no candidates."""
+    import pandas as pd
+
+    words = [f"w{i}" for i in range(40)]
+    text = " ".join(words).encode()
+    docs = pd.DataFrame({"doc_id": [4, 5], "text": [text, b"nothing here " * 20]})
+    sha = [hashlib.sha256(b" ".join(t.split())).hexdigest() for t in docs["text"]]
+    phrases = [" ".join(words[i : i + 5]).encode() for i in (3, 30)]
+    known = lambda held: pd.DataFrame({"doc_id": [4.0, 5.0, *[None] * len(held)], "sha": [*sha, *[None] * len(held)], "words": [None, None, *held]})
+    starts = lambda held: [s for row in pa_._locate(docs, known(held), 10, 5)["starts"] for s in row]
+    assert starts(phrases) == [0, 1, 2, 3, 25, 26, 27, 28, 29, 30]
+    assert starts(phrases[:1]) == [0, 1, 2, 3] and starts(phrases[1:]) == [25, 26, 27, 28, 29, 30] and starts([]) == []
+    # whole words only
+    assert len(pa_.occurrences(pa_.automaton_of([b"b c"]), b"ab cd b c x", np.array([0, 3, 6, 8, 10]))) == 1
+
+
+def test_very_long_texts(spark):
+    rnd = random.Random(9)
+    long = [f"w{rnd.randrange(50000)}" for _ in range(120_000)]
+    check(spark, [(1, " ".join(long)), (2, " ".join(long[50_000:50_100])), (3, " ".join(["x"] * 30 + long[119_900:]))], 50, 8)
+
+
 def test_contract_parameters_on_copies(spark):
     rnd = random.Random(6)
     base = [f"w{rnd.randrange(3000)}" for _ in range(700)]

@@ -75,6 +75,6 @@ def test_run_and_registration(spark):
 
     names = set(entry.queries())
     assert {"pipeline", *(n for n in names if n.startswith("op"))} <= names
-    assert sorted(int(n[2:].split("_")[0]) for n in names if re.match(r"op\d+_", n)) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if re.match(r"op\d+_", n)) == list(range(1, 14))
     made = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert made.count() > 0 and "bin_id" in made.columns
