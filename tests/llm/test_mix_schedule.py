@@ -62,6 +62,48 @@ def test_blocks_of_many_words(spark):
         assert abs(sum(r["taken"] for r in got if r["source"] == s) - target) <= 1
 
 
+def test_the_schedule_is_the_mix(spark):
+    sizes = {f"s{i}": 2500 + 700 * i for i in range(6)} | {None: 900}
+    docs = make(spark, sizes)
+    slots = sorted(ms.schedule(docs, block_words=32).collect())
+    taken = {r["doc_id"]: r["taken"] for r in ms.mix(docs, block_words=32).collect()}
+    length = {r["doc_id"]: len((r["text"] or "").split()) for r in docs.collect()}
+    words, per_slot, order = {}, {}, []
+    for r in slots:
+        words[r["doc_id"]] = words.get(r["doc_id"], 0) + r["words"]
+        per_slot.setdefault(r["slot"], []).append(r)
+        assert r["words"] > 0 and 0 <= r["first_word"] and r["first_word"] + r["words"] <= length[r["doc_id"]]
+    assert words == {k: v for k, v in taken.items() if v}
+    for slot in sorted(per_slot):  # one block of one source in a slot
+        assert len({(r["source"], r["block"]) for r in per_slot[slot]}) == 1
+        order.append(per_slot[slot][0]["source"])
+    # whatever stretch of the mix is read, it holds the sources in their shares
+    target = brute_targets(sizes)
+    total = sum(target.values())
+    for length_ in (50, 200, 1000):
+        for at in range(0, len(order) - length_ - 60, 37):
+            run = order[at : at + length_]
+            for s, t in target.items():
+                assert abs(run.count(s) - length_ * t / total) <= 4
+
+
+def test_columns_that_clash_stay_as_they_are(spark):
+    docs = spark.createDataFrame([(i, "w " * 30, "s", 60, 1, "x") for i in range(5)], SCHEMA + ", __copy int, `taken` string")
+    mixed = ms.mixed_documents(docs, ms.mix(docs))
+    assert mixed.columns == docs.columns and {(r["__copy"], r["taken"]) for r in mixed.collect()} == {(1, "x")}
+
+
+def test_offsets_in_three_levels(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(ms, "CHUNKS_PER_GROUP", 3)
+    rows = spark.range(500).select((F.col("id") % 3).alias("key"), F.floor(F.col("id") / 7).alias("chunk"), "id", (F.col("id") % 11).alias("n"))
+    total = {}
+    for r in sorted(ms._offsets(rows, "chunk", ["id"], "n", "before").collect(), key=lambda r: r["id"]):
+        assert r["before"] == total.get(r["key"], 0)
+        total[r["key"]] = r["before"] + r["n"]
+
+
 def test_documents_follow_the_decisions(spark):
     docs = make(spark, {"a": 300, "b": 900, "c": 40})
     decisions = ms.mix(docs)
