@@ -1,7 +1,11 @@
 """Best-fit packing of documents into training sequences, under conflicts.
 
 A bin holds at most ``capacity`` words, at most one piece of each duplicate
-cluster and, with ``one_per_source``, at most one piece of each source.  Open
+cluster and a limited number of pieces of each source: one (``one_per_source``), or
+``SOURCE_SLACK`` times as many as a bin would hold if sources were spread evenly,
+one at least (``source_limit="share"``), so that a corpus of few sources still fills
+its bins.  A source then has as many bits in the bitmaps as a bin may hold
+pieces of it, and its pieces take them in turn.  Open
 bins lie ordered by what is left of them, and by the bitmaps of their sources
 and clusters; for each piece, longest first, the search goes from the tightest
 residual that can hold it to the next one up until a bin is compatible.
@@ -11,9 +15,12 @@ rest is packed.  Documents are dealt to shards of about ``DOCS_PER_SHARD`` by a
 hash of the row, so a hot source or cluster is spread evenly; each shard packs
 its own bins, and the last few bins of a shard are the cost.
 
+``fill`` reports how full the bins are.
+
 Defined cases: a null or empty text has no words and gets no piece (its one row
 has a null bin, piece 0 and 0 words); null sources are one source; null cluster
-ids conflict with nothing; rows that repeat a doc_id are documents of their own;
+ids conflict with nothing; very long texts are cut at the capacity; ties of size go in
+the order of the rows as they were written; rows that repeat a doc_id are documents of their own;
 an empty table gives no rows; other columns are ignored.
 """
 
@@ -27,6 +34,7 @@ from convometrics.llm.common import normalised, stored, word_count
 
 CAPACITY = 2048
 DOCS_PER_SHARD = 2000
+SOURCE_SLACK = 2
 PACKED = "doc_id long, piece long, n_words long, bin_id string, bin_start long, first_word long"
 
 
@@ -69,17 +77,29 @@ class Bins:
         return start
 
 
-def pack_shard(rows: pd.DataFrame, capacity: int, one_per_source: bool) -> pd.DataFrame:
+def source_limits(sources: list, sizes: list[int], capacity: int) -> dict:
+    """Pieces of each source that a bin may hold: its share of the pieces of a full bin, with slack, one at least."""
+    count: dict = {}
+    for s in sources:
+        count[s] = count.get(s, 0) + 1
+    words = sum(sizes)
+    per_word = SOURCE_SLACK * capacity / words if words else 0.0
+    return {s: max(1, int(-(-n * per_word // 1))) for s, n in count.items()}
+
+
+def pack_shard(rows: pd.DataFrame, capacity: int, one_per_source: bool, by_share: bool = False) -> pd.DataFrame:
     """Pack one shard: rows of shard, doc_id, source, cluster, size, row (a tie-breaker)."""
     shard = int(rows["shard"].iloc[0])
     rows = rows.sort_values(["size", "row"], ascending=[False, True], kind="stable")
     bits: dict = {}
+    source = rows["source"].astype(object).where(rows["source"].notna(), None).tolist()
+    limits: dict = {}
     if one_per_source:
-        source = rows["source"].astype(object).where(rows["source"].notna(), None)
-        for s in source:
-            bits.setdefault(("source", s), 1 << len(bits))
-    else:
-        source = [None] * len(rows)
+        limits = dict.fromkeys(source, 1)
+    elif by_share:
+        left = [(s, int(n) % capacity) for s, n in zip(source, rows["size"]) if int(n) % capacity]
+        limits = source_limits([s for s, _ in left], [n for _, n in left], capacity)
+    turn: dict = {}  # pieces of each source so far
     again = rows["cluster"].dropna()
     again = set(again[again.duplicated()])  # a cluster that comes once here conflicts with nothing
     bins, full, out = Bins(capacity), 0, []
@@ -95,7 +115,10 @@ def pack_shard(rows: pd.DataFrame, capacity: int, one_per_source: bool) -> pd.Da
             out.append((doc, piece, capacity, f"{shard}-f{full}", 0, piece * capacity))
             full += 1
         if rest:
-            conflicts = bits[("source", s)] if one_per_source else 0
+            conflicts = 0
+            if s in limits:
+                turn[s] = turn.get(s, -1) + 1
+                conflicts = bits.setdefault(("source", s, turn[s] % limits[s]), 1 << len(bits))
             if cluster in again:
                 conflicts |= bits.setdefault(("cluster", cluster), 1 << len(bits))
             rests.append((-rest, int(row), doc, whole, conflicts))
@@ -108,13 +131,17 @@ def pack_shard(rows: pd.DataFrame, capacity: int, one_per_source: bool) -> pd.Da
 
 
 def pack(
-    docs: DataFrame, capacity: int = CAPACITY, one_per_source: bool = True, cluster: str | None = None
+    docs: DataFrame, capacity: int = CAPACITY, one_per_source: bool = True, cluster: str | None = None, source_limit: str | None = None
 ) -> DataFrame:
     """One row per piece: doc_id, piece, n_words, bin_id, bin_start, first_word.
 
     ``cluster``: the column that holds a document's duplicate cluster; by
     default the digest of its normalised text, so that exact copies conflict.
+    ``source_limit="share"`` replaces ``one_per_source``.
     """
+    if source_limit not in (None, "share"):
+        raise ValueError(f"source_limit: {source_limit}")
+    by_share = source_limit == "share"
     mark = F.col(cluster).cast("string") if cluster else F.sha2(normalised().cast("binary"), 256)
     rows = stored(
         docs.select(
@@ -125,4 +152,11 @@ def pack(
     shards = max(1, -(-rows.count() // DOCS_PER_SHARD))
     row = F.monotonically_increasing_id()  # of files that stay as they are: the same in every attempt
     dealt = rows.withColumn("row", row).withColumn("shard", F.pmod(F.xxhash64("doc_id", "row"), F.lit(shards)))
-    return dealt.groupBy("shard").applyInPandas(lambda part: pack_shard(part, capacity, one_per_source), PACKED)
+    return dealt.groupBy("shard").applyInPandas(lambda part: pack_shard(part, capacity, one_per_source and not by_share, by_share), PACKED)
+
+
+def fill(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """One row: bins, words, and the share of the bins' room that words take."""
+    one = packed.filter("bin_id IS NOT NULL").agg(F.countDistinct("bin_id").alias("bins"), F.coalesce(F.sum("n_words"), F.lit(0)).alias("words"))
+    room = F.col("bins") * F.lit(capacity)
+    return one.withColumn("fill", F.when(room > 0, F.col("words") / room).otherwise(F.lit(0.0)))

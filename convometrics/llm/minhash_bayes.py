@@ -304,8 +304,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: int = THRESHOLD, sha
 
 def keep_one(docs: DataFrame, k: int = 5, threshold: int = THRESHOLD) -> DataFrame:
     """One document of each group stays, with its columns unchanged."""
-    keep = near_duplicates(docs, k, threshold).filter("kept").select(F.col("doc_id").alias("__keep"))
-    return docs.join(keep, F.col("doc_id").eqNullSafe(F.col("__keep")), "left_semi")
+    keep = near_duplicates(docs, k, threshold).filter("kept").select(F.col("doc_id").alias("keep"))
+    user = F.struct(*[F.col(f"`{c}`") for c in docs.columns])  # whatever its columns are called
+    held = docs.select(user.alias("user"), F.col("doc_id").alias("id"))
+    kept = held.join(keep, F.col("id").eqNullSafe(F.col("keep")), "left_semi")
+    return kept.select(*[F.col("user")[c].alias(c) for c in docs.columns])
 
 
 # All pairs, for two-word shingles: a check for small tables.

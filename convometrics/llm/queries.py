@@ -24,7 +24,7 @@ def op4_pii_bootstrap(spark, sf_dir):
 
 
 def op5_best_fit_packing(spark, sf_dir):
-    return best_fit.pack(table(spark, sf_dir, "documents"))
+    return best_fit.pack(table(spark, sf_dir, "documents"), source_limit="share")
 
 
 def op6_html_blocks(spark, sf_dir):

@@ -84,3 +84,29 @@ def test_empty_and_hot_shard(spark):
     hot = pd.DataFrame({"shard": 0, "doc_id": range(3000), "source": "hot", "cluster": "c", "size": 7, "row": range(3000)})
     made = best_fit.pack_shard(hot, 2048, True)
     assert made["bin_id"].nunique() == 3000
+
+
+def test_few_sources_fill_their_bins(spark):
+    one = [(i, " ".join(["w"] * 100) + f" d{i}", "only", "x") for i in range(400)]
+    packed = best_fit.pack(spark.createDataFrame(one, SCHEMA), source_limit="share")
+    got = best_fit.fill(packed).first()
+    assert got["bins"] <= 21 and got["words"] == 40400 and got["fill"] > 0.93
+    rows, df = make(spark, n=800)
+    packed = best_fit.pack(df, capacity=512, cluster="doc_id", source_limit="share").collect()
+    check(rows, packed, 512, False, lambda d: d)
+
+
+def test_share_limit_of_a_source():
+    limits = best_fit.source_limits(["a"] * 50 + ["b"] * 5 + [None], [100] * 56, 1000)
+    assert limits == {"a": 18, "b": 2, None: 1}  # ten pieces a bin, twice the share of each
+    assert best_fit.source_limits([], [], 10) == {}
+    rows = pd.DataFrame({"shard": 0, "doc_id": range(56), "source": ["a"] * 50 + ["b"] * 5 + [None], "cluster": [f"c{i}" for i in range(56)], "size": 100, "row": range(56)})
+    made = best_fit.pack_shard(rows, 1000, False, True)
+    source = dict(zip(rows["doc_id"], rows["source"]))
+    for _, part in made.groupby("bin_id"):
+        held = [source[d] for d in part["doc_id"]]
+        assert all(held.count(s) <= n for s, n in limits.items())
+
+
+def test_empty_bins_have_no_fill(spark):
+    assert best_fit.fill(best_fit.pack(spark.createDataFrame([], SCHEMA))).first()["fill"] == 0.0

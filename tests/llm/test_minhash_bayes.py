@@ -109,3 +109,10 @@ def test_components(spark):
         x, y = sorted((find(a), find(b)))
         parent[y] = x
     assert got == {i: find(i) for i in parent if any(i in e and e[0] != e[1] for e in edges)}
+
+
+def test_columns_that_clash_stay_as_they_are(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    docs = spark.createDataFrame([(1, text, 7, "x"), (2, text, 8, "y"), (3, "b", 9, "z")], "doc_id long, text string, __keep int, keep string")
+    got = mb.keep_one(docs)
+    assert got.columns == docs.columns and sorted(tuple(r)[2:] for r in got.collect()) == [(7, "x"), (9, "z")]
