@@ -29,7 +29,7 @@ def mixing(spark, docs, sf_dir):
 
 def packing(spark, docs, sf_dir):
     """Pieces of documents in bins of equal capacity; copies of a document never share a bin."""
-    return best_fit.pack(docs, cluster="doc_id")
+    return best_fit.pack(docs, cluster="doc_id", source_limit="share")
 
 
 STAGES = [
