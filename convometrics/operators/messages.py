@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from ..functions.jsontext import ustrip
 from ..schema import MAX_SEQ_LENGTH, SYSTEM_PROMPT
@@ -130,12 +134,48 @@ def chat_template(messages: Column, add_generation_prompt: bool = False) -> Colu
     return F.concat(body, F.lit("<|im_start|>assistant\n")) if add_generation_prompt else body
 
 
+_HERE = "\x00transcript\x00"
+
+
+def prompt_frame(spark: SparkSession, system_prompt: str | None = None) -> tuple[str, str]:
+    """(text before, text after) the stripped transcript in an extraction prompt, as T5 and T6 render it.
+
+    For model jobs that make a prompt inside a task: the template is written once, above.
+    """
+    sp = None if system_prompt is None else F.lit(system_prompt)
+    made = chat_template(extraction_messages(F.lit(_HERE), sp), add_generation_prompt=True)
+    before, after = spark.range(1).select(made.alias("prompt")).first()["prompt"].split(_HERE)
+    return before, after
+
+
 def whitespace_tokens(text: Column) -> Column:
     """Stand-in token count: whitespace-separated pieces (``str.split()``)."""
     s = ustrip(text)
     return F.when(s == "", F.lit(0)).otherwise(F.size(F.split(s, r"(?U)\s+"))).cast("long")
 
 
+def tokenizer_counter(path: str) -> Callable[[Column], Column]:
+    """A token counter for ``sequence_budget`` from a tokenizer file (JSON of the ``tokenizers`` library) at ``path``.
+
+    The file must lie where every task can read it; a worker process loads it
+    once.  Special tokens are neither added nor recognised in a text.  A null
+    text has no count.
+    """
+
+    def count(texts: pd.Series) -> pd.Series:
+        held = sys.modules.setdefault("_convometrics_tokenizers", types.ModuleType("_convometrics_tokenizers")).__dict__
+        if path not in held:
+            from tokenizers import Tokenizer
+
+            held[path] = Tokenizer.from_file(path)
+            held[path].encode_special_tokens = True
+        some = texts.dropna()
+        found = held[path].encode_batch(some.tolist(), add_special_tokens=False)
+        return pd.Series([len(e.ids) for e in found], index=some.index, dtype="Int64").reindex(texts.index)
+
+    return F.pandas_udf(count, LongType())
+
+
 def sequence_budget(df: DataFrame, text: str, counter: Callable[[Column], Column] | None = None,
                     budget: int = MAX_SEQ_LENGTH) -> DataFrame:
     """``n_tokens`` and ``over_budget``.  ``counter`` is a caller's token counter

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from ..functions.jsontext import ustrip
 from ..functions.stage import materialize, stage
-from ..schema import CHANNELS, GENERATION_PROMPT_TEMPLATE, PERSONAS, SCENARIOS, SYSTEM_PROMPT
+from ..schema import CHANNELS, GENERATION_PROMPT_TEMPLATE, PERSONAS, SCENARIOS
 from ..sources.chatml import append_jsonl
 from . import extract as ex
-from .messages import training_messages
+from .messages import prompt_frame, training_messages
 from .payload import explode_payload, parse_replies, serialize, validate, with_metrics
 
 AXES = {"channel": CHANNELS, "persona": PERSONAS, "scenario": SCENARIOS}
@@ -74,11 +74,6 @@ class SyntheticRun:
     rows_path: str  # appended training rows
 
 
-def _stripped_prompt(transcript: str) -> str:
-    """The extraction prompt of a generated transcript, as T5/T6 render it."""
-    return f"<|im_start|>system\n{SYSTEM_PROMPT}<|im_end|>\n<|im_start|>user\nTranscript:\n{transcript.strip()}<|im_end|>\n<|im_start|>assistant\n"
-
-
 def run_pipeline(
     samples: DataFrame, key: str, prompt: str, generator, labeller, out_dir: str, sleep=None, batch: str = "rows", chunks: int = 1
 ) -> SyntheticRun:
@@ -90,7 +85,8 @@ def run_pipeline(
     outputs are kept in ``chunks`` steps and not made twice (``extract.run_once``),
     and the rows of a ``batch`` id are appended once.
     """
-    stages = [("generation", generator, ex.not_blank), ("extraction", labeller, None, _stripped_prompt)]
+    before, after = prompt_frame(samples.sparkSession)
+    stages = [("generation", generator, ex.not_blank), ("extraction", labeller, None, lambda t: before + t.strip() + after)]
     made = ex.run_once(
         samples, [key], [prompt], f"{out_dir}/model_outputs",
         lambda todo: ex.run_stages(todo, key, prompt, stages, sleep=sleep, outputs=True, carry=["_asked"]), chunks,

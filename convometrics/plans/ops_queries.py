@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..operators import audit, release, runlog
 from ..operators import evaluate as ev
 from ..functions.stage import materialize
-from ..schema import CUSTOMER_INTENTS, SCORED_FIELDS
+from ..schema import CUSTOMER_INTENTS, REQUIRED_DATASET_FILES, REQUIRED_MODEL_FILES, REQUIRED_SPLITS, SCORED_FIELDS
 from ..session import scratch_path
 from ..sources import chatml
 from ..sources import fixture_models as fm
@@ -89,6 +89,16 @@ def q_missing_splits(spark, sf):
     return release.missing_splits(staged(spark, sf))
 
 
+def q_missing_splits_without(spark, sf):
+    """Q8 with each split left out in turn: what is then missing."""
+    rows = staged(spark, sf)
+    out = None
+    for name in ("train", "test", "validation"):
+        one = release.missing_splits(rows.filter(F.col("split") != name)).select(F.lit(name).alias("left_out"), "split")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 # ---------------------------------------------------------------------------
 # K1-K2 streaming
 # ---------------------------------------------------------------------------
@@ -224,6 +234,7 @@ QUERIES = {
     "staged_splits": q_staged_splits,
     "missing_artifacts": q_missing_artifacts,
     "missing_splits": q_missing_splits,
+    "missing_splits_without": q_missing_splits_without,
     "stream_requests": q_stream_requests,
     "stream_extract": q_stream_extract,
     "dead_letters": q_dead_letters,
@@ -258,6 +269,9 @@ _RESULT_VALUES = [
     "count(*)", _VALID, "count(*) FILTER (WHERE r = 19)", "count(*) FILTER (WHERE match_customer_intent)",
 ]
 
+_REQUIRED = ", ".join(f"('{r}', '{a}')" for r, names in (("dataset", REQUIRED_DATASET_FILES), ("model", REQUIRED_MODEL_FILES)) for a in names)
+_SPLITS = ", ".join(f"('{s}')" for s in REQUIRED_SPLITS)
+
 ORACLES = {
     "loss_curve": "SELECT event_id + 1 AS step, value AS loss FROM events",
     "loss_summary": """SELECT count(*) AS n_steps, arg_min(value, event_id) AS initial_loss, arg_max(value, event_id) AS final_loss,
@@ -286,12 +300,12 @@ ORACLES = {
         UNION ALL SELECT 'secret_token', count(*) FILTER (WHERE secret_token > 0), CAST(coalesce(sum(secret_token), 0) AS BIGINT) FROM d)
         SELECT kind, n_docs, n_matches, n_matches = 0 AS passed FROM s""",
     "staged_splits": f"SELECT split, count(*) AS n FROM (SELECT {_SPLIT} AS split FROM (SELECT conv_id, {_B} AS b FROM ({_CONVS}) c) x) y GROUP BY 1",
-    "missing_artifacts": f"""SELECT repo, artifact FROM (VALUES ('dataset', 'README.md'), ('dataset', 'train.jsonl'), ('dataset', 'test.jsonl'),
-          ('model', 'README.md'), ('model', 'adapter_config.json'), ('model', 'adapter_model.safetensors'),
-          ('model', 'tokenizer.json'), ('model', 'tokenizer_config.json')) r(repo, artifact)
+    "missing_artifacts": f"""SELECT repo, artifact FROM (VALUES {_REQUIRED}) r(repo, artifact)
         WHERE NOT (repo = 'dataset' AND artifact IN (
           SELECT DISTINCT {_SPLIT} || '.jsonl' FROM (SELECT conv_id, {_B} AS b FROM ({_CONVS}) c) x))""",
-    "missing_splits": f"""SELECT split FROM (VALUES ('train'), ('test')) r(split)
+    "missing_splits_without": f"""SELECT l AS left_out, split FROM (VALUES ('train'), ('test'), ('validation')) o(l), (VALUES {_SPLITS}) r(split)
+        WHERE split NOT IN (SELECT DISTINCT {_SPLIT} FROM (SELECT conv_id, {_B} AS b FROM ({_CONVS}) c) x WHERE {_SPLIT} <> l)""",
+    "missing_splits": f"""SELECT split FROM (VALUES {_SPLITS}) r(split)
         WHERE split NOT IN (SELECT DISTINCT {_SPLIT} FROM (SELECT conv_id, {_B} AS b FROM ({_CONVS}) c) x)""",
     "stream_requests": """SELECT event_id AS request_id,
         CASE WHEN event_type IN ('view', 'click', 'purchase') THEN 200 ELSE 400 END AS http_status,
