@@ -1,23 +1,30 @@
 """Quality rules: fixed limits, then robust multivariate outliers per language and source.
 
 Each document gives a vector of transformed statistics.  For each (lang, source)
-the minimum-covariance-determinant estimate is found by concentration steps:
-starting from coordinate medians, the rows nearest to the centre by Mahalanobis
-distance (three quarters of the group) give the next centre and covariance.
-A document whose distance to the final estimate is beyond the chi-square limit
-is rejected.
-
-All rows take part in every step.  A step is one aggregation by (group,
-distance bin): the bins of a group are at most a few thousand, so the quantile
-is read from counts and a group with a third of all rows is summed where its
-rows lie.  Groups too small to estimate are judged by the estimate from all rows
-of their language, and where those are few, by that from all rows of the table;
-these two are made only where a group needs them.
+the minimum-covariance-determinant estimate is found by concentration steps: the
+rows nearest to a centre by Mahalanobis distance (three quarters of the group)
+give the next centre and covariance, until the determinant falls no further.  This
+is done from two starts, medians with quartile ranges and the moments of all rows;
+the estimate of the smallest determinant wins.  A document whose distance to it
+is beyond the chi-square limit is rejected.
+
+All rows take part in every step.  A step is one aggregation by (group, start,
+distance bin) for the groups that have not converged: the bins of a group are at
+most a few thousand, so the quantile is read from counts and a group with a third
+of all rows is summed where its rows lie.  Groups too small to estimate are
+judged by the estimate from all rows of their language, and where those are few,
+by that from all rows of the table; these two are made only where a group needs
+them.
+
+Variances have floors (``VECTOR``): in units of them, a direction in which a group
+varies by less than one counts as one; other directions are as estimated.
 
 Defined cases: a null or empty text has no words, fails the base rule and is no
-part of an estimate; null lang and source are values of their own; groups of
-equal vectors have the variance floors as their covariance; rows that repeat are
-rows of their own; an empty table gives no rows; other columns are ignored.
+part of an estimate; very long texts are counted whole; null lang and source are
+values of their own; groups of equal vectors have the variance floors as their
+covariance; rows tied in distance are in or out of a subset together; of starts
+tied in determinant the first wins; rows that repeat are rows of their own; an
+empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,7 +43,8 @@ WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 SUBSET = 0.75  # share of a group that the estimate is made from
-STEPS = 4
+MAX_STEPS = 100  # a guard: a start is left when its determinant falls no further, after some ten steps
+CONVERGED = 1e-6  # fall of the log of the determinant
 MIN_GROUP = 200  # rows; smaller groups are judged by a pool
 REJECT = 1e-6  # chance that a row of a normal group is rejected
 IS_SYMBOL = np.zeros(256, bool)
@@ -137,9 +145,24 @@ def _members(keyed: DataFrame, groups: DataFrame) -> DataFrame:
     return members
 
 
+FLOORS = np.array(list(VECTOR.values()))
+KEYS = ["fit_key", "start"]
+CENTRE = [f"m{i}" for i in range(len(NAMES))]
+INVERSE = [f"v{i}_{j}" for i, j in PAIRS]
+PARAMS = ", ".join(["fit_key string", "start int", *(f"{c} double" for c in CENTRE), *(f"{c} double" for c in INVERSE), "logdet double"])
+SUMS = ["n", *(f"s{i}" for i in range(len(NAMES))), *(f"q{i}_{j}" for i, j in PAIRS)]
+
+
+def floored(cov: np.ndarray) -> tuple[np.ndarray, float]:
+    """(inverse, log of the determinant) of a covariance, directions that vary by less than the floors being raised to them."""
+    values, vectors = np.linalg.eigh(cov / np.outer(FLOORS, FLOORS))
+    values = np.maximum(values, 1.0)
+    inverse = (vectors / values) @ vectors.T
+    return inverse / np.outer(FLOORS, FLOORS), float(np.log(values).sum())
+
+
 def _inverted(sums: DataFrame) -> DataFrame:
-    """Centre and inverse covariance (with the variance floors) of each group from its sums."""
-    floors = np.diag(np.square(list(VECTOR.values())))
+    """Centre, inverse covariance and log of the determinant (both with the floors) of each group and start from its sums."""
     p = len(NAMES)
     share = chi2_cdf(chi2_quantile(SUBSET, p), p + 2) / SUBSET
 
@@ -152,12 +175,11 @@ def _inverted(sums: DataFrame) -> DataFrame:
                 cov = np.zeros((p, p))
                 for i, j in PAIRS:
                     cov[i, j] = cov[j, i] = r[f"q{i}_{j}"] / n - mean[i] * mean[j]
-                inverse = np.linalg.inv(cov / (share if r["part"] else 1.0) + floors)
-                out.append([r["fit_key"], *mean.tolist(), *(inverse[i, j] for i, j in PAIRS)])
-            yield pd.DataFrame(out, columns=["fit_key", *(f"m{i}" for i in range(p)), *(f"v{i}_{j}" for i, j in PAIRS)])
+                inverse, logdet = floored(cov / (share if r["part"] else 1.0))
+                out.append([r["fit_key"], r["start"], *mean.tolist(), *(inverse[i, j] for i, j in PAIRS), logdet])
+            yield pd.DataFrame(out, columns=[*KEYS, *CENTRE, *INVERSE, "logdet"])
 
-    fields = ["fit_key string", *(f"m{i} double" for i in range(p)), *(f"v{i}_{j} double" for i, j in PAIRS)]
-    return sums.mapInPandas(invert, ", ".join(fields))
+    return sums.select(*KEYS, *SUMS, "part").mapInPandas(invert, PARAMS)
 
 
 def _distance() -> F.Column:
@@ -168,41 +190,65 @@ def _distance() -> F.Column:
     return total
 
 
-def _start(fit: DataFrame) -> DataFrame:
-    """First estimate: medians, and quartile distances as a diagonal covariance; one aggregation."""
+def _moments() -> list:
+    """Count, sums and sums of products of the vectors."""
+    squares = [F.sum(F.col(NAMES[i]) * F.col(NAMES[j])).alias(f"q{i}_{j}") for i, j in PAIRS]
+    return [F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(f"s{i}") for i, c in enumerate(NAMES)], *squares]
+
+
+def _starts(fit: DataFrame) -> DataFrame:
+    """First estimates: 0, medians and quartile distances as a diagonal covariance; 1, the moments of all rows.  One aggregation."""
     p = len(NAMES)
-    quartiles = fit.groupBy("fit_key").agg(*[F.percentile_approx(c, [0.25, 0.5, 0.75], 1000).alias(f"t{i}") for i, c in enumerate(NAMES)])
+    quartiles = [F.percentile_approx(c, [0.25, 0.5, 0.75], 1000).alias(f"t{i}") for i, c in enumerate(NAMES)]
+    seen = stored(fit.groupBy("fit_key").agg(*quartiles, *_moments()), "rule-seen")
     centre = [F.col(f"t{i}")[1].cast("double").alias(f"m{i}") for i in range(p)]
     spread = [(F.col(f"t{i}")[2] - F.col(f"t{i}")[0]) / 1.349 for i in range(p)]
-    inverse = [
-        (F.lit(1.0) / (spread[i] * spread[i] + VECTOR[NAMES[i]] ** 2) if i == j else F.lit(0.0)).alias(f"v{i}_{j}")
-        for i, j in PAIRS
-    ]
-    return quartiles.select("fit_key", *centre, *inverse)
+    variance = [F.greatest(spread[i] * spread[i], F.lit(VECTOR[NAMES[i]] ** 2)) for i in range(p)]
+    inverse = [((F.lit(1.0) / variance[i]) if i == j else F.lit(0.0)).alias(f"v{i}_{j}") for i, j in PAIRS]
+    infinite = F.lit(math.inf).alias("logdet")  # of no subset yet
+    robust = seen.select("fit_key", F.lit(0).alias("start"), *centre, *inverse, infinite)
+    plain = _inverted(seen.withColumn("start", F.lit(1)).withColumn("part", F.lit(False))).withColumn("logdet", infinite)
+    return robust.unionByName(plain)
 
 
 def _concentrate(fit: DataFrame, params: DataFrame) -> DataFrame:
-    """One concentration step: the estimate from the nearest rows of each group."""
-    p = len(NAMES)
-    near = fit.join(params, "fit_key").withColumn("d2", _distance())
+    """One concentration step: the estimate from the nearest rows of each group, for each start."""
+    near = fit.join(params.drop("logdet"), "fit_key").withColumn("d2", _distance())
     binned = near.withColumn("bin", F.floor(F.log2(F.col("d2") + F.lit(2.0**-20)) * 32).cast("int"))
-    squares = [F.sum(F.col(NAMES[i]) * F.col(NAMES[j])).alias(f"q{i}_{j}") for i, j in PAIRS]
-    by_bin = binned.groupBy("fit_key", "bin").agg(
-        F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(f"s{i}") for i, c in enumerate(NAMES)], *squares
-    )
-    whole = Window.partitionBy("fit_key")  # a few thousand bins at most
+    by_bin = binned.groupBy(*KEYS, "bin").agg(*_moments())
+    whole = Window.partitionBy(*KEYS)  # a few thousand bins at most
     before = whole.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     chosen = (
         by_bin.withColumn("all", F.sum("n").over(whole))
         .withColumn("nearer", F.coalesce(F.sum("n").over(before), F.lit(0)))
         .filter(F.col("nearer") < F.col("all") * SUBSET)
     )
-    names = ["n", *(f"s{i}" for i in range(p)), *(f"q{i}_{j}" for i, j in PAIRS)]
-    sums = chosen.groupBy("fit_key").agg(F.first("all").alias("all"), *[F.sum(c).alias(c) for c in names])
+    sums = chosen.groupBy(*KEYS).agg(F.first("all").alias("all"), *[F.sum(c).alias(c) for c in SUMS])
     return _inverted(sums.withColumn("part", F.col("n") < F.col("all")).drop("all"))
 
 
-def quality_rules(docs: DataFrame, steps: int = STEPS, reject: float = REJECT) -> DataFrame:
+def estimates(fit: DataFrame, max_steps: int = MAX_STEPS) -> DataFrame:
+    """The estimate of each group of ``fit`` (fit_key and the vector's columns): centre, inverse covariance, logdet, start."""
+    params = stored(_starts(fit), "rule-start")
+    found = []
+    for step in range(max_steps):
+        before = params.select(*KEYS, F.col("logdet").alias("before"))
+        moved = stored(_concentrate(fit, params).join(before, KEYS), f"rule-step{step}")
+        still = F.col("before") - F.col("logdet") > CONVERGED
+        found.append(moved.filter(~still).drop("before"))
+        params = moved.filter(still).drop("before")
+        if params.isEmpty():
+            break
+    else:
+        found.append(params)
+    every = found[0]
+    for more in found[1:]:
+        every = every.unionByName(more)
+    best = F.min_by(F.struct("start", *CENTRE, *INVERSE, "logdet"), F.struct("logdet", "start")).alias("best")
+    return every.groupBy("fit_key").agg(best).select("fit_key", "best.*")
+
+
+def quality_rules(docs: DataFrame, reject: float = REJECT) -> DataFrame:
     """Statistics and verdict of every document.
 
     Returns doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
@@ -235,9 +281,7 @@ def quality_rules(docs: DataFrame, steps: int = STEPS, reject: float = REJECT) -
     keyed = rows.join(groups, ["lang_key", "source_key"], "left")
     keyed = stored(keyed.drop("lang_key", "source_key"), "rule-rows")
     fit = _members(keyed, groups)
-    params = stored(_start(fit), "rule-start")
-    for i in range(steps):
-        params = stored(_concentrate(fit, params), f"rule-step{i}")
+    params = stored(estimates(fit), "rule-estimates")
     limit = chi2_quantile(1 - reject, len(NAMES))
     judged = keyed.join(params, "fit_key", "left").withColumn("distance", F.when(~F.col("base_failed"), _distance()))
     return judged.select(

@@ -2,6 +2,7 @@
 
 import re
 
+import numpy as np
 import pytest
 
 from convometrics.llm import outlier_rules
@@ -92,3 +93,56 @@ def test_empty_table(spark):
 @pytest.mark.parametrize("q", [0.5, 0.75, 0.999])
 def test_chi2_quantile(q):
     assert abs(outlier_rules.chi2_cdf(outlier_rules.chi2_quantile(q, 5), 5) - q) < 1e-9
+
+
+def plain_estimate(x, starts=60, seed=0):
+    """Smallest log determinant, and its centre, of concentration steps from many random subsets, each to its end."""
+    rnd, h = np.random.default_rng(seed), int(np.ceil(outlier_rules.SUBSET * len(x)))
+    p = x.shape[1]
+    share = outlier_rules.chi2_cdf(outlier_rules.chi2_quantile(outlier_rules.SUBSET, p), p + 2) / outlier_rules.SUBSET
+    best = (np.inf, None)
+    for _ in range(starts):
+        subset, last = x[rnd.choice(len(x), p + 1, replace=False)], np.inf
+        while True:
+            centre = subset.mean(0)
+            cov = np.cov(subset.T, bias=True) / (share if len(subset) == h else 1.0)
+            inverse, logdet = outlier_rules.floored(cov)
+            d2 = np.einsum("ni,ij,nj->n", x - centre, inverse, x - centre)
+            if len(subset) == h:
+                if logdet >= last - 1e-9:
+                    break
+                last = logdet
+            subset = x[np.argsort(d2, kind="stable")[:h]]
+        best = min(best, (last, centre.tolist()), key=lambda b: b[0])
+    return best
+
+
+def test_estimate_against_many_starts(spark):
+    """The determinant found is the least that a search from many random subsets finds, with a fifth of the rows far off."""
+    rnd = np.random.default_rng(7)
+    floors = outlier_rules.FLOORS
+    shape = np.linalg.cholesky(np.array([[4, 1, 0, 0, 0], [1, 3, 1, 0, 0], [0, 1, 2, 0, 0], [0, 0, 0, 1.5, 0.5], [0, 0, 0, 0.5, 2]]))
+    groups = {}
+    for g, off in (("one", 8.0), ("two", 20.0), ("three", 0.0)):
+        x = rnd.normal(0, 1, (900, 5)) @ shape.T
+        x[:180] = x[:180] * 0.5 + off  # a tight cloud that moments would take for the centre's
+        groups[g] = x * floors
+    rows = [(g, *map(float, v)) for g, x in groups.items() for v in x]
+    fit = spark.createDataFrame(rows, "fit_key string, " + ", ".join(f"{c} double" for c in outlier_rules.NAMES))
+    found = {r["fit_key"]: r for r in outlier_rules.estimates(fit).collect()}
+    for g, x in groups.items():
+        logdet, centre = plain_estimate(x)
+        r = found[g]
+        # distances are compared in bins of two per cent, so the subset may hold a few rows more
+        assert r["logdet"] <= logdet + 0.15
+        assert np.abs((np.array([r[c] for c in outlier_rules.CENTRE]) - centre) / floors).max() < 0.2
+
+
+def test_floors_only_where_the_variance_is_below_them():
+    wide = np.diag((outlier_rules.FLOORS * 3) ** 2)
+    inverse, logdet = outlier_rules.floored(wide)
+    assert np.allclose(inverse @ wide, np.eye(5)) and np.isclose(logdet, 5 * np.log(9))
+    flat = wide.copy()
+    flat[0, 0] = 0.0
+    inverse, logdet = outlier_rules.floored(flat)
+    assert np.allclose(np.diag(inverse), 1 / np.array([1, 9, 9, 9, 9]) / outlier_rules.FLOORS**2) and np.isclose(logdet, 4 * np.log(9))
