@@ -134,7 +134,15 @@ def candidates(at: np.ndarray, n_words: int, window: int, phrase: int) -> np.nda
     return np.flatnonzero(np.cumsum(steps)[:-1] > 0)
 
 
-LOCATED = "doc_id long, sha string, text binary, starts array<int>, hashes array<long>, others array<long>"
+MARK_DIGITS = 15  # of a text's sha that tell apart the texts of one doc_id
+
+
+def mark_of(sha="sha"):
+    """Column: a long that tells apart the texts of one doc_id."""
+    return F.conv(F.substring(sha, 1, MARK_DIGITS), 16, 10).cast("long")
+
+
+LOCATED = "doc_id long, mark long, text binary, starts array<int>, hashes array<long>, others array<long>"
 
 
 def _locate(docs: pd.DataFrame, known: pd.DataFrame, window: int, phrase: int) -> pd.DataFrame:
@@ -143,7 +151,7 @@ def _locate(docs: pd.DataFrame, known: pd.DataFrame, window: int, phrase: int) -
     ``docs``: doc_id, text; ``known``: the documents that stand for their class
     (doc_id, sha) and the recurring phrases (words).
     """
-    columns = ["doc_id", "sha", "text", "starts", "hashes", "others"]
+    columns = ["doc_id", "mark", "text", "starts", "hashes", "others"]
     phrases = known["words"].dropna().unique().tolist()
     if not phrases:
         return pd.DataFrame({c: [] for c in columns})
@@ -162,7 +170,7 @@ def _locate(docs: pd.DataFrame, known: pd.DataFrame, window: int, phrase: int) -
         if len(starts):
             one = poly_run_hashes(span_hashes(w.data, w.start, w.end), window)[starts]
             two = poly_run_hashes(span_hashes(w.data, w.start, w.end, salt=SECOND), window)[starts]
-            out.append((*key, text, starts.tolist(), one.view(np.int64).tolist(), two.view(np.int64).tolist()))
+            out.append((doc_id, int(key[1][:MARK_DIGITS], 16), text, starts.tolist(), one.view(np.int64).tolist(), two.view(np.int64).tolist()))
     return pd.DataFrame(out, columns=columns)
 
 
@@ -180,11 +188,11 @@ def _spans(mask: np.ndarray) -> str:
 
 
 def _cut(rows: DataFrame, window: int) -> DataFrame:
-    """doc_id, sha, n_removed, kept_sha256, removed of (doc_id, sha, text, starts)."""
+    """doc_id, mark, n_removed, kept_sha256, removed of (doc_id, mark, text, starts)."""
 
     def cut(batches):
         for batch in batches:
-            out = {c: batch.column(c) for c in ("doc_id", "sha")} | {"n_removed": [], "kept_sha256": [], "removed": []}
+            out = {c: batch.column(c) for c in ("doc_id", "mark")} | {"n_removed": [], "kept_sha256": [], "removed": []}
             for text, starts in zip(batch.column("text").to_pylist(), batch.column("starts")):
                 words = text.split()
                 mask = removed_mask(np.asarray(starts.values.to_numpy(), np.int64), len(words), window)
@@ -194,8 +202,8 @@ def _cut(rows: DataFrame, window: int) -> DataFrame:
                 out["removed"].append(_spans(mask))
             yield pa.RecordBatch.from_pydict(out)
 
-    schema = "doc_id long, sha string, n_removed long, kept_sha256 string, removed string"
-    return rows.select("doc_id", "sha", "text", "starts").mapInArrow(cut, schema)
+    schema = "doc_id long, mark long, n_removed long, kept_sha256 string, removed string"
+    return rows.select("doc_id", "mark", "text", "starts").mapInArrow(cut, schema)
 
 
 def repeated_passages(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -229,14 +237,14 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, phrase: int = PHRAS
         texts.groupBy("shard").cogroup(known.groupBy("shard")).applyInPandas(lambda one, two: _locate(one, two, window, phrase), LOCATED),
         "candidates",
     )
-    windows = held.select("doc_id", "sha", F.explode(F.arrays_zip("starts", "hashes", "others")).alias("w"))
-    windows = windows.select("doc_id", "sha", F.col("w.starts").alias("start"), F.col("w.hashes").alias("hash"), F.col("w.others").alias("other"))
+    windows = held.select("doc_id", "mark", F.explode(F.arrays_zip("starts", "hashes", "others")).alias("w"))
+    windows = windows.select("doc_id", "mark", F.col("w.starts").alias("start"), F.col("w.hashes").alias("hash"), F.col("w.others").alias("other"))
     confirmed = windows.groupBy("hash", "other").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     # written, so that the join shuffles both sides and a passage common to many documents can be split
     confirmed = stored(confirmed.filter("low < high").select("hash", "other", "low"), "confirmed")
-    later = windows.join(confirmed, ["hash", "other"]).filter("low < doc_id").groupBy("doc_id", "sha").agg(F.collect_list("start").alias("starts"))
-    partly = _cut(held.select("doc_id", "sha", "text").join(later, ["doc_id", "sha"]), window)
-    partly = stored(partly.withColumnsRenamed({"doc_id": "cut_id", "sha": "cut_sha"}), "cut")
+    later = windows.join(confirmed, ["hash", "other"]).filter("low < doc_id").groupBy("doc_id", "mark").agg(F.collect_list("start").alias("starts"))
+    partly = _cut(held.select("doc_id", "mark", "text").join(later, ["doc_id", "mark"]), window)
+    partly = stored(partly.withColumnsRenamed({"doc_id": "cut_id", "mark": "cut_mark"}), "cut")
 
     plain = made.select("doc_id", "n_words", "sha")
     has_window = (F.col("n_words") >= window) & F.col("doc_id").isNotNull()
@@ -245,7 +253,7 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, phrase: int = PHRAS
     columns = ["doc_id", "n_words", "sha", "first_id"]
     rows = in_class.select(*columns).unionByName(short.select(*columns))
     copy = F.col("first_id") < F.col("doc_id")
-    return rows.join(partly, (F.col("doc_id") == F.col("cut_id")) & (F.col("sha") == F.col("cut_sha")), "left").select(
+    return rows.join(partly, (F.col("doc_id") == F.col("cut_id")) & (mark_of() == F.col("cut_mark")), "left").select(
         "doc_id",
         "n_words",
         F.when(copy, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
