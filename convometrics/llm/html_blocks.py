@@ -21,8 +21,10 @@ any length ends at the first ``>`` outside its attributes' quotes; a quote that
 is never closed does not count.
 
 Defined cases: a null or empty page has the text ''; a page of plain text is one
-block; unclosed and stray tags are allowed; rows that repeat are extracted
-alike; an empty table gives no rows; other columns are ignored.
+block; unclosed and stray tags are allowed: an element whose content is no text of
+the page costs none without its closer (but a script or style takes the rest, as in
+a browser); very long pages are read whole; ties do not arise, each block being
+labelled by its score; rows that repeat are extracted alike; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -21,8 +21,9 @@
 Defined cases: a text without words, or null, has an empty set and is linked
 with nothing; a text of fewer words than a shingle is one shingle, the whole
 sequence; rows that share a doc_id are one document; a row without doc_id is
-kept, by itself, with a null component; an empty table gives no rows; other
-columns are ignored.
+kept, by itself, with a null component; very long texts are read whole; of texts
+tied for a component the smallest doc_id stays; an empty table gives no rows; other
+columns are ignored, and ``keep_one`` keeps them whatever they are called.
 """
 
 from __future__ import annotations

@@ -14,7 +14,9 @@ Adam with numpy.  Scoring reads every whole text.
 Defined cases: a text that is null or has no word scores 0; a document with
 several labels counts as good only if all say so; null labels teach nothing;
 rows that repeat are scored alike; without labels of both kinds every text with
-a word scores the share of good ones (1 if there are no labels); other columns are ignored.
+a word scores the share of good ones (1 if there are no labels); very long texts are
+bags of all their passages; ties do not arise, each text being scored by itself; an
+empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -80,3 +80,10 @@ def test_columns_that_clash_stay_as_they_are(spark):
     docs = spark.createDataFrame([(1, "a", 7, "x"), (2, "a", 8, "y"), (3, "b", 9, "z")], "doc_id long, text string, __id int, __digest string")
     got = exact_index.keep_first(docs)
     assert got.columns == docs.columns and sorted(map(tuple, got.collect())) == [(1, "a", 7, "x"), (3, "b", 9, "z")]
+
+
+def test_very_long_texts(spark):
+    long = "word  \n" * 400_000
+    docs = spark.createDataFrame([(5, long), (3, "word " * 400_000), (4, long + "x")], "doc_id long, text string")
+    got = {r["doc_id"]: (r["keep_id"], r["group_size"]) for r in exact_index.exact_dedup(docs).collect()}
+    assert got == {5: (3, 2), 3: (3, 2), 4: (4, 1)}

@@ -116,3 +116,13 @@ def test_columns_that_clash_stay_as_they_are(spark):
     docs = spark.createDataFrame([(1, text, 7, "x"), (2, text, 8, "y"), (3, "b", 9, "z")], "doc_id long, text string, __keep int, keep string")
     got = mb.keep_one(docs)
     assert got.columns == docs.columns and sorted(tuple(r)[2:] for r in got.collect()) == [(7, "x"), (9, "z")]
+
+
+def test_very_long_texts(spark):
+    rnd = random.Random(11)
+    long = [f"w{rnd.randrange(10**6)}" for _ in range(60_000)]
+    near = [w if i % 40 else "other" for i, w in enumerate(long)]  # shares 95 per cent of its shingles
+    half = long[:30_000] + [f"v{i}" for i in range(30_000)]
+    docs = spark.createDataFrame([(9, " ".join(long)), (4, " ".join(near)), (6, " ".join(half))], "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in mb.near_duplicates(docs, k=2).collect()}
+    assert got == {9: 4, 4: 4, 6: 6}

@@ -118,3 +118,12 @@ def test_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert ms.mix(empty).count() == 0
     assert ms.mixed_documents(empty, ms.mix(empty)).count() == 0
+
+
+def test_very_long_texts(spark):
+    rows = [(0, "w " * 150_000, "a", 0), (1, "x y", "a", 0), (2, "z " * 40_000, "b", 0)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = {r["doc_id"]: r for r in ms.mix(docs, block_words=64).collect()}
+    targets = brute_targets({"a": 150_002, "b": 40_000})
+    assert abs(got[0]["taken"] + got[1]["taken"] - targets["a"]) <= 1 and abs(got[2]["taken"] - targets["b"]) <= 1
+    assert all(r["taken"] <= 3 * r["size"] for r in got.values())
