@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.jsontext import parse_strict, find0, is_object, json_escape, json_quote, json_valid, rfind0, slice0, ustrip, vget, vtype
-from ..functions.stage import stage
+from ..functions.stage import let, materialize, stage
 from ..schema import GROUPS
 from ..session import scratch_path
 from ..sources.commits import Versions
@@ -33,35 +33,44 @@ def repair_line(line: Column, legacy: bool = False) -> Column:
     ``legacy=True`` keeps the reference's off-by-one (the first content character
     is left unescaped); the default escapes the whole content.
     """
-    found = []
-    for start_m, end_m in USER_MARKERS:
-        i = find0(line, start_m)
-        us = i + len(start_m)
-        j = find0(line, end_m, us)
-        found.append(((i >= 0) & (j >= 0), us, j))
-    user_start = F.when(found[0][0], found[0][1]).when(found[1][0], found[1][1])
-    user_end = F.when(found[0][0], found[0][2]).when(found[1][0], found[1][2])
-
-    a0 = find0(line, ASSISTANT_MARKERS[0])
-    a1 = find0(line, ASSISTANT_MARKERS[1])
-    ast_start = F.when(a0 >= 0, a0 + len(ASSISTANT_MARKERS[0])).when(a1 >= 0, a1 + len(ASSISTANT_MARKERS[1]))
-    ast_end = rfind0(line, END_MARKER)
-    has_user_role = (find0(line, '"role":"user"') >= 0) | (find0(line, '"role": "user"') >= 0)
+    # every search runs once a line, the second form only where the first is not found
+
+    def user_turn(text: Column, start_m: str, end_m: str) -> Column:
+        def span(i: Column) -> Column:
+            us = i + len(start_m)
+            return let(F.when(i >= 0, find0(text, end_m, us)), lambda j: F.when(j >= 0, F.struct(us.alias("start"), j.alias("end"))))
+
+        return let(find0(text, start_m), span)
+
+    def asst_start(text: Column, marker: str) -> Column:
+        return let(find0(text, marker), lambda i: F.when(i >= 0, i + len(marker)))
+
+    def positions(text: Column) -> Column:
+        user = F.coalesce(*[user_turn(text, *m) for m in USER_MARKERS])
+        asst = F.coalesce(*[asst_start(text, m) for m in ASSISTANT_MARKERS])
+        return F.struct(user.alias("user"), asst.alias("asst"), rfind0(text, END_MARKER).alias("ast_end"))
 
     skip = 1 if legacy else 0
-    user_content = slice0(line, user_start + skip, user_end)
-    asst = slice0(line, ast_start + skip, ast_end)
-    asst = F.replace(asst, F.lit("\\\\\\\\n"), F.lit("\\\\n"))
-    asst = F.regexp_replace(json_escape(asst), r"\r\n|\n|\r", r"\\n")
-    rebuilt = F.concat(
-        slice0(line, F.lit(0), user_start + skip),
-        json_escape(user_content),
-        slice0(line, user_end, ast_start + skip),
-        asst,
-        slice0(line, ast_end),
-    )
-    ok = user_start.isNotNull() & ast_start.isNotNull() & (ast_end >= 0) & has_user_role
-    return F.when(ok & (ustrip(line) != ""), rebuilt)
+
+    def rebuilt(text: Column, p: Column) -> Column:
+        user_start, user_end, ast_start, ast_end = p["user"]["start"], p["user"]["end"], p["asst"], p["ast_end"]
+        user_content = slice0(text, user_start + skip, user_end)
+        asst = F.replace(slice0(text, ast_start + skip, ast_end), F.lit("\\\\\\\\n"), F.lit("\\\\n"))
+        asst = json_escape(asst)
+        for line_end in ("\r\n", "\n", "\r"):
+            asst = F.replace(asst, F.lit(line_end), F.lit("\\n"))
+        whole = F.concat(
+            slice0(text, F.lit(0), user_start + skip),
+            json_escape(user_content),
+            slice0(text, user_end, ast_start + skip),
+            asst,
+            slice0(text, ast_end),
+        )
+        has_user_role = text.contains('"role":"user"') | text.contains('"role": "user"')
+        ok = user_start.isNotNull() & ast_start.isNotNull() & (ast_end >= 0) & has_user_role
+        return F.when(ok, whole)
+
+    return F.when(ustrip(line) != "", let(line, lambda text: let(positions(text), lambda p: rebuilt(text, p))))
 
 
 def repair_lines(lines: DataFrame, value: str = "value", legacy: bool = False) -> DataFrame:
@@ -165,6 +174,11 @@ def _write_lines(df: DataFrame, text: str, layout: list[str], path: str) -> None
     (writer.partitionBy(*layout) if layout else writer).text(path)
 
 
+def _once(lines: DataFrame) -> DataFrame:
+    """``lines`` written to scratch: the lines that stay and those that go are two jobs over one evaluation."""
+    return materialize(lines, scratch_path(lines.sparkSession, "checked-lines"))
+
+
 def write_repaired(repaired: DataFrame, path: str | None = None, layout: list[str] | None = None) -> str:
     """S7 of V4: repaired lines and the numbers of the others, in a new directory; returns it.
 
@@ -173,6 +187,7 @@ def write_repaired(repaired: DataFrame, path: str | None = None, layout: list[st
     """
     layout = layout or []
     path = path or scratch_path(repaired.sparkSession, "repaired")
+    repaired = _once(repaired.select(*layout, "line_num", "status", "repaired"))
     _write_lines(repaired.filter(F.col("status") == "fixed"), "repaired", layout, f"{path}/lines")
     repaired.filter(F.col("status") != "fixed").select(*layout, "line_num", "status").write.json(f"{path}/dropped")
     return path
@@ -182,7 +197,7 @@ def write_normalized(normalized: DataFrame, path: str | None = None, layout: lis
     """S7 of V6: kept and rewritten lines, and dropped line numbers with their reason, in a new directory."""
     layout = layout or []
     path = path or scratch_path(normalized.sparkSession, "normalized")
-    kept, dropped = filter_valid(normalized)
+    kept, dropped = filter_valid(_once(normalized.select(*layout, "line_num", "outcome", "reason", "normalized")))
     _write_lines(kept, "normalized", layout, f"{path}/lines")
     dropped.select(*layout, "line_num", "reason").write.json(f"{path}/dropped")
     return path
@@ -192,7 +207,9 @@ def publish_lines(lines: DataFrame, text: str, versions: Versions, layout: list[
     """Make ``lines`` the current version of a corpus, once they are written, read back and counted.
 
     The version before stays where it is and can be made current again
-    (``Versions.rollback``); a job that dies on the way leaves it current.
+    (``Versions.rollback``); a job that dies on the way leaves it current.  ``lines``
+    are evaluated twice, to count and to write: lines that are costly to make are
+    best written to scratch before.
     """
     layout, spark = layout or [], lines.sparkSession
     return versions.publish(
