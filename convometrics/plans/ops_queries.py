@@ -156,8 +156,8 @@ def _result_columns(keep: list[str]) -> list:
 
 
 def write_eval_outputs(scored: DataFrame, path: str, keep: list[str]) -> None:
-    """One JSON line per example, nulls kept (pred/gold as JSON text)."""
-    chatml.write_jsonl_keep_nulls(scored.select(*_result_columns(keep)), path)
+    """One JSON line per example, nulls kept (pred/gold as JSON text); gzip files, the two documents repeat their keys in each line."""
+    chatml.write_jsonl_keep_nulls(scored.select(*_result_columns(keep)), path, "gzip")
 
 
 def write_eval_results(scored: DataFrame, counts: DataFrame, results: str, summary: str, keep: list[str]) -> None:

@@ -188,6 +188,9 @@ def read_appended(spark: SparkSession, path: str, schema=CHATML_SCHEMA) -> DataF
     return BatchStore(spark, path, "json").read(schema)
 
 
-def write_jsonl_keep_nulls(df: DataFrame, path: str) -> None:
-    """JSON lines with null fields written out (the JSON writer drops them by default)."""
-    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+def write_jsonl_keep_nulls(df: DataFrame, path: str, compression: str = "none") -> None:
+    """JSON lines with null fields written out (the JSON writer drops them by default).
+
+    ``compression``: codec of the files (``gzip``, ...); Spark's readers tell it from their names.
+    """
+    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path, compression=compression)
