@@ -74,7 +74,9 @@ def q_pair_with_gaps(spark, sf):
     k = F.col("k")
     gold = fx.gold_table(spark, sf).withColumn("gold_json", F.when(k % 41 == 0, F.substring("gold_json", 1, 30)).otherwise(F.col("gold_json")))
     pred = fx.prediction_table(spark, sf).filter(k % 29 != 0)
-    pred = pred.unionByName(pred.filter(k % 31 == 0)).unionByName(pred.filter(k % 62 == 0))
+    # copies of a row, not a union of the table with itself: each reply is built once
+    copies = F.when(k % 62 == 0, 3).when(k % 31 == 0, 2).otherwise(1)
+    pred = pred.withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).drop("copy")
     s = ev.evaluate(gold, pred)
     return s.select("k", "status", "scored", "strict", "error")
 
