@@ -31,34 +31,29 @@ def ulstrip(c: Column) -> Column:
     return F.ltrim(c, F.lit(PY_WHITESPACE_CHARS))
 
 
-def _wrapped(c: Column) -> tuple[Column, Column]:
-    """(array-wrap parse as ARRAY<VARIANT>, object-wrap validity)."""
-    as_array = F.from_json(F.concat(F.lit("["), c, F.lit("]")), "array<variant>", _STRICT)
-    # The object wrap only has to be *checked*: its schema names no field, so the
-    # wrapped value is tokenized and validated but never copied.
-    as_object = F.from_json(
-        F.concat(F.lit('{"x":'), c, F.lit("}")),
-        "_c string",
-        {**_STRICT, "columnNameOfCorruptRecord": "_c"},
-    )
-    return as_array, as_object.getField("_c").isNull()
+def _one_value(c: Column) -> tuple[Column, Column]:
+    """(``c`` as the first element of an ARRAY<VARIANT>, whether ``c`` is that element and nothing else).
 
+    ``from_json`` ignores what follows the first complete value, so a text may
+    close the array early and go on with anything.  The array therefore ends with
+    the digest of ``c``: it stands second only if ``c`` was one whole value.  One
+    pass over the text.
+    """
+    mark = F.sha2(c, 256)
+    held = F.from_json(F.concat(F.lit("["), c, F.lit(',"'), mark, F.lit('"]')), "array<variant>", _STRICT)
+    whole = (F.size(held) == 2) & (F.try_variant_get(F.get(held, 1), "$", "string") == mark)
+    return held, F.coalesce(whole, F.lit(False))
 
-def json_valid(c: Column) -> Column:
-    """True when ``c`` is one complete, strict JSON text (what ``json.loads`` accepts).
 
-    ``from_json``/``parse_json`` accept trailing garbage and single quotes, so the
-    text is parsed inside two wrappers: leftover text after the first value
-    breaks either the one-element array or the one-field object.
-    """
-    as_array, object_ok = _wrapped(c)
-    return F.coalesce((F.size(as_array) == 1) & object_ok, F.lit(False))
+def json_valid(c: Column) -> Column:
+    """True when ``c`` is one complete, strict JSON text (what ``json.loads`` accepts)."""
+    return _one_value(c)[1]
 
 
 def parse_strict(c: Column) -> Column:
-    """VARIANT of ``c`` if it is strict JSON, else NULL -- one parse plus one validation pass."""
-    as_array, object_ok = _wrapped(c)
-    return F.when(F.coalesce((F.size(as_array) == 1) & object_ok, F.lit(False)), F.get(as_array, 0))
+    """VARIANT of ``c`` if it is strict JSON, else NULL."""
+    held, whole = _one_value(c)
+    return F.when(whole, F.get(held, 0))
 
 
 def vget(v: Column, path: str) -> Column:
@@ -66,16 +61,13 @@ def vget(v: Column, path: str) -> Column:
     return F.try_variant_get(v, "$." + path if path else "$", "variant")
 
 
+_TYPES = {"STRING": "string", "BOOLEAN": "boolean", "VOID": "null", "OBJECT": "object", "ARRAY": "array"}
+
+
 def type_of_schema(s: Column) -> Column:
     """JSON type by the text of ``schema_of_variant``; NULL for a NULL."""
-    return (
-        F.when(s == "STRING", "string")
-        .when(s == "BOOLEAN", "boolean")
-        .when(s == "VOID", "null")
-        .when(s.startswith("OBJECT"), "object")
-        .when(s.startswith("ARRAY"), "array")
-        .when(s.isNotNull(), "number")
-    )
+    names = F.create_map(*[F.lit(x) for pair in _TYPES.items() for x in pair])
+    return F.coalesce(F.try_element_at(names, F.substring_index(s, "<", 1)), F.when(s.isNotNull(), F.lit("number")))
 
 
 def vtype(x: Column) -> Column:

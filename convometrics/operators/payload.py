@@ -31,10 +31,9 @@ from ..functions.jsontext import (
     vget,
     vstring,
     type_of_schema,
-    vshape,
     vtype,
 )
-from ..functions.stage import let
+from ..functions.stage import let, stage
 from ..schema import FIELD_RULES, GROUPS, VOCABULARIES, VOCABULARY_NAMES, FieldRule
 
 # ---------------------------------------------------------------------------
@@ -151,9 +150,10 @@ def _string_list(x: Column, t: Column) -> Column:
     return F.when(ok, F.try_variant_get(x, "$", "array<string>"))
 
 
-def _variants(group: Column, rules: list[FieldRule]) -> Column:
-    """The leaves of a group as a struct of variants; NULL for what is not an object."""
-    return F.try_variant_get(group, "$", "struct<" + ", ".join(f"{r.name}: variant" for r in rules) + ">")
+def _variants(payload: Column, rules: list[FieldRule]) -> Column:
+    """The leaves as a struct of variants for each group, in one pass; NULL for a root or a group that is no object."""
+    groups = {g: ", ".join(f"{r.name}: variant" for r in rules if r.group == g) for g in GROUPS}
+    return F.try_variant_get(payload, "$", "struct<" + ", ".join(f"{g}: struct<{f}>" for g, f in groups.items() if f) + ">")
 
 
 def leaf_col(prefix: str, kind: str, name: str) -> str:
@@ -177,17 +177,17 @@ def explode_payload(
     """
     p = F.col(payload)
     rules = [r for r in FIELD_RULES if fields is None or r.name in fields]
-    shapes = {} if fields is not None else (
-        {leaf_col(prefix, "t", "root"): vshape(p)} | {leaf_col(prefix, "t", g): vshape(vget(p, g)) for g in GROUPS}
-    )
-    # one struct of variants for each group, and the types of all leaves in one array: one expression, not one a leaf
-    held = {g: f"{prefix}_in_{g}" for g in GROUPS if any(r.group == g for r in rules)}
-    df = df.withColumns(shapes | {c: _variants(vget(p, g), [r for r in rules if r.group == g]) for g, c in held.items()})
-    df = df.withColumns({leaf_col(prefix, "x", r.name): F.col(held[r.group])[r.name] for r in rules}).drop(*held.values())
-    schemas = F.transform(F.array(*[F.col(leaf_col(prefix, "x", r.name)) for r in rules]), F.schema_of_variant)
-    types = f"{prefix}_types"
-    df = df.withColumn(types, F.transform(schemas, type_of_schema))
-    df = df.withColumns({leaf_col(prefix, "t", r.name): F.get(types, F.lit(i)) for i, r in enumerate(rules)}).drop(types)
+    held = f"{prefix}_held"
+    df = stage(df.withColumn(held, _variants(p, rules)))  # taken apart once, whatever reads the leaves
+    if fields is None:
+
+        def shape(taken: Column, x: Column) -> Column:
+            return F.when(taken.isNotNull(), F.lit("object")).when(x.isNotNull(), F.lit("other"))
+
+        shapes = {leaf_col(prefix, "t", g): shape(F.col(held)[g], vget(p, g)) for g in GROUPS}
+        df = df.withColumns({leaf_col(prefix, "t", "root"): shape(F.col(held), p)} | shapes)
+    df = df.withColumns({leaf_col(prefix, "x", r.name): F.col(held)[r.group][r.name] for r in rules}).drop(held)
+    df = df.withColumns({leaf_col(prefix, "t", r.name): type_of_schema(F.schema_of_variant(leaf_col(prefix, "x", r.name))) for r in rules})
     if not typed:
         return df
     typed_cols = {}
