@@ -154,9 +154,9 @@ def find0(s: Column, m: str, start0: Column | int = 0) -> Column:
 
 def rfind0(s: Column, m: str) -> Column:
     """Python ``s.rfind(m)``: 0-based index of the last occurrence or -1."""
-    pos_in_reversed = F.instr(F.reverse(s), m[::-1])
-    return F.when(pos_in_reversed == 0, F.lit(-1)).otherwise(
-        F.length(s) - F.lit(len(m)) - pos_in_reversed + 1
+    return let(
+        F.instr(F.reverse(s), m[::-1]),
+        lambda at: F.when(at == 0, F.lit(-1)).otherwise(F.length(s) - F.lit(len(m)) - at + 1),
     )
 
 
